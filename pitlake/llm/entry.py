@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.common import table
+from pitlake.llm.fingerprints import fingerprint_documents
 from pitlake.llm.sharding import shard_documents
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 15, counts at most one apart."""
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16, vnodes=64)
@@ -17,7 +23,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
-    return {"op6_sharding": op6_sharding}
+    return {"op3_document_fingerprints": op3_document_fingerprints, "op6_sharding": op6_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
