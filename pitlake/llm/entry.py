@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitlake.llm.common import table
 from pitlake.llm.fingerprints import fingerprint_documents
 from pitlake.llm.sharding import shard_documents
+from pitlake.llm.toxicity import score_documents, train
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +22,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16, vnodes=64)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, learnt from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
-    return {"op3_document_fingerprints": op3_document_fingerprints, "op6_sharding": op6_sharding}
+    return {
+        "op3_document_fingerprints": op3_document_fingerprints,
+        "op6_sharding": op6_sharding,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
