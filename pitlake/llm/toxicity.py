@@ -46,7 +46,7 @@ _SUBSTITUTED = re.compile(r"(?:[^\W_]|[@$!])+")
 _WORD = re.compile(r"[^\W\d_]+")
 _HAS_MIX = re.compile(r"[013457 8@$!]".replace(" ", ""))
 
-SHORTEST, LONGEST = 4, 10
+SHORTEST, LONGEST, REPEATS = 4, 10, 4
 
 
 def fold(text: str) -> str:
@@ -74,8 +74,8 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)
     exceptions: tuple[str, ...] = EXCEPTIONS
     intercept: float = -4.0
-    presence: float = 4.0
-    density: float = 2.0
+    amount: float = 1.0
+    density: float = 1.0
 
     def automaton(self) -> ahocorasick.Automaton | None:
         """The matcher over entries and exceptions; None for an empty lexicon."""
@@ -91,7 +91,7 @@ class Model:
         return found
 
     def features(self, text: str | None, matcher: ahocorasick.Automaton | None) -> tuple[float, float]:
-        """(anything hit, log of the weighted hits per hundred words)."""
+        """Logs of the weighted hits and of the weighted hits per hundred words."""
         if not text or matcher is None:
             return 0.0, 0.0
         folded = fold(text)
@@ -107,46 +107,61 @@ class Model:
         total = sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b in quiet))
         if not total:
             return 0.0, 0.0
-        return 1.0, math.log1p(100.0 * total / (len(folded.split()) or 1))
+        return math.log1p(total), math.log1p(100.0 * total / (len(folded.split()) or 1))
 
     def score(self, features: tuple[float, float]) -> float:
         """0 to 1."""
-        at = self.intercept + self.presence * features[0] + self.density * features[1]
+        at = self.intercept + self.amount * features[0] + self.density * features[1]
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, at))))
 
 
-def candidates(text: str) -> set[str]:
-    """Word beginnings and whole words of a text that could become entries."""
-    out: set[str] = set()
-    for word in set(_WORD.findall(fold(text))):
+def candidates(text: str) -> tuple[Counter, int]:
+    """Occurrences of word beginnings and whole words that could become entries, and the number of words.
+
+    A word that a text repeats counts ``REPEATS`` times at most: junk that says one word
+    a thousand times tells no more than other texts do.
+    """
+    out: Counter = Counter()
+    words = {w: min(n, REPEATS) for w, n in Counter(_WORD.findall(fold(text))).items()}
+    for word, n in words.items():
         for k in range(SHORTEST, min(len(word), LONGEST) + 1):
-            out.add(word[:k])
+            out[word[:k]] += n
         if len(word) >= SHORTEST:
-            out.add(word + " ")
-    return out
-
+            out[word + " "] += n
+    return out, sum(words.values())
 
-def choose_entries(counts: dict[str, tuple[int, int]], toxic: int, clean: int, least: int, most: int) -> dict[str, float]:
-    """Entries with their log-odds: the clearest first, none that begins like a chosen one."""
 
-    def odds(c: tuple[int, int]) -> float:
-        return math.log((c[0] + 0.5) / (toxic + 1)) - math.log((c[1] + 0.5) / (clean + 1))
+def choose_entries(
+    counts: dict[str, tuple[int, int]], toxic_words: int, clean_words: int, most: int, odds: float = 1.6, gain: float = 40.0
+) -> dict[str, float]:
+    """Entries with the log of how much more often they occur among toxic words.
 
-    ranked = sorted(
-        ((odds(c), c[0], len(e), e) for e, c in counts.items() if c[0] >= least and odds(c) >= 3.0), reverse=True
-    )
+    Those that tell most (likelihood-ratio statistic) come first, of equal ones the longer;
+    no entry begins like a chosen one or the other way round.
+    """
+    ranked = []
+    share = toxic_words / max(1, toxic_words + clean_words)
+    for entry, (toxic, clean) in counts.items():
+        value = math.log((toxic + 0.5) / (toxic_words + 1)) - math.log((clean + 0.5) / (clean_words + 1))
+        both = toxic + clean
+        told = 2 * (
+            toxic * math.log(toxic / (both * share)) + (clean * math.log(clean / (both * (1 - share))) if clean else 0)
+        ) if toxic else 0.0
+        if value >= odds and told >= gain:
+            ranked.append((round(told, 6), len(entry), entry, value))
     chosen: dict[str, float] = {}
     taken: set[str] = set()
-    for value, _, _, entry in ranked:
+    for _, _, entry, value in sorted(ranked, reverse=True):
         plain = entry.rstrip(" ")
-        if len(chosen) < most and plain not in taken and not any(plain[:k] in chosen for k in range(1, len(plain) + 1)):
-            chosen[entry] = value
-            taken.update(plain[:k] for k in range(1, len(plain) + 1))
+        begins = [plain[:k] for k in range(1, len(plain) + 1)]
+        if len(chosen) < most and plain not in taken and not any(x in chosen or x + " " in chosen for x in begins):
+            chosen[entry] = min(value, 8.0)
+            taken.update(begins)
     return chosen
 
 
 def fit_curve(features: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Ridge logistic regression by Newton steps: intercept, presence, density."""
+    """Ridge logistic regression by Newton steps: intercept, amount, density."""
     x = np.column_stack([np.ones(len(features)), features])
     w = np.zeros(x.shape[1])
     for _ in range(40):
@@ -194,26 +209,31 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, most_entrie
     texts = written(texts, "toxicity-sample")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        toxic, clean, docs_with = Counter(), Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                (toxic if label else clean).update(candidates(text or ""))
+                found, words = candidates(text or "")
+                docs_with.update(found.keys() if label else ())
+                (toxic if label else clean).update(found)
+                (toxic if label else clean)[""] += words
         names = list(toxic.keys() | clean.keys())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[x] for x in names], pa.int64()), pa.array([clean[x] for x in names], pa.int64())],
-            ["entry", "toxic", "clean"],
+            [pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in (toxic, clean, docs_with))],
+            ["entry", "toxic", "clean", "docs"],
         )
 
     seen = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    least = max(3, math.ceil(0.02 * seen.get(1, 0)))
-    tallied = texts.mapInArrow(tally, "entry string, toxic long, clean long").groupBy("entry").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
+    least = max(3, math.ceil(0.01 * seen.get(1, 0)))
+    tallied = (
+        texts.mapInArrow(tally, "entry string, toxic long, clean long, docs long")
+        .groupBy("entry")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("docs").alias("docs"))
     )
-    counts = {
-        r["entry"]: (r["toxic"], r["clean"])
-        for r in tallied.where(F.col("toxic") >= least).where(F.col("clean") * 4 <= F.col("toxic")).orderBy(F.desc("toxic"), "entry").limit(50 * most_entries).collect()
-    }
-    model = Model(weights=choose_entries(counts, seen.get(1, 0), seen.get(0, 0), least, most_entries))
+    words = tallied.where("entry = ''").first()
+    odd = F.col("toxic") * float(words["clean"] + 1) >= (F.col("clean") + 0.5) * float(words["toxic"] + 1) * 4
+    found = tallied.where("entry <> ''").where(F.col("docs") >= least).where(odd)
+    counts = {r["entry"]: (r["toxic"], r["clean"]) for r in found.orderBy(F.desc("toxic"), "entry").limit(100 * most_entries).collect()}
+    model = Model(weights=choose_entries(counts, words["toxic"], words["clean"], most_entries))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.automaton()
@@ -221,15 +241,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, most_entrie
             found = [model.features(t, matcher) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(1)],
-                ["presence", "density", "toxic"],
+                ["amount", "density", "toxic"],
             )
 
-    rows = texts.mapInArrow(measure, "presence double, density double, toxic int").collect()  # the bounded sample
+    rows = texts.mapInArrow(measure, "amount double, density double, toxic int").collect()  # the bounded sample
     discard(texts)
     fitted = fit_curve(
-        np.array([[r["presence"], r["density"]] for r in rows]), np.array([float(r["toxic"]) for r in rows])
+        np.array([[r["amount"], r["density"]] for r in rows]), np.array([float(r["toxic"]) for r in rows])
     )
-    model.intercept, model.presence, model.density = map(float, fitted)
+    model.intercept, model.amount, model.density = map(float, fitted)
     return model
 
 
