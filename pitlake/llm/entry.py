@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.common import table
 from pitlake.llm.fingerprints import fingerprint_documents
+from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
 from pitlake.llm.toxicity import score_documents, train
 
@@ -22,6 +23,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16, vnodes=64)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score for every document, learnt from the labelled rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -33,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_document_fingerprints": op3_document_fingerprints,
         "op6_sharding": op6_sharding,
+        "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
 
