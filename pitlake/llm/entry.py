@@ -11,6 +11,7 @@ from pitlake.llm.fingerprints import fingerprint_documents
 from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
 from pitlake.llm.toxicity import score_documents, train
+from pitlake.llm.vectors import near_vectors
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16, vnodes=64)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.93 among all embeddings of equal label."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return scan_documents(table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_document_fingerprints": op3_document_fingerprints,
         "op6_sharding": op6_sharding,
+        "op7_embedding_near_dedup": op7_embedding_near_dedup,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
