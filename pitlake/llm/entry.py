@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.common import table
 from pitlake.llm.fingerprints import fingerprint_documents
+from pitlake.llm.near_texts import near_texts
 from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
 from pitlake.llm.toxicity import score_documents, train
@@ -29,6 +30,11 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents at a shingle similarity of 0.85."""
+    return near_texts(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return scan_documents(table(spark, sf_dir, "documents"))
@@ -46,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_document_fingerprints": op3_document_fingerprints,
         "op6_sharding": op6_sharding,
         "op7_embedding_near_dedup": op7_embedding_near_dedup,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
     }
