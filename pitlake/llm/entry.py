@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.common import table
 from pitlake.llm.fingerprints import fingerprint_documents
+from pitlake.llm.mixing import select_mixture
 from pitlake.llm.near_texts import near_texts
 from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
@@ -15,6 +16,11 @@ from pitlake.llm.toxicity import score_documents, train
 from pitlake.llm.vectors import near_vectors
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document goes into a mixture of four fifths of all tokens."""
+    return select_mixture(table(spark, sf_dir, "documents")).drop("crc")
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -49,6 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
+        "op1_mixing": op1_mixing,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op6_sharding": op6_sharding,
         "op7_embedding_near_dedup": op7_embedding_near_dedup,
