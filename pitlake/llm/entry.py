@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm.common import table
+from pitlake.llm.common import shared_dir, table, written
 from pitlake.llm.fingerprints import fingerprint_documents
 from pitlake.llm.mixing import select_mixture
 from pitlake.llm.near_texts import near_texts
+from pitlake.llm.pieces import encode_documents
 from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
+from pitlake.llm.token_rollup import Ledger, changes, count_documents, later_copies, revisions
 from pitlake.llm.toxicity import score_documents, train
 from pitlake.llm.vectors import near_vectors
 
@@ -26,6 +29,25 @@ def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents in, counts revised, later copies of equal texts out.
+
+    The first batch is committed twice, which must not count it twice.
+    """
+    counted = written(count_documents(table(spark, sf_dir, "documents")), "counted")
+    ledger = Ledger(spark, f"{shared_dir(spark)}/pitlake/ledger-{uuid.uuid4().hex}")
+    for batch_id in ("1-load", "1-load"):
+        ledger.commit(batch_id, changes(counted, 1))
+    ledger.commit("2-revise", revisions(counted))
+    ledger.commit("3-copies", changes(later_copies(counted), -1, "revised_words", "revised_tokens"))
+    return ledger.totals()
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 15, counts at most one apart."""
     return shard_documents(table(spark, sf_dir, "documents"), n_shards=16, vnodes=64)
@@ -57,6 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mixing": op1_mixing,
         "op3_document_fingerprints": op3_document_fingerprints,
+        "op4_token_counts": op4_token_counts,
+        "op5_sentencepiece": op5_sentencepiece,
         "op6_sharding": op6_sharding,
         "op7_embedding_near_dedup": op7_embedding_near_dedup,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
