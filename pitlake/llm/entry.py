@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitlake.llm.common import shared_dir, table, written
 from pitlake.llm.fingerprints import fingerprint_documents
+from pitlake.llm.licenses import scan_licenses
 from pitlake.llm.mixing import select_mixture
 from pitlake.llm.near_texts import near_texts
 from pitlake.llm.pieces import encode_documents
@@ -24,6 +25,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_mixture(table(spark, sf_dir, "documents")).drop("crc")
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_documents(table(spark, sf_dir, "documents"))
@@ -78,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     return {
         "op1_mixing": op1_mixing,
+        "op2_license_scans": op2_license_scans,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op4_token_counts": op4_token_counts,
         "op5_sentencepiece": op5_sentencepiece,
