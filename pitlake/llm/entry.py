@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from pitlake.llm.common import shared_dir, table, written
 from pitlake.llm.fingerprints import fingerprint_documents
 from pitlake.llm.licenses import scan_licenses
@@ -22,7 +23,7 @@ from pitlake.llm.vectors import near_vectors
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document goes into a mixture of four fifths of all tokens."""
-    return select_mixture(table(spark, sf_dir, "documents")).drop("crc")
+    return select_mixture(table(spark, sf_dir, "documents"))
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_pii": op9_pii,
         "op10_toxicity": op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

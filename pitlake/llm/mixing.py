@@ -99,7 +99,7 @@ def leaf_budgets(leaves: DataFrame, budget: Column, epochs: int, weights: dict[s
         for more in same[1:]:
             hit = hit & more
         given = given.join(nodes, hit).withColumn("given", F.col("_budget")).drop("_budget", *[f"_{k}" for k in keys])
-    return given.select(*LEVELS, "tokens", F.col("given").alias("budget"))
+    return given.select("leaf", *LEVELS, "tokens", F.col("given").alias("budget"))
 
 
 def _cut(rows: DataFrame, bucket: str, prior: str) -> DataFrame:
@@ -111,58 +111,120 @@ def _cut(rows: DataFrame, bucket: str, prior: str) -> DataFrame:
     return sums.where(inside).select("leaf", F.col(bucket).alias(f"cut_{bucket}"), (F.col("rest") - F.col("upto") + F.col("n")).alias(f"rest_{bucket}"))
 
 
-def select_mixture(
-    docs: DataFrame, budget_share: float = 0.8, epochs: int = 4, seed: int = 11, weights: dict[str, dict[str, int]] | None = None
-) -> DataFrame:
-    """Which documents, how often and how much of each, make up the mixture.
+def _prepared(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs``, and one struct ``__mixture__`` with what the mixture needs of a row."""
+    lang, source = F.col("lang").cast("string"), F.col("source").cast("string")
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    leaf = F.xxhash64(domain_of(source), F.coalesce(lang, F.lit("\0")), F.coalesce(source, F.lit("\0")))
+    return docs.withColumn(
+        "__mixture__",
+        F.struct(
+            F.col("doc_id").cast("long").alias("doc_id"), domain_of(source).alias("domain"), lang.alias("lang"), source.alias("source"),
+            token_count(F.col("text")).alias("n_tokens"), crc.alias("crc"), leaf.alias("leaf"),
+        ),
+    )
 
-    ``docs`` has doc_id, text, lang, source. The root's budget is ``budget_share`` of all
-    tokens. Returns one row per document: doc_id, domain, lang, source, n_tokens,
-    full_epochs (times the whole text is used), partial_tokens (tokens of one more, partial
-    use; n_tokens when the last epoch uses it whole) and taken (tokens used in all).
 
-    A null lang or source is a node of its own. Texts without words have no tokens and are
-    used in whole epochs only. Rows with equal doc_id are ordered by their text's checksum.
-    An empty table gives an empty result. Other columns are ignored.
-    """
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("lang").cast("string").alias("lang"),
-        F.col("source").cast("string").alias("source"),
-        token_count(F.col("text")).alias("n_tokens"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("crc"),
+def _spotted(rows: DataFrame, seed: int) -> DataFrame:
+    """rows with full_epochs -> their place in the order of the leaf's last epoch, and its two bucket numbers."""
+    rows = rows.withColumn("spot", F.xxhash64(F.lit(seed), "full_epochs", "doc_id", "crc"))
+    return rows.withColumns(
+        {
+            "b1": F.shiftrightunsigned("spot", 64 - BITS).cast("int"),
+            "b2": F.shiftrightunsigned("spot", 64 - 2 * BITS).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int"),
+        }
     )
-    base = base.withColumn("domain", domain_of(F.col("source")))
-    base = written(base.withColumn("leaf", F.xxhash64("domain", F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0")))), "mixture-base")
-    leaves = base.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
+
+
+def plan_mixture(
+    docs: DataFrame, budget_share: float = 0.8, epochs: int = 4, seed: int = 11, weights: dict[str, dict[str, int]] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """What a mixture takes: a row per leaf (epochs and cuts), and the documents at the cuts with their partial tokens."""
+    base = written(_prepared(docs.select("doc_id", "text", "lang", "source")).select("__mixture__.*"), "mixture-base")
+    leaves = base.groupBy("leaf", *LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     total = F.floor(F.sum("tokens").over(Window.partitionBy(F.lit(0))) * budget_share)
     budgets = leaf_budgets(leaves.withColumn("total", total), F.col("total"), epochs, weights)
     budgets = written(
         budgets.select(
-            F.xxhash64("domain", F.coalesce("lang", F.lit("\0")), F.coalesce("source", F.lit("\0"))).alias("leaf"),
-            F.expr("coalesce(try_divide(budget - budget % nullif(tokens, 0), tokens), 0)").cast("long").alias("full_epochs"),
+            "leaf",
+            F.expr("coalesce((budget - budget % nullif(tokens, 0)) div nullif(tokens, 0), 0)").cast("long").alias("full_epochs"),
             F.expr("coalesce(budget % nullif(tokens, 0), 0)").cast("long").alias("rest"),
         ),
         "mixture-budgets",
     )
-    rows = base.join(budgets, "leaf")
-    spot = F.xxhash64(F.lit(seed), "full_epochs", "doc_id", "crc")
-    mask = (1 << BITS) - 1
-    rows = rows.withColumn("spot", spot).withColumns(
-        {"b1": F.shiftrightunsigned("spot", 64 - BITS).cast("int"), "b2": F.shiftrightunsigned("spot", 64 - 2 * BITS).bitwiseAND(F.lit(mask)).cast("int")}
+    rows = _spotted(base.join(budgets.where("rest > 0"), "leaf"), seed)
+    first = written(_cut(rows, "b1", "rest"), "mixture-cut")
+    rows = rows.join(first, "leaf").where("b1 = cut_b1")
+    second = written(_cut(rows, "b2", "rest_b1"), "mixture-cut")
+    rows = rows.join(second, "leaf").where("b2 = cut_b2")
+    # Rows equal in doc_id and checksum share what is left for them alike.
+    alike = rows.groupBy("leaf", "spot", "doc_id", "crc").agg(
+        F.count("*").alias("k"), F.min("n_tokens").alias("n_tokens"), F.min("rest_b2").alias("rest_b2")
     )
-    first = written(_cut(rows.where("rest > 0"), "b1", "rest"), "mixture-cut")
-    rows = rows.join(first, "leaf", "left")
-    at_first = F.coalesce(F.col("b1") == F.col("cut_b1"), F.lit(False))
-    second = written(_cut(rows.where(at_first), "b2", "rest_b1"), "mixture-cut")
-    rows = rows.join(second, "leaf", "left")
-    at_second = at_first & F.coalesce(F.col("b2") == F.col("cut_b2"), F.lit(False))
-    before = F.coalesce((F.col("b1") < F.col("cut_b1")) | (at_first & (F.col("b2") < F.col("cut_b2"))), F.lit(False))
-    in_order = Window.partitionBy("leaf").orderBy("spot", "doc_id", "crc").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = rows.where(at_second).withColumn("upto", F.sum("n_tokens").over(in_order))
-    left = F.col("rest_b2") - F.col("upto") + F.col("n_tokens")
-    edge = edge.withColumn("partial_tokens", F.greatest(F.lit(0), F.least("n_tokens", left)).cast("long")).drop("upto")
-    others = rows.where(~at_second).withColumn("partial_tokens", F.when(before, F.col("n_tokens")).otherwise(F.lit(0)).cast("long"))
-    return edge.unionByName(others).select(
-        "doc_id", *LEVELS, "n_tokens", "full_epochs", "partial_tokens", (F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")).alias("taken"), "crc"
+    in_order = Window.partitionBy("leaf").orderBy("spot", "doc_id", "crc").rowsBetween(Window.unboundedPreceding, -1)
+    prior = F.coalesce(F.sum(F.col("n_tokens") * F.col("k")).over(in_order), F.lit(0))
+    fair = F.floor((F.col("rest_b2") - prior) / F.col("k"))
+    edge = alike.select(
+        F.col("leaf").alias("_leaf"), F.col("doc_id").alias("_doc_id"), F.col("crc").alias("_crc"),
+        F.greatest(F.lit(0), F.least(F.col("n_tokens"), fair)).cast("long").alias("_partial"),
+    )
+    plan = budgets.join(first, "leaf", "left").join(second, "leaf", "left")
+    plan = plan.select(F.col("leaf").alias("_leaf"), "full_epochs", "rest", "cut_b1", "cut_b2")
+    return written(plan, "mixture-plan"), written(edge, "mixture-edge")
+
+
+def decide(rows: DataFrame, plan: DataFrame, edge: DataFrame, seed: int) -> DataFrame:
+    """rows (with doc_id, crc, leaf, n_tokens) -> with full_epochs and partial_tokens."""
+    rows = _spotted(rows.join(plan, rows["leaf"] == plan["_leaf"]).drop("_leaf"), seed)
+    hit = (rows["leaf"] == edge["_leaf"]) & rows["doc_id"].eqNullSafe(edge["_doc_id"]) & (rows["crc"] == edge["_crc"])
+    rows = rows.join(edge, hit, "left")
+    before = (F.col("b1") < F.col("cut_b1")) | ((F.col("b1") == F.col("cut_b1")) & (F.col("b2") < F.col("cut_b2")))
+    partial = F.when(F.col("_partial").isNotNull(), F.col("_partial")).when(before, F.col("n_tokens")).otherwise(F.lit(0))
+    return rows.withColumn("partial_tokens", partial.cast("long")).drop(
+        "_leaf", "_doc_id", "_crc", "_partial", "cut_b1", "cut_b2", "rest", "spot", "b1", "b2"
     )
+
+
+def select_mixture(
+    docs: DataFrame, budget_share: float = 0.8, epochs: int = 4, seed: int = 11, weights: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
+    """Which documents, how often and how much of each, make up the mixture.
+
+    ``docs`` has doc_id, text, lang, source. The root's budget is ``budget_share`` of all
+    tokens. Returns one row per row: doc_id, domain, lang, source, n_tokens, full_epochs
+    (times the whole text is used), partial_tokens (tokens of one more, partial use;
+    n_tokens where the last epoch uses it whole) and taken (tokens used in all).
+
+    A null lang or source is a node of its own. Texts without words have no tokens. Rows
+    with equal doc_id and text at a cut share what is left for them equally. An empty table
+    gives an empty result. Other columns are ignored.
+    """
+    plan, edge = plan_mixture(docs, budget_share, epochs, seed, weights)
+    rows = _prepared(docs.select("doc_id", "text", "lang", "source")).select("__mixture__.*")
+    rows = decide(rows, plan, edge, seed)
+    taken = F.col("full_epochs") * F.col("n_tokens") + F.col("partial_tokens")
+    return rows.select("doc_id", *LEVELS, "n_tokens", "full_epochs", "partial_tokens", taken.alias("taken"))
+
+
+def mixed_documents(
+    docs: DataFrame, budget_share: float = 0.8, epochs: int = 4, seed: int = 11, weights: dict[str, dict[str, int]] | None = None
+) -> DataFrame:
+    """The mixture itself, with all columns of ``docs``: a row per use of a document.
+
+    A partly used document's text is its first words, joined by blanks; its n_chars, where
+    there is such a column, is that text's.
+    """
+    plan, edge = plan_mixture(docs, budget_share, epochs, seed, weights)
+    names = docs.columns
+    rows = _prepared(docs).select(F.struct(*names).alias("_row"), "__mixture__.*")
+    rows = decide(rows, plan, edge, seed)
+    whole = (F.col("full_epochs") + ((F.col("partial_tokens") == F.col("n_tokens")) & (F.col("n_tokens") > 0)).cast("int")).cast("int")
+    part = F.when(F.col("partial_tokens") < F.col("n_tokens"), F.col("partial_tokens")).otherwise(F.lit(0)).cast("int")
+    uses = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+    rows = rows.where((whole > 0) | (part > 0)).withColumn("_use", F.explode(uses)).select("_row.*", "_use")
+    words = F.split(F.trim(F.regexp_replace("text", r"[\x09-\x0D\x20]+", " ")), " ")
+    cut = F.array_join(F.slice(words, 1, F.greatest(F.col("_use"), F.lit(1))), " ")
+    out = rows.withColumn("text", F.when(F.col("_use") > 0, cut).otherwise(F.col("text")))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*names)

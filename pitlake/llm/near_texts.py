@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import written
+from pitlake.llm.common import discard, written
 from pitlake.llm.components import components
 from pitlake.llm.shingles import MinHash, overlap, shingle_set
 
@@ -210,6 +210,8 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
     ).join(stars, ["a", "b"], "left_anti")
     more = written(_linked(rest, sets, percent), "links")
     found = components(links.unionByName(more)) if more.limit(1).count() else tied
+    for done in (posts, stars, sets, placed, links, more):
+        discard(done)
 
     ends = classes.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     ends = ends.select("key", F.coalesce("component", "rep").alias("component"))
