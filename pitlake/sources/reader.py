@@ -216,7 +216,7 @@ def vendor_csv(spark: SparkSession, path: str, most_rejects: float = 0.005) -> D
     kinds = "ticker string, volume double, open double, close double, high double, low double, window_start long, transactions long"
     struct = T._parse_datatype_string(kinds + ", _corrupt_record string")
     rows = spark.read.schema(struct).csv(path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    tally = rows.agg(F.count("*").alias("n"), F.count("_corrupt_record").alias("bad")).first()
+    tally = rows.agg(F.count("*").alias("n"), F.count("_corrupt_record").alias("bad"), F.count(F.hash(*rows.columns))).first()
     if tally["n"] and tally["bad"] / tally["n"] > most_rejects:
         raise ReadError(f"{path}: {tally['bad']} of {tally['n']} rows rejected")
     at = F.timestamp_add("MICROSECOND", (F.col("window_start") / 1000).cast("long"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
