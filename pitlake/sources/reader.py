@@ -213,11 +213,14 @@ def bronze(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, Data
 
 def vendor_csv(spark: SparkSession, path: str, most_rejects: float = 0.005) -> DataFrame:
     """Vendor bars with a fixed header; too many rejected rows fail the read."""
-    kinds = "ticker string, volume double, open double, close double, high double, low double, window_start long, transactions long"
-    struct = T._parse_datatype_string(kinds + ", _corrupt_record string")
-    rows = spark.read.schema(struct).csv(path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    tally = rows.agg(F.count("*").alias("n"), F.count("_corrupt_record").alias("bad"), F.count(F.hash(*rows.columns))).first()
+    kinds = {"ticker": "string", "volume": "double", "open": "double", "close": "double", "high": "double", "low": "double", "window_start": "long", "transactions": "long"}
+    raw = spark.read.schema(", ".join(f"{c} string" for c in kinds)).csv(path, header=True, enforceSchema=False)
+    rows = raw.select(*[F.col(c).try_cast(kind).alias(c) for c, kind in kinds.items()])
+    bad = F.lit(False)
+    for c in kinds:
+        bad = bad | F.col(c).isNull()
+    tally = rows.agg(F.count("*").alias("n"), F.count_if(bad).alias("bad")).first()
     if tally["n"] and tally["bad"] / tally["n"] > most_rejects:
         raise ReadError(f"{path}: {tally['bad']} of {tally['n']} rows rejected")
     at = F.timestamp_add("MICROSECOND", (F.col("window_start") / 1000).cast("long"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return rows.where("_corrupt_record IS NULL").drop("_corrupt_record").withColumn("ts_event", at)
+    return rows.where(~bad).withColumn("ts_event", at)
