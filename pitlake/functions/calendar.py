@@ -94,3 +94,23 @@ def after_market_minutes(df: DataFrame, target: str, calendar: DataFrame, name:
     hit = (F.col(target) >= F.col("_a")) & (F.col(target) < F.col("_b"))
     out = df.join(F.broadcast(side), hit, "left")
     return out.withColumn(name, F.timestamp_add("MINUTE", F.col(target) - F.col("_a"), F.col("_o"))).drop("_o", "_a", "_b")
+
+
+def publish_time(df: DataFrame, day: str, calendar: DataFrame, name: str = "ts_available", hour: int = 16) -> DataFrame:
+    """``df`` with the time at which a vendor's file of a day is out: 16:00 UTC of the next session."""
+    order = Window.partitionBy(F.lit(0)).orderBy("session")
+    side = calendar.select(F.col("session").alias("_next"), F.coalesce(F.lag("session").over(order), F.lit("0001-01-01").cast("date")).alias("_from"))
+    hit = (F.col(day) >= F.col("_from")) & (F.col(day) < F.col("_next"))
+    out = df.join(F.broadcast(side), hit, "left")
+    return out.withColumn(name, F.timestamp_add("HOUR", F.lit(hour), F.col("_next").cast("timestamp_ntz"))).drop("_next", "_from")
+
+
+def label_availability(df: DataFrame, day: str, calendar: DataFrame, window: int, lag_seconds: int = 0, name: str = "ts_available") -> DataFrame:
+    """``df`` with the close of the ``window``-th session from the label's day, plus a lag; null beyond the calendar."""
+    nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("session"))
+    numbered = calendar.select(F.col("session").alias("_s"), F.col("close_utc").alias("_c"), nth.alias("_n"))
+    before = numbered.select(F.col("_s").alias("_a"), F.lead("_s").over(Window.partitionBy(F.lit(0)).orderBy("_s")).alias("_b"), F.col("_n").alias("_k"))
+    inside = (F.col(day) >= F.col("_a")) & (F.col("_b").isNull() | (F.col(day) < F.col("_b")))
+    out = df.join(F.broadcast(before), inside, "left").withColumn("_n", F.col("_k") + window)
+    out = out.join(F.broadcast(numbered.select("_n", "_c")), "_n", "left")
+    return out.withColumn(name, F.timestamp_add("SECOND", F.lit(lag_seconds), F.col("_c"))).drop("_a", "_b", "_k", "_n", "_c")

@@ -71,6 +71,15 @@ def test_market_clock(spark):
     assert due == datetime(2024, 7, 2, 13, 30)  # a whole session ends at the next open
 
 
+def test_publish_and_label_times(spark):
+    days = calendar.sessions(spark, "2024-07-01", "2024-07-12")
+    df = spark.createDataFrame([(1, date(2024, 7, 3)), (2, date(2024, 7, 6))], "i int, day date")
+    out = {r["i"]: r["ts_available"] for r in calendar.publish_time(df, "day", days).collect()}
+    assert out == {1: datetime(2024, 7, 5, 16), 2: datetime(2024, 7, 8, 16)}
+    seen = {r["i"]: r["ts_available"] for r in calendar.label_availability(df, "day", days, 2, 60).collect()}
+    assert seen == {1: datetime(2024, 7, 8, 20, 1), 2: datetime(2024, 7, 9, 20, 1)}
+
+
 def test_chain_and_items(spark):
     df = spark.createDataFrame([("a", '[{"occ_symbol":"X1","strike":1.0}]'), ("b", '{"data":{"contracts":[{"occ_symbol":"X2"},{"occ_symbol":"X3"}]}}'), ("c", "oops")], "k string, chain_json string")
     assert sorted(r["occ_symbol"] for r in payloads.explode_chain(df).collect()) == ["X1", "X2", "X3"]
