@@ -230,9 +230,11 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         )
         cuts = sorted(set(found))
     inner = [float("-inf"), *cuts, float("inf")]
-    cutter = Bucketizer(splits=inner, inputCol="x", outputCol="part", handleInvalid="keep")
 
     def ranged(df: DataFrame) -> DataFrame:
+        if not cuts:
+            return df.withColumn("part", F.when(F.col("doc_id").isNotNull(), 0))
+        cutter = Bucketizer(splits=inner, inputCol="x", outputCol="part", handleInvalid="keep")
         return cutter.transform(df.withColumn("x", F.col("doc_id").cast("double"))).withColumn(
             "part", F.col("part").cast("int")
         )
@@ -242,8 +244,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     order = sorted(heads)  # ranges that hold rows, from the lowest
     before = {part: order[(i + 1) % len(order)] for i, part in enumerate(order)}  # whose last row precedes this range's head
     slots = range(len(inner) - 1)
-    head_of = F.array(*[F.lit(heads.get(p)).cast("long") for p in slots]) if len(slots) < 2 else _literal(heads, slots, "bigint")
-    before_of = F.array(*[F.lit(before.get(p)).cast("int") for p in slots]) if len(slots) < 2 else _literal(before, slots, "int")
+    head_of, before_of = _literal(heads, slots, "bigint"), _literal(before, slots, "int")
 
     rows = ranged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     aside = (-1 - F.pmod(F.xxhash64("text"), F.lit(64))).cast("int")
