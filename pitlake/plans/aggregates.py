@@ -10,7 +10,10 @@ from pitlake.operators import quality
 from pitlake.plans import bindings as b
 from pitlake.plans.catalog import register
 
-_DAY = F.col("ts_event").cast("date").cast("string").alias("day")
+
+
+def _day() -> Column:
+    return F.col("ts_event").cast("date").cast("string").alias("day")
 
 
 def _r(column: Column | str, name: str, digits: int = 6) -> Column:
@@ -33,7 +36,7 @@ def agg_daily_prefer_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars where there are any, resampled ones elsewhere; one aggregation decides both."""
     at = F.struct("ts_event", "seq")
     native = F.col("timeframe") == "1Day"
-    days = b.bars(spark, sf_dir).groupBy("instrument_key", _DAY).agg(
+    days = b.bars(spark, sf_dir).groupBy("instrument_key", _day()).agg(
         F.max_by("close", F.when(native, at)).alias("own"), F.max_by("close", F.when(~native, at)).alias("made"), F.count_if(native).alias("n")
     )
     return days.select("instrument_key", "day", F.round(F.when(F.col("n") > 0, F.col("own")).otherwise(F.col("made")), 4).alias("close"), F.when(F.col("n") > 0, "native").otherwise("resampled").alias("origin"))
@@ -47,7 +50,7 @@ def agg_daily_prefer_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_flow_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Premiums by side, sweeps and the call-put ratio."""
     side = lambda s: F.coalesce(F.sum(F.when(F.col("put_call") == s, F.col("premium"))), F.lit(0.0))
-    days = b.alerts(spark, sf_dir).groupBy("instrument_key", _DAY)
+    days = b.alerts(spark, sf_dir).groupBy("instrument_key", _day())
     return days.agg(
         _r(F.sum("premium"), "total", 4), _r(side("C"), "calls", 4), _r(side("P"), "puts", 4), F.count_if("is_sweep").alias("sweeps"),
         F.when(side("P") > 0, F.round(F.try_divide(side("C"), side("P")), 6)).alias("call_put_ratio"),
@@ -64,7 +67,7 @@ _NET = """net AS (SELECT instrument_key, CAST(ts_event AS DATE) AS d, sum(CASE W
 def agg_cross_section_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signed-log z-score across keys per day."""
     net = F.sum(F.when(F.col("put_call") == "C", F.col("premium")).otherwise(-F.col("premium")))
-    rows = b.alerts(spark, sf_dir).groupBy("instrument_key", _DAY).agg(net.alias("net"))
+    rows = b.alerts(spark, sf_dir).groupBy("instrument_key", _day()).agg(net.alias("net"))
     rows = rows.withColumn("x", F.signum("net") * F.log1p(F.abs("net")))
     w = Window.partitionBy("day")
     spread = F.stddev_samp("x").over(w)
@@ -75,7 +78,7 @@ def agg_cross_section_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
   + "SELECT instrument_key, CAST(d AS VARCHAR) AS day, round(least(greatest(share, lo), hi), 6) AS share FROM shares JOIN cuts USING (d) WHERE share IS NOT NULL")
 def agg_winsorised_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sweep share cut at the day's first and last percentile."""
-    rows = b.alerts(spark, sf_dir).groupBy("instrument_key", _DAY).agg(F.coalesce(F.sum(F.when(F.col("is_sweep"), F.col("k"))), F.lit(0)).alias("sw"), F.sum("k").alias("al"))
+    rows = b.alerts(spark, sf_dir).groupBy("instrument_key", _day()).agg(F.coalesce(F.sum(F.when(F.col("is_sweep"), F.col("k"))), F.lit(0)).alias("sw"), F.sum("k").alias("al"))
     rows = rows.withColumn("share", F.when(F.col("al") > 0, F.try_divide("sw", "al"))).where("share IS NOT NULL")
     w = Window.partitionBy("day")
     low, high = (F.percentile("share", F.lit(p)).over(w) for p in (0.01, 0.99))
@@ -89,7 +92,7 @@ def agg_microstructure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spread, imbalance, depth and the last middle price."""
     q = b.quotes(spark, sf_dir).withColumn("mid", (F.col("ask_px") + F.col("bid_px")) / 2)
     wide, size = F.col("ask_px") - F.col("bid_px"), F.col("bid_sz") + F.col("ask_sz")
-    return q.groupBy("instrument_key", _DAY).agg(
+    return q.groupBy("instrument_key", _day()).agg(
         _r(F.avg(wide), "spread", 6), _r(F.avg(wide / F.col("mid") * 10000), "spread_bps", 4), _r(F.avg((F.col("bid_sz") - F.col("ask_sz")) / size), "imbalance"),
         _r(F.avg(size), "depth", 4), _r(F.max_by("mid", F.struct("ts_event", "seq")), "last_mid", 6),
     )
@@ -101,7 +104,7 @@ def agg_darkpool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prints: sums, counts and shares beyond the quote; the denominator is all rows."""
     q = b.quotes(spark, sf_dir)
     share = lambda c: F.avg(F.coalesce(c.cast("double"), F.lit(0.0)))
-    return q.groupBy("instrument_key", _DAY).agg(
+    return q.groupBy("instrument_key", _day()).agg(
         _r(F.sum(F.col("price") * F.col("bid_sz")), "notional", 2), _r(F.avg("bid_sz"), "avg_size", 6), F.count("*").alias("n"),
         _r(share(F.col("price") > F.col("ask_px") * 0.99), "above"), _r(share(F.col("price") < F.col("bid_px") * 1.01), "below"),
     )
@@ -124,7 +127,7 @@ def _greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_greek_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net exposure (call plus put), ratio, the strike with most gamma, gamma-weighted days."""
     gamma = F.col("call_gamma") + F.col("put_gamma")
-    return _greeks(spark, sf_dir).groupBy("instrument_key", _DAY).agg(
+    return _greeks(spark, sf_dir).groupBy("instrument_key", _day()).agg(
         _r(F.sum(gamma), "net_gamma", 8), _r(F.try_divide(F.abs(F.sum("put_gamma")), F.abs(F.sum("call_gamma"))), "put_call_ratio"), F.max_by("strike", gamma).alias("max_gamma_strike"),
         _r(F.try_divide(F.sum(F.col("dte") * F.abs(gamma)), F.sum(F.abs(gamma))), "weighted_dte"),
     )
@@ -133,7 +136,7 @@ def agg_greek_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("agg_net_gex", b.with_(_GREEKS) + "SELECT CAST(d AS VARCHAR) AS day, round(avg(call_gamma - put_gamma), 9) AS net_gex FROM greeks GROUP BY 1")
 def agg_net_gex(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily mean of call minus put gamma."""
-    return _greeks(spark, sf_dir).groupBy(_DAY).agg(_r(F.avg(F.col("call_gamma") - F.col("put_gamma")), "net_gex", 9))
+    return _greeks(spark, sf_dir).groupBy(_day()).agg(_r(F.avg(F.col("call_gamma") - F.col("put_gamma")), "net_gex", 9))
 
 
 @register("agg_options_sentiment", b.with_(b.SNAPS) + """SELECT 'sector:' || sector AS instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, last(level ORDER BY ts_event, seq) AS level, NULL::BIGINT AS n FROM snaps GROUP BY 1, 2
@@ -141,15 +144,15 @@ def agg_net_gex(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_options_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last level per key and day, sector rows appended under their own key, missing columns null."""
     snaps, last = b.snaps(spark, sf_dir), F.max_by("level", F.struct("ts_event", "seq")).alias("level")
-    keys = snaps.groupBy("instrument_key", _DAY).agg(last, F.count("*").alias("n"))
-    sectors = snaps.groupBy(F.concat(F.lit("sector:"), "sector").alias("instrument_key"), _DAY).agg(last)
+    keys = snaps.groupBy("instrument_key", _day()).agg(last, F.count("*").alias("n"))
+    sectors = snaps.groupBy(F.concat(F.lit("sector:"), "sector").alias("instrument_key"), _day()).agg(last)
     return keys.unionByName(sectors, allowMissingColumns=True)
 
 
 @register("agg_fails_daily", b.with_(b.QUOTES) + "SELECT instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, sum(bid_sz) AS quantity, round(sum(bid_sz * price), 2) AS value, count(*) AS n, round(avg(price), 6) AS avg_price FROM quotes GROUP BY 1, 2")
 def agg_fails_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fails to deliver per day."""
-    return b.quotes(spark, sf_dir).groupBy("instrument_key", _DAY).agg(F.sum("bid_sz").alias("quantity"), _r(F.sum(F.col("bid_sz") * F.col("price")), "value", 2), F.count("*").alias("n"), _r(F.avg("price"), "avg_price", 6))
+    return b.quotes(spark, sf_dir).groupBy("instrument_key", _day()).agg(F.sum("bid_sz").alias("quantity"), _r(F.sum(F.col("bid_sz") * F.col("price")), "value", 2), F.count("*").alias("n"), _r(F.avg("price"), "avg_price", 6))
 
 
 @register("agg_market_sentiment", b.with_(b.ALERTS, "t AS (SELECT CAST(ts_event AS DATE) AS d, sum(premium) FILTER (WHERE put_call = 'C') AS c, sum(premium) FILTER (WHERE put_call = 'P') AS p FROM alerts GROUP BY 1)")
@@ -157,7 +160,7 @@ def agg_fails_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_market_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(calls - puts) / (calls + puts), 0 where there is nothing."""
     side = lambda s: F.sum(F.when(F.col("put_call") == s, F.col("premium")))
-    days = b.alerts(spark, sf_dir).groupBy(_DAY).agg(side("C").alias("c"), side("P").alias("p"))
+    days = b.alerts(spark, sf_dir).groupBy(_day()).agg(side("C").alias("c"), side("P").alias("p"))
     return days.select("day", _r(F.coalesce(F.try_divide(F.col("c") - F.col("p"), F.col("c") + F.col("p")), F.lit(0.0)), "score"))
 
 
@@ -187,7 +190,7 @@ def agg_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
   + "SELECT CAST(d AS VARCHAR) AS day, round(max(y) FILTER (WHERE sector = '1-URGENT') - max(y) FILTER (WHERE sector = '5-LOW'), 4) AS slope FROM c GROUP BY d")
 def agg_yield_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pivot of maturities, long minus short."""
-    rows = b.snaps(spark, sf_dir).groupBy(_DAY).pivot("sector", ["1-URGENT", "5-LOW"]).agg(F.max_by("level", "seq"))
+    rows = b.snaps(spark, sf_dir).groupBy(_day()).pivot("sector", ["1-URGENT", "5-LOW"]).agg(F.max_by("level", "seq"))
     return rows.select("day", _r(F.col("`1-URGENT`") - F.col("`5-LOW`"), "slope", 4))
 
 
@@ -196,7 +199,7 @@ def agg_yield_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_toxicity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order-flow imbalance; null where nothing was traded."""
     side = lambda s: F.coalesce(F.sum(F.when(F.col("put_call") == s, F.col("premium"))), F.lit(0.0))
-    days = b.alerts(spark, sf_dir).groupBy("instrument_key", _DAY).agg(side("C").alias("a"), side("P").alias("b"))
+    days = b.alerts(spark, sf_dir).groupBy("instrument_key", _day()).agg(side("C").alias("a"), side("P").alias("b"))
     return days.select("instrument_key", "day", _r(F.try_divide(F.abs(F.col("a") - F.col("b")), F.col("a") + F.col("b")), "vpin"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake.operators.windows import change, series
@@ -10,7 +10,10 @@ from pitlake.plans import bindings as b
 from pitlake.plans.catalog import register
 
 ASOF = "1999-06-30 00:00:00"
-_T = F.lit(ASOF).cast("timestamp_ntz")
+
+
+def _asof() -> Column:
+    return F.lit(ASOF).cast("timestamp_ntz")
 
 
 @register(
@@ -23,7 +26,7 @@ _T = F.lit(ASOF).cast("timestamp_ntz")
 )
 def pit_daily_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As-of read, daily bars, momentum: the flagship."""
-    seen = b.bars(spark, sf_dir).where(F.col("ts_available") <= _T)
+    seen = b.bars(spark, sf_dir).where(F.col("ts_available") <= _asof())
     w = series("instrument_key", ["day"])
     out = b.daily(seen)
     return out.select(
@@ -60,7 +63,7 @@ def scan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing that was not available yet."""
-    seen = b.snaps(spark, sf_dir).where(F.col("ts_available") <= _T).groupBy("instrument_key")
+    seen = b.snaps(spark, sf_dir).where(F.col("ts_available") <= _asof()).groupBy("instrument_key")
     return seen.agg(F.count("*").alias("n"), F.max("seq").alias("newest"), F.max(F.col("ts_available").cast("date")).cast("string").alias("seen"))
 
 
@@ -178,7 +181,7 @@ def leakage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pitlake.operators.asof import micros
 
     checks = {
-        "future_rows": F.col("ts_available") > _T,
+        "future_rows": F.col("ts_available") > _asof(),
         "available_before_event": F.col("ts_available") < F.col("ts_event"),
         "commit_skew": F.abs(micros("ts_available") - micros("ts_event")) > 5_000_000,
     }

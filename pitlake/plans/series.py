@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from pitlake.operators import windows as w_
 from pitlake.operators.asof import micros
@@ -24,13 +24,16 @@ def _r(column: Column, name: str, digits: int = 6) -> Column:
     return F.round(column, digits).alias(name)
 
 
-_BY_DAY = w_.series("instrument_key", ["day"])
+
+
+def _by_day() -> WindowSpec:
+    return w_.series("instrument_key", ["day"])
 
 
 @register("win_momentum", b.with_(b.BARS, b.DAILY) + _HEAD + ", ".join(f"round(close / lag(close, {n}) OVER w - 1, 6) AS m{n}" for n in (1, 5, 10, 20, 60)) + f", round((close / lag(close, 20) OVER w - 1) * 100, 6) AS roc20 FROM daily {_W}")
 def win_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Momentum over five horizons."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(w_.change(_BY_DAY, "close", n), f"m{n}") for n in (1, 5, 10, 20, 60)], _r(w_.change(_BY_DAY, "close", 20) * 100, "roc20"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(w_.change(_by_day(), "close", n), f"m{n}") for n in (1, 5, 10, 20, 60)], _r(w_.change(_by_day(), "close", 20) * 100, "roc20"))
 
 
 def _gate(expression: str, n: int, column: str) -> str:
@@ -42,20 +45,20 @@ def _gate(expression: str, n: int, column: str) -> str:
 def win_adv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gated rolling means; rows without one are dropped."""
     rows = _daily(spark, sf_dir)
-    rows = rows.select("instrument_key", "day", *[_r(w_.gated(_BY_DAY, c, 20, F.avg), n) for c, n in (("volume", "adv"), ("close", "avg_close"))])
+    rows = rows.select("instrument_key", "day", *[_r(w_.gated(_by_day(), c, 20, F.avg), n) for c, n in (("volume", "adv"), ("close", "avg_close"))])
     return rows.where("adv IS NOT NULL AND avg_close IS NOT NULL")
 
 
 @register("win_zscore", b.with_(b.BARS, b.DAILY, f"z AS (SELECT instrument_key, day, volume, {_gate('avg(volume)', 20, 'volume')} AS m, {_gate('stddev_samp(volume)', 20, 'volume')} AS s FROM daily)") + _HEAD + "round(CASE WHEN s = 0 THEN 0.0 ELSE (volume - m) / s END, 6) AS z FROM z")
 def win_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling z-score."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", _r(w_.zscore(_BY_DAY, "volume", 20), "z"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", _r(w_.zscore(_by_day(), "volume", 20), "z"))
 
 
 @register("win_acceleration", b.with_(b.BARS, b.DAILY) + _HEAD + f"round(close - {_gate('avg(close)', 5, 'close')}, 6) AS acceleration, {_gate('sum(volume)', 5, 'volume')} AS volume_5d FROM daily")
 def win_acceleration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value less its rolling mean, and a rolling sum."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.col("close") - w_.gated(_BY_DAY, "close", 5, F.avg), "acceleration"), w_.gated(_BY_DAY, "volume", 5, F.sum).alias("volume_5d"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.col("close") - w_.gated(_by_day(), "close", 5, F.avg), "acceleration"), w_.gated(_by_day(), "volume", 5, F.sum).alias("volume_5d"))
 
 
 _GEX = """g AS (SELECT CAST(l_shipdate AS DATE) AS day, 'm' AS instrument_key, avg(l_extendedprice * (l_tax - l_discount)) AS net FROM lineitem GROUP BY 1),
@@ -76,7 +79,7 @@ def win_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("win_rolling_median", b.with_(b.BARS, b.DAILY) + _HEAD + "round(median(close) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 89 PRECEDING AND CURRENT ROW), 6) AS med FROM daily")
 def win_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling median from the first row on."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.percentile("close", F.lit(0.5)).over(w_.trailing(_BY_DAY, 90)), "med"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.percentile("close", F.lit(0.5)).over(w_.trailing(_by_day(), 90)), "med"))
 
 
 _VOL = """r AS (SELECT *, ln(close / lag(close) OVER w) AS lr, lag(close) OVER w AS pc FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day)),
@@ -89,11 +92,11 @@ t AS (SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr, ln(hi
 def win_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Historical, Parkinson and true-range volatility, both definitions of band width."""
     rows = _daily(spark, sf_dir)
-    rows = rows.withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_BY_DAY))).withColumn("tr", w_.true_range(_BY_DAY)).withColumn("hl", F.pow(F.ln(F.col("high") / F.col("low")), 2))
-    band = w_.gated(_BY_DAY, "close", 20, F.stddev_samp) / w_.gated(_BY_DAY, "close", 20, F.avg)
+    rows = rows.withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_by_day()))).withColumn("tr", w_.true_range(_by_day())).withColumn("hl", F.pow(F.ln(F.col("high") / F.col("low")), 2))
+    band = w_.gated(_by_day(), "close", 20, F.stddev_samp) / w_.gated(_by_day(), "close", 20, F.avg)
     return rows.select(
-        "instrument_key", "day", _r(w_.gated(_BY_DAY, "lr", 5, F.stddev_samp), "vol5"), _r(w_.gated(_BY_DAY, "lr", 20, F.stddev_samp), "vol20"), _r(w_.gated(_BY_DAY, "tr", 14, F.avg), "atr14"),
-        _r(F.sqrt(w_.gated(_BY_DAY, "hl", 20, F.avg) / (4 * F.ln(F.lit(2.0)))), "parkinson20"), _r(2 * band, "bollinger"), _r(4 * band, "bollinger_template"),
+        "instrument_key", "day", _r(w_.gated(_by_day(), "lr", 5, F.stddev_samp), "vol5"), _r(w_.gated(_by_day(), "lr", 20, F.stddev_samp), "vol20"), _r(w_.gated(_by_day(), "tr", 14, F.avg), "atr14"),
+        _r(F.sqrt(w_.gated(_by_day(), "hl", 20, F.avg) / (4 * F.ln(F.lit(2.0)))), "parkinson20"), _r(2 * band, "bollinger"), _r(4 * band, "bollinger_template"),
     )
 
 
@@ -122,10 +125,10 @@ _RET = "rets AS (SELECT instrument_key, day, close / lag(close) OVER (PARTITION
   FROM two WINDOW w AS (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))""") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(CASE WHEN n >= 10 AND vy > 1e-12 THEN cv / vy END, 4) AS beta FROM k")
 def win_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling beta against a benchmark, gated on days that both have."""
-    rows = _daily(spark, sf_dir).select("instrument_key", "day", w_.change(_BY_DAY, "close", 1).alias("x"))
+    rows = _daily(spark, sf_dir).select("instrument_key", "day", w_.change(_by_day(), "close", 1).alias("x"))
     bench = rows.where("instrument_key = 'equity:S1'").select("day", F.col("x").alias("y"))
     rows = rows.join(bench, "day", "left")
-    frame = w_.trailing(_BY_DAY, 60)
+    frame = w_.trailing(_by_day(), 60)
     both = F.col("x").isNotNull() & F.col("y").isNotNull()
     n, cv, vy = F.count(F.when(both, 1)).over(frame), F.covar_samp("x", "y").over(frame), F.var_samp(F.when(F.col("x").isNotNull(), F.col("y"))).over(frame)
     return rows.select("instrument_key", "day", _r(F.when((n >= 10) & (vy > 1e-12), cv / vy), "beta", 4))
@@ -134,7 +137,7 @@ def win_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("win_max_availability", b.with_(b.BARS, b.DAILY) + _HEAD + "CAST(CAST(max(ts_available) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS DATE) AS VARCHAR) AS seen FROM daily")
 def win_max_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Availability of a rolling feature: the latest of its sources."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", F.max("ts_available").over(w_.trailing(_BY_DAY, 5)).cast("date").cast("string").alias("seen"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", F.max("ts_available").over(w_.trailing(_by_day(), 5)).cast("date").cast("string").alias("seen"))
 
 
 @register("win_last_24h", b.with_(b.ALERTS) + """SELECT event_id, round(sum(premium) OVER w, 4) AS premium_24h, count(CASE WHEN is_sweep THEN 1 END) OVER w AS sweeps_24h FROM alerts
@@ -175,14 +178,14 @@ def win_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forward return, its sign, available a day after the resolving bar; the tail is dropped."""
     days = b.daily(b.bars(spark, sf_dir))
-    rows = days.select("instrument_key", "day", (F.lead("close", 5).over(_BY_DAY) / F.col("close") - 1).alias("fr"), F.lead("day", 5).over(_BY_DAY).alias("at"))
+    rows = days.select("instrument_key", "day", (F.lead("close", 5).over(_by_day()) / F.col("close") - 1).alias("fr"), F.lead("day", 5).over(_by_day()).alias("at"))
     return rows.where("fr IS NOT NULL").select("instrument_key", F.col("day").cast("string").alias("day"), _r(F.col("fr"), "forward_return"), F.signum("fr").cast("int").alias("direction"), F.date_add("at", 1).cast("string").alias("available"))
 
 
 @register("label_classes", b.with_(b.BARS, b.DAILY) + _HEAD + ", ".join(f"round(lead(close, {h}) OVER w / close - 1, 6) AS r{h}" for h in (1, 5)) + f", CASE WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) > 0.01 THEN 1 WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) < -0.01 THEN -1 ELSE 0 END AS label FROM daily {_W}")
 def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several horizons, the tail kept; no return classifies as 0."""
-    ahead = lambda h: F.lead("close", h).over(_BY_DAY) / F.col("close") - 1
+    ahead = lambda h: F.lead("close", h).over(_by_day()) / F.col("close") - 1
     one = F.coalesce(ahead(1), F.lit(0.0))
     return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(ahead(h), f"r{h}") for h in (1, 5)], F.when(one > 0.01, 1).when(one < -0.01, -1).otherwise(0).alias("label"))
 
@@ -203,9 +206,9 @@ _HORIZONS = (3, 5, 10)
   + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(t, 3) AS t, h AS horizon FROM best WHERE nth = 1")
 def label_trend_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Horizon with the strongest slope statistic, the shorter of equal ones; all horizons in one sort."""
-    rows = _daily(spark, sf_dir).withColumn("p", F.row_number().over(_BY_DAY))
+    rows = _daily(spark, sf_dir).withColumn("p", F.row_number().over(_by_day()))
     for h in _HORIZONS:
-        rows = rows.withColumn(f"t{h}", w_.trend_statistic(_BY_DAY, "close", "p", h))
+        rows = rows.withColumn(f"t{h}", w_.trend_statistic(_by_day(), "close", "p", h))
     best = F.greatest(*[F.round(F.abs(f"t{h}"), 6) for h in _HORIZONS])
     pick, horizon = None, None
     for h in reversed(_HORIZONS):
@@ -218,37 +221,37 @@ def label_trend_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("win_straddle_returns", b.with_(b.BARS, b.DAILY, "s AS (SELECT instrument_key, day, close / lag(close, 20) OVER w - 1 AS a, close / lag(close, 60) OVER w - 1 AS b FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day))") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(a, 6) AS r20, round(b, 6) AS r60 FROM s WHERE a IS NOT NULL OR b IS NOT NULL")
 def win_straddle_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing returns; a row without either is dropped."""
-    rows = _daily(spark, sf_dir).select("instrument_key", "day", _r(w_.change(_BY_DAY, "close", 20), "r20"), _r(w_.change(_BY_DAY, "close", 60), "r60"))
+    rows = _daily(spark, sf_dir).select("instrument_key", "day", _r(w_.change(_by_day(), "close", 20), "r20"), _r(w_.change(_by_day(), "close", 60), "r60"))
     return rows.where("r20 IS NOT NULL OR r60 IS NOT NULL")
 
 
 @register("win_difference", b.with_(b.BARS, b.DAILY) + _HEAD + f"round(vwap - lag(vwap) OVER w, 6) AS change_1d FROM daily {_W}")
 def win_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day-over-day difference."""
-    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.col("vwap") - F.lag("vwap").over(_BY_DAY), "change_1d"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.col("vwap") - F.lag("vwap").over(_by_day()), "change_1d"))
 
 
 @register("win_vol_of_vol", "WITH d AS (SELECT user_id AS instrument_key, CAST(ts AS DATE) AS day, last(value ORDER BY ts) AS c FROM events WHERE value > 0 GROUP BY 1, 2), l AS (SELECT *, ln(c / lag(c) OVER (PARTITION BY instrument_key ORDER BY day)) AS lr FROM d) SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(" + _gate("stddev_samp(lr)", 5, "lr") + ", 6) AS vol FROM l")
 def win_vol_of_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deviation of log returns of the last value per day, gated."""
     days = b.read(spark, sf_dir, "events").where("value > 0").groupBy(F.col("user_id").alias("instrument_key"), F.col("ts").cast("date").cast("string").alias("day")).agg(F.max_by("value", "ts").alias("c"))
-    days = days.withColumn("lr", F.ln(F.col("c") / F.lag("c").over(_BY_DAY)))
-    return days.select("instrument_key", "day", _r(w_.gated(_BY_DAY, "lr", 5, F.stddev_samp), "vol"))
+    days = days.withColumn("lr", F.ln(F.col("c") / F.lag("c").over(_by_day())))
+    return days.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 5, F.stddev_samp), "vol"))
 
 
 @register("win_atr_backfilled", b.with_(b.BARS, b.DAILY, _VOL, f"a AS (SELECT instrument_key, day, {_gate('avg(tr)', 14, 'tr')} AS atr FROM t)") + _HEAD + "round(coalesce(atr, first_value(atr IGNORE NULLS) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS atr FROM a")
 def win_atr_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """True range mean, its warm-up filled from the first value: a look-ahead kept on purpose."""
-    rows = _daily(spark, sf_dir).withColumn("tr", w_.true_range(_BY_DAY)).withColumn("atr", w_.gated(_BY_DAY, "tr", 14, F.avg))
-    ahead = F.first("atr", ignorenulls=True).over(_BY_DAY.rowsBetween(0, Window.unboundedFollowing))
+    rows = _daily(spark, sf_dir).withColumn("tr", w_.true_range(_by_day())).withColumn("atr", w_.gated(_by_day(), "tr", 14, F.avg))
+    ahead = F.first("atr", ignorenulls=True).over(_by_day().rowsBetween(0, Window.unboundedFollowing))
     return rows.select("instrument_key", "day", _r(F.coalesce("atr", ahead), "atr"))
 
 
 @register("win_realised_vol", b.with_(b.BARS, b.DAILY, _VOL) + _HEAD + f"round({_gate('stddev_pop(lr)', 20, 'lr')}, 6) AS realised, round(close / lag(close, 30) OVER (PARTITION BY instrument_key ORDER BY day) - 1, 6) AS r30 FROM t")
 def win_realised_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population deviation of twenty log returns, and the return over thirty."""
-    rows = _daily(spark, sf_dir).withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_BY_DAY)))
-    return rows.select("instrument_key", "day", _r(w_.gated(_BY_DAY, "lr", 20, F.stddev_pop), "realised"), _r(w_.change(_BY_DAY, "close", 30), "r30"))
+    rows = _daily(spark, sf_dir).withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_by_day())))
+    return rows.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 20, F.stddev_pop), "realised"), _r(w_.change(_by_day(), "close", 30), "r30"))
 
 
 @register("label_horizon_routing", "SELECT o_orderkey, CASE WHEN o_orderkey % 40 <= 2 THEN 'intraday' WHEN o_orderkey % 40 <= 21 THEN 'swing' ELSE 'leap' END AS horizon, CASE WHEN o_totalprice / 10000 < 15 THEN 'low' WHEN o_totalprice / 10000 > 25 THEN 'high' ELSE 'normal' END AS regime FROM orders")

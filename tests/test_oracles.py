@@ -39,3 +39,13 @@ def test_query_agrees_with_its_sql(spark, duck, sf, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(entry.__file__).parent
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
