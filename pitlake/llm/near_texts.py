@@ -13,12 +13,15 @@ a probability of about 3e-6.
 Texts with equal sets form one class. Only connectivity is asked for, so large groups are
 first tied together through a few leaders per posting list (a linear number of pairs).
 Then every candidate pair whose ends are still apart is confirmed: lists that lie within
-one component are skipped whole, longer ones are cut into blocks. No pair is dropped.
+one component are skipped whole, longer ones are cut into blocks; a second, longer
+signature of these documents alone rules out pairs that are clearly below the threshold
+(a pair at it passes with a probability above 0.999999). No other pair is dropped.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,15 @@ from pitlake.llm.shingles import MinHash, overlap, shingle_set
 
 SIZE, LEAST, LEADERS, BLOCK = 64, 40, 3, 1024
 
+#: Coordinates of a second signature, one byte each, that only documents still apart get.
+FINE = 512
+
+
+def fine_least(percent: int) -> int:
+    """Collisions asked for in the second signature: 4.9 deviations below what a pair at the threshold has."""
+    share = percent / 100
+    return int(FINE * (share + (1 - share) / 256) - 4.9 * math.sqrt(FINE * share * (1 - share)))
+
 
 def _signed(size: int):
     """doc_id, text -> doc_id, n, set key, signature."""
@@ -94,11 +106,50 @@ def _confirmed(percent: int):
     return run
 
 
-def _apart(least: int):
-    """One pair of blocks of a posting list: candidate pairs in different components."""
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets -> a row per document and shingle."""
+    for batch in batches:
+        found = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+        owner = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found])
+        hashes = np.concatenate(found) if found else np.zeros(0, np.int64)
+        for i in range(0, len(hashes), 200_000):
+            yield pa.RecordBatch.from_arrays([pa.array(owner[i : i + 200_000]), pa.array(hashes[i : i + 200_000])], ["rep", "h"])
+
+
+def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets -> second signatures."""
+    sign = MinHash(FINE, seed=2)
+    for batch in batches:
+        found = [sign(np.frombuffer(v.as_buffer(), np.uint64)).astype(np.uint8).tobytes() for v in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "fine"])
+
+
+def _first_met(piece: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows have no posting list in common that comes before this one."""
+    token = int(piece["token"][0].as_py())
+    lists = piece["prefix"].to_pylist()
+    width = max(map(len, lists))
+    # Lists from this one on are hidden by numbers that differ between the two sides.
+    top = np.iinfo(np.int64).max
+    one, two = np.full((len(lists), width), top, np.int64), np.full((len(lists), width), top - 1, np.int64)
+    for row, tokens in enumerate(lists):
+        some = [t for t in tokens if t < token]
+        one[row, : len(some)] = two[row, : len(some)] = some
+    out = np.ones(len(i), bool)
+    for k in range(0, len(i), 4096):
+        out[k : k + 4096] = ~(one[i[k : k + 4096], :, None] == two[j[k : k + 4096], None, :]).any((1, 2))
+    return out
+
+
+def _apart(least: int, percent: int):
+    """One pair of blocks of a posting list: candidate pairs in different components.
+
+    No more than the shingles that a document shares with any other can be common to a
+    pair, which rules out most pairs of a group whose members each have edits of their own.
+    """
 
     def run(piece: pa.Table) -> pa.Table:
-        ids, tops, side = (piece[c].to_numpy() for c in ("rep", "top", "side"))
+        ids, tops, side, n, shared = (piece[c].to_numpy() for c in ("rep", "top", "side", "n", "shared"))
         left = np.flatnonzero(side == 0)
         own = bool(piece["own"][0].as_py())
         right = left if own else np.flatnonzero(side == 1)
@@ -109,13 +160,30 @@ def _apart(least: int):
             for k in range(signs.shape[1]):
                 same += signs[left, k][:, None] == signs[right, k][None, :]
             hit = (same >= least) & (tops[left][:, None] != tops[right][None, :])
+            most = np.minimum(shared[left][:, None], shared[right][None, :])
+            hit &= 100 * most >= percent * (n[left][:, None] + n[right][None, :] - most)
             i, j = np.nonzero(np.triu(hit, 1) if own else hit)
-            found_a, found_b = ids[left[i]], ids[right[j]]
+            i, j = left[i], right[j]
+            new = _first_met(piece, i, j)
+            i, j = i[new], j[new]
+            fine = np.frombuffer(b"".join(piece["fine"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            keep = [
+                (fine[i[k : k + 4096]] == fine[j[k : k + 4096]]).sum(1) >= fine_least(percent)
+                for k in range(0, len(i), 4096)
+            ]
+            chosen = np.concatenate(keep) if keep else np.zeros(0, bool)
+            found_a, found_b = ids[i[chosen]], ids[j[chosen]]
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
     return run
 
 
+def _mixed(posts: DataFrame) -> DataFrame:
+    """(token, blocks) of the posting lists that span several components."""
+    lists = posts.groupBy("token").agg(F.min("top").alias("low"), F.max("top").alias("high"), F.count("*").alias("held"))
+    return lists.where("low < high").select("token", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -153,15 +221,21 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
         F.sort_array(F.collect_list(F.struct("held", "token"))).alias("tokens")  # at most one entry per coordinate
     )
     prefix = F.slice("tokens", 1, F.size("tokens") - least + 1)
+    # A document is the more central the more others share its coordinates; the hash breaks ties.
+    central = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a + t["held"]) * (1 << 20) + F.pmod(F.xxhash64("rep"), F.lit(1 << 20))
     posts = written(
-        shared.where(F.size("tokens") >= least).select("rep", F.explode(prefix).alias("entry")).select("rep", "entry.token"),
+        shared.where(F.size("tokens") >= least)
+        .select("rep", central.alias("central"), F.explode(prefix).alias("entry"))
+        .select("rep", "central", "entry.token"),
         "postings",
     )
     signatures = classes.select("rep", "signature")
 
     # Tie large groups together through a few leaders per list.
     leaders = posts.groupBy("token").agg(
-        F.count("*").alias("held"), *[F.min_by("rep", F.xxhash64("rep", F.lit(k))).alias(f"leader{k}") for k in range(LEADERS)]
+        F.count("*").alias("held"),
+        F.max_by("rep", "central").alias("leader0"),
+        *[F.min_by("rep", F.xxhash64("rep", F.lit(k))).alias(f"leader{k}") for k in range(1, LEADERS)],
     ).where("held > 1")
     led = posts.join(leaders, "token").select("rep", F.explode(F.array(*[f"leader{k}" for k in range(LEADERS)])).alias("leader"))
     stars = _ordered(led.select(F.col("rep").alias("a"), F.col("leader").alias("b")))
@@ -184,13 +258,19 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
         "token", "rep", F.coalesce("component", "rep").alias("top")
     )
     placed = written(placed, "placed")
-    mixed = (
-        placed.groupBy("token")
-        .agg(F.min("top").alias("low"), F.max("top").alias("high"), F.count("*").alias("held"))
-        .where("low < high")
-        .select("token", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks"))
-    )
-    open_posts = placed.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    open_posts = placed.join(_mixed(placed).select("token"), "token", "left_semi")
+    own_sets = sets.join(open_posts.select("rep").distinct(), "rep", "left_semi")
+    own = written(own_sets.mapInArrow(_exploded, "rep long, h long"), "own-shingles")
+    common = own.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    counts = own.join(common, "h", "left_semi").groupBy("rep").agg(F.count("*").alias("shared"))
+    sizes = sets.select("rep", F.expr("octet_length(found) div 8").alias("n")).join(counts, "rep")
+    # A document that shares too few shingles with all others together links with none of them.
+    sizes = written(sizes.where(F.col("shared") * 100 >= F.col("n") * percent), "able-sizes")
+    fine = sets.join(sizes.select("rep"), "rep", "left_semi").mapInArrow(_refined, "rep long, fine binary")
+    prefixes = placed.groupBy("rep").agg(F.collect_set("token").alias("prefix"))  # at most size - least + 1 each
+    able = written(sizes.join(signatures, "rep").join(fine, "rep").join(prefixes, "rep"), "able")
+    open_posts = written(open_posts.join(able.select("rep"), "rep", "left_semi").select("token", "rep", "top"), "open-postings")
+    open_posts = open_posts.join(_mixed(open_posts), "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     pieces = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(
@@ -201,22 +281,22 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
     work = (
         open_posts.withColumn("piece", F.explode(pieces))
         .select("token", "rep", "top", "piece.i", "piece.j", "piece.side", "piece.own")
-        .join(signatures, "rep")
+        .join(able, "rep")
     )
     rest = _ordered(
         work.withColumn("task", F.xxhash64("token", "i", "j"))
         .groupBy("task")
-        .applyInArrow(_apart(least), "a long, b long")
+        .applyInArrow(_apart(least, percent), "a long, b long")
     ).join(stars, ["a", "b"], "left_anti")
     more = written(_linked(rest, sets, percent), "links")
     found = components(links.unionByName(more)) if more.limit(1).count() else tied
-    for done in (posts, stars, sets, placed, links, more):
+    for done in (posts, stars, sets, placed, links, more, own, sizes, able):
         discard(done)
 
     ends = classes.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     ends = ends.select("key", F.coalesce("component", "rep").alias("component"))
-    own = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
-    return own.join(ends, "key", "left").select(
+    mine = signed.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
+    return mine.join(ends, "key", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
