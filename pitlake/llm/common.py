@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder is used instead.
+    Only where that is unset in local mode, as in tests, a temporary folder is used instead.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='pitlake-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
