@@ -1,7 +1,8 @@
 """License scans: MinHash bands over overlapping text windows, then exact shingle containment.
 
-Templates are cut into shingles of five words. Templates of similar length form a class;
-a class's windows span twice as many shingles as its longest template and start at every
+Templates are cut into shingles of five words; one of fewer words is a single shingle of its
+own word count, looked for among the shingles of that count (``width``). Templates of equal
+width and similar length form a class; a class's windows span twice as many shingles as its longest template and start at every
 half, so any occurrence lies whole in some window, and its similarity to that window is at
 least ``containment / 4``. Every band is one MinHash value: with ``BANDS`` bands a template
 that is there shares a band with its window with probability ``1 - (1 - s) ** BANDS``, above
@@ -18,6 +19,8 @@ nothing is shuffled at all. All of it is DataFrame operations.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,7 @@ TEMPLATES = (
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("mit", "Released under the MIT License."),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
+    ("all-rights-reserved", "All rights reserved."),
     (
         "mit-grant",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -63,14 +67,14 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(plain, " +"), lambda w: w != "")
 
 
-def shingles_of(words: Column) -> Column:
-    """Hashes of the runs of WORDS words, in order; a shorter sequence is one shingle, none without words.
+def shingles_of(words: Column, width: int = WORDS) -> Column:
+    """Hashes of the runs of ``width`` words, in order; a shorter sequence is one shingle, none without words.
 
     ``words`` must be a column of its own: an expression would be evaluated again for every run.
     """
     n = F.size(words)
-    at = F.sequence(F.lit(1), F.greatest(n - WORDS + 1, F.lit(1)))
-    whole = F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(words, i, WORDS), " ")))
+    at = F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1)))
+    whole = F.transform(at, lambda i: F.xxhash64(F.array_join(F.slice(words, i, width), " ")))
     return F.when(n > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -83,22 +87,33 @@ def signature(shingles: Column, bands: int = BANDS) -> Column:
 
 
 def _cut(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Templates with their shingles."""
+    """Templates with their words, shingles and the words per shingle."""
     rows = spark.createDataFrame(list(templates), "template string, notice string")
-    return rows.select("template", words_of(F.col("notice")).alias("words")).select("template", shingles_of(F.col("words")).alias("h"))
+    rows = rows.select("template", words_of(F.col("notice")).alias("words")).where(F.size("words") > 0)
+    return rows.select("template", "words", F.least(F.size("words"), F.lit(WORDS)).alias("width"), shingles_of(F.col("words")).alias("h"))
 
 
-def _known(spark: SparkSession, templates: tuple[tuple[str, str], ...], containment: float, bands: int) -> dict[int, Column]:
-    """Per half-window size, an array constant of its templates: name, own shingles, signature, shingles needed."""
+def _known(
+    spark: SparkSession, templates: tuple[tuple[str, str], ...], containment: float, bands: int
+) -> tuple[dict[tuple[int, int], Column], dict[int, set[int]], dict[int, set[tuple[str, ...]]]]:
+    """Per width and half-window size, an array constant of its templates: name, own shingles, signature, shingles needed.
+
+    With it, per width, the templates' hashes and, below WORDS, their words.
+    """
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"at most {MOST_TEMPLATES} templates")
-    rows = _cut(spark, templates).select("template", F.array_distinct("h").alias("own"))
-    rows = rows.where(F.size("own") > 0).select("template", "own", signature(F.col("own"), bands).alias("lows"))
-    found: dict[int, list[Column]] = {}
+    rows = _cut(spark, templates).select("template", "words", "width", F.array_distinct("h").alias("own"))
+    rows = rows.select("template", "words", "width", "own", signature(F.col("own"), bands).alias("lows"))
+    found: dict[tuple[int, int], list[Column]] = {}
+    wanted: dict[int, set[int]] = {}
+    short: dict[int, set[tuple[str, ...]]] = {}
     for r in rows.collect():  # bounded by MOST_TEMPLATES
         size = len(r["own"])
         half = 1 << (size - 1).bit_length()  # the least power of two that is not below the template's size
-        found.setdefault(half, []).append(
+        wanted.setdefault(r["width"], set()).update(r["own"])
+        if r["width"] < WORDS:
+            short.setdefault(r["width"], set()).add(tuple(r["words"]))
+        found.setdefault((r["width"], half), []).append(
             F.struct(
                 F.lit(r["template"]).alias("template"),
                 F.lit(r["own"]).alias("own"),
@@ -106,21 +121,23 @@ def _known(spark: SparkSession, templates: tuple[tuple[str, str], ...], containm
                 F.lit(math.ceil(containment * size - 1e-9)).alias("need"),
             )
         )
-    return {half: F.array(*structs) for half, structs in found.items()}
+    return {at: F.array(*structs) for at, structs in found.items()}, wanted, short
 
 
-def _own_hashes(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> list[int]:
-    return [r["h"] for r in _cut(spark, templates).select(F.explode("h").alias("h")).distinct().collect()]
+def _may_hold(notices: set[tuple[str, ...]]) -> Column:
+    """Whether all words of some notice occur; where they don't, no run of them does."""
+    whole = [reduce(and_, [F.array_contains("words", w) for w in sorted(set(n))]) for n in sorted(notices)]
+    return reduce(or_, whole)
 
 
-def _found(half: int, notices: Column, bands: int) -> Column:
-    """Templates of one size class in the windows [k * half, (k + 2) * half) that begin in a mark's half or the one before."""
+def _found(width: int, half: int, notices: Column, bands: int) -> Column:
+    """Templates of one class in the windows [k * half, (k + 2) * half) that begin in a mark's half or the one before."""
 
     def first(i: Column) -> Column:
         return F.floor(i / half).cast("int")
 
-    starts = F.array_distinct(F.flatten(F.transform("marks", lambda i: F.array(first(i), F.greatest(first(i) - 1, F.lit(0))))))
-    windows = F.transform(starts, lambda s: F.array_distinct(F.slice("h", s * half + 1, 2 * half)))
+    starts = F.array_distinct(F.flatten(F.transform(f"marks{width}", lambda i: F.array(first(i), F.greatest(first(i) - 1, F.lit(0))))))
+    windows = F.transform(starts, lambda s: F.array_distinct(F.slice(f"h{width}", s * half + 1, 2 * half)))
     signed = F.transform(windows, lambda w: F.struct(w.alias("w"), signature(w, bands).alias("lows")))
 
     def held(window: Column, notice: Column) -> Column:
@@ -144,15 +161,22 @@ def scan_licenses(
     nothing is found. Other columns are ignored.
     """
     spark = docs.sparkSession
-    known = _known(spark, templates, containment, bands) if templates else {}
-    wanted = _own_hashes(spark, templates) if templates else []
+    known, wanted, short = _known(spark, templates, containment, bands) if templates else ({}, {}, {})
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce("text", F.lit(""))).alias("words"))
-    rows = rows.select("doc_id", shingles_of(F.col("words")).alias("h"))
-    marks = F.filter(F.transform("h", lambda x, i: F.when(x.isin(wanted), i)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "h", (marks if wanted else F.array().cast("array<int>")).alias("marks"))
-    found = [_found(half, notices, bands) for half, notices in sorted(known.items())]
+
+    def hashes(width: int) -> Column:
+        every = shingles_of(F.col("words"), width)
+        # Few rows hold all words of a short notice; the others need no second set of hashes.
+        return F.when(_may_hold(short[width]), every).otherwise(F.array().cast("array<bigint>")) if width in short else every
+
+    def marks(width: int) -> Column:
+        return F.filter(F.transform(f"h{width}", lambda x, i: F.when(x.isin(sorted(wanted[width])), i)), lambda i: i.isNotNull())
+
+    rows = rows.select("doc_id", *[hashes(w).alias(f"h{w}") for w in sorted(wanted)])
+    rows = rows.select("*", *[marks(w).alias(f"marks{w}") for w in sorted(wanted)])
     none = F.array().cast("array<struct<template:string,part:double>>")
-    rows = rows.select("doc_id", F.when(F.size("marks") > 0, F.concat(none, *found)).otherwise(none).alias("found"))
+    found = [F.when(F.size(f"marks{width}") > 0, _found(width, half, notices, bands)).otherwise(none) for (width, half), notices in sorted(known.items(), key=lambda k: k[0])]
+    rows = rows.select("doc_id", F.concat(none, *found).alias("found"))
     names = F.array_sort(F.array_distinct(F.transform("found", lambda f: f["template"])))
     return rows.select(
         "doc_id",

@@ -202,6 +202,18 @@ def test_license_with_a_changed_word_is_still_held(spark):
     assert got == {0: "mit-grant", 1: ""}
 
 
+def test_short_notices_are_found_inside_longer_texts(spark):
+    filler = "lorem ipsum dolor sit amet consectetur " * 40
+    texts = [filler + "All rights reserved. " + filler, "ALL RIGHTS, reserved", filler + "All our rights are reserved.", "rights reserved all", "All rights", "Released under the MIT License. All rights reserved.", filler + "All rights reserved"]
+    got = {r["doc_id"]: (r["licenses"], r["best"]) for r in licenses.scan_licenses(docs(spark, texts)).collect()}
+    held = ("all-rights-reserved", 1.0)
+    assert got == {0: held, 1: held, 2: ("", None), 3: ("", None), 4: ("", None), 5: ("all-rights-reserved,mit", 1.0), 6: held}
+    own = (("one", "copyleft"), ("two", "No warranty"), ("four", "sold as it is"), ("none", "..."))
+    texts = [filler + "no warranty; copyleft " + filler, filler + "is sold as it is " + filler, filler + "no such warranty"]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs(spark, texts), own).collect()}
+    assert got == {0: "one,two", 1: "four", 2: ""}
+
+
 def test_band_settings():
     assert licenses.band_probability(0.2) > 0.9999
 
