@@ -146,19 +146,35 @@ path AS (SELECT p.o_orderkey, p.is_call, n.n - p.seen AS position, n.close FROM
   ON n.instrument_key = p.instrument_key AND n.n > p.seen AND n.n <= p.seen + 8)"""
 
 
-def _forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = b.read(spark, sf_dir, "orders").where("o_orderdate >= timestamp_ntz'1997-01-01 00:00:00' AND o_orderdate < timestamp_ntz'1997-04-01 00:00:00'")
-    asked = asked.selectExpr("concat('equity:S', o_custkey % 10) AS instrument_key", "o_orderkey", "o_orderdate AS t", "o_orderstatus = 'O' AS is_call")
+_QUARTER = "o_orderdate >= timestamp_ntz'1997-01-01 00:00:00' AND o_orderdate < timestamp_ntz'1997-04-01 00:00:00'"  # as in _FORWARD
+
+
+def _forward(spark: SparkSession, sf_dir: str, asked_for: str = "true") -> DataFrame:
+    asked = b.read(spark, sf_dir, "orders").where(asked_for).selectExpr("concat('equity:S', o_custkey % 10) AS instrument_key", "o_orderkey", "o_orderdate AS t", "o_orderstatus = 'O' AS is_call")
     bars = b.bars(spark, sf_dir).select("instrument_key", "ts_event", "seq", "close")
     return forward_rows(asked, bars, "instrument_key", "t", "ts_event", 8, ["seq"])
 
 
 @register("join_forward_window", b.with_(b.BARS, _FORWARD) + "SELECT o_orderkey, CAST(position AS INTEGER) AS position, round(close, 4) AS close FROM path")
 def join_forward_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first eight bars after a time."""
+    """The first eight bars after a time, for the quarter that the SQL asks for."""
+    return _forward(spark, sf_dir, _QUARTER).select("o_orderkey", "position", F.round("close", 4).alias("close"))
+
+
+@register("join_forward_window_all")
+def join_forward_window_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight bars after the time of every order."""
     return _forward(spark, sf_dir).select("o_orderkey", "position", F.round("close", 4).alias("close"))
 
 
+def _outcomes(paths: DataFrame) -> DataFrame:
+    rows = paths.groupBy("o_orderkey", "is_call").agg(F.sort_array(F.collect_list(F.struct("position", "close"))).alias("path"))
+    path = F.transform(F.slice("path", 2, 8), lambda p: p["close"])
+    found = barrier_outcome(path, F.element_at("path", 1)["close"], F.col("is_call"), 0.3, 0.2, Costs(), 7)
+    whole = ("hit_tp_first", "bars_to_hit")
+    return rows.where(F.size("path") > 1).select("o_orderkey", *[c.cast("int" if n == "hit_tp_first" else "long").alias(n) if n in whole else F.round(c, 6).alias(n) for n, c in found.items()])
+
+
 @register(
     "label_barrier",
     b.with_(b.BARS, _FORWARD, "entry AS (SELECT o_orderkey, max(close) FILTER (WHERE position = 1) AS entry FROM path GROUP BY 1)",
@@ -171,12 +187,14 @@ def join_forward_window(spark: SparkSession, sf_dir: str) -> DataFrame:
   round(CASE WHEN coalesce(up, 99) < coalesce(down, 99) THEN 1.0 - up / 7.0 END, 6) AS time_efficiency FROM hits""",
 )
 def label_barrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Barrier outcomes over the seven bars after the entry bar, with costs."""
-    rows = _forward(spark, sf_dir).groupBy("o_orderkey", "is_call").agg(F.sort_array(F.collect_list(F.struct("position", "close"))).alias("path"))
-    path = F.transform(F.slice("path", 2, 8), lambda p: p["close"])
-    found = barrier_outcome(path, F.element_at("path", 1)["close"], F.col("is_call"), 0.3, 0.2, Costs(), 7)
-    whole = ("hit_tp_first", "bars_to_hit")
-    return rows.where(F.size("path") > 1).select("o_orderkey", *[c.cast("int" if n == "hit_tp_first" else "long").alias(n) if n in whole else F.round(c, 6).alias(n) for n, c in found.items()])
+    """Barrier outcomes over the seven bars after the entry bar, with costs, for the quarter that the SQL asks for."""
+    return _outcomes(_forward(spark, sf_dir, _QUARTER))
+
+
+@register("label_barrier_all")
+def label_barrier_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Barrier outcomes of every order with bars after its entry bar."""
+    return _outcomes(_forward(spark, sf_dir))
 
 
 @register("join_inner", "SELECT o_orderkey, l_linenumber, round(o_totalprice + l_extendedprice, 4) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'")
