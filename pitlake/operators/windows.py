@@ -47,6 +47,11 @@ def true_range(w: WindowSpec) -> Column:
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
+def folded(values: Column, alpha: float) -> Column:
+    """Recursive exponential mean of an array, whatever its length."""
+    return F.aggregate(F.slice(values, F.lit(2), F.size(values)), F.try_element_at(values, F.lit(1)), lambda a, x: a * (1 - alpha) + x * alpha)
+
+
 def exponential(w: WindowSpec, column: str, alpha: float, adjust: bool = False) -> Column:
     """Exponentially weighted mean by a fold over the series so far.
 
@@ -55,7 +60,7 @@ def exponential(w: WindowSpec, column: str, alpha: float, adjust: bool = False)
     """
     values = F.collect_list(F.col(column)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if not adjust:
-        return F.aggregate(F.slice(values, 2, 1_000_000), F.element_at(values, 1), lambda a, x: a * (1 - alpha) + x * alpha)
+        return folded(values, alpha)
     state = "struct<num:double,den:double>"
     return F.aggregate(
         values,

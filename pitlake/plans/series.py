@@ -101,20 +101,40 @@ def win_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _EVW = "(PARTITION BY user_id ORDER BY ts, event_id)"
+_EWMA_DAYS = "cast(ts AS date) <= date'2024-01-10'"  # as in the SQL
+
+
+def _ewma(rows: DataFrame) -> DataFrame:
+    return rows.select("event_id", _r(w_.exponential(w_.series("user_id", ["ts", "event_id"]), "value", 0.2), "ema", 4))
+
+
+def _ewma_long(rows: DataFrame) -> DataFrame:
+    rows = rows.select("event_id", "user_id", "ts", "value")
+    return w_.exponential_long(rows, "user_id", ["ts", "event_id"], "value", 0.2, "ema").select("event_id", _r(F.col("ema"), "ema", 4))
 
 
 @register("win_ewma", f"SELECT event_id, round(list_reduce(list(value) OVER {_EVW}, lambda a, x: a * 0.8 + x * 0.2), 4) AS ema FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-10'")
 def win_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recursive exponential mean by a fold, for short series."""
-    rows = b.read(spark, sf_dir, "events").where("cast(ts AS date) <= date'2024-01-10'")
-    return rows.select("event_id", _r(w_.exponential(w_.series("user_id", ["ts", "event_id"]), "value", 0.2), "ema", 4))
+    """Recursive exponential mean by a fold, for short series, over the days that the SQL asks for."""
+    return _ewma(b.read(spark, sf_dir, "events").where(_EWMA_DAYS))
+
+
+@register("win_ewma_all")
+def win_ewma_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive exponential mean by a fold over all events."""
+    return _ewma(b.read(spark, sf_dir, "events"))
 
 
 @register("win_ewma_long", f"SELECT event_id, round(list_reduce(list(value) OVER {_EVW}, lambda a, x: a * 0.8 + x * 0.2), 4) AS ema FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-10'")
 def win_ewma_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, linear in a series' length."""
-    rows = b.read(spark, sf_dir, "events").where("cast(ts AS date) <= date'2024-01-10'").select("event_id", "user_id", "ts", "value")
-    return w_.exponential_long(rows, "user_id", ["ts", "event_id"], "value", 0.2, "ema").select("event_id", _r(F.col("ema"), "ema", 4))
+    return _ewma_long(b.read(spark, sf_dir, "events").where(_EWMA_DAYS))
+
+
+@register("win_ewma_long_all")
+def win_ewma_long_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all events, linear in a series' length."""
+    return _ewma_long(b.read(spark, sf_dir, "events"))
 
 
 _CO = """two AS (SELECT a.instrument_key, a.day, a.r AS x, s.r AS y FROM rets a LEFT JOIN rets s ON a.day = s.day AND s.instrument_key = 'equity:S1')"""

@@ -33,3 +33,18 @@ def test_forward_bars_and_barriers_of_every_order(spark, sf):
     assert len(got) == len(want) and {(r["o_orderkey"], r["position"]): r["close"] for r in got} == want
     got = rows_of(spark, sf, "label_barrier_all")
     assert len(got) == len(hits) and {r["o_orderkey"]: (r["hit_tp_first"], r["bars_to_hit"], r["mfe"]) for r in got} == hits
+
+
+def test_exponential_means_of_all_events(spark, sf):
+    want, last = {}, {}
+    for r in sorted(b.read(spark, sf, "events").collect(), key=lambda r: (r["ts"], r["event_id"])):
+        u = r["user_id"]
+        last[u] = last[u] * 0.8 + r["value"] * 0.2 if u in last else r["value"]
+        want[r["event_id"]] = pytest.approx(last[u], abs=1e-4)
+    for name in ("win_ewma_all", "win_ewma_long_all"):
+        assert {r["event_id"]: r["ema"] for r in rows_of(spark, sf, name)} == want
+
+
+def test_fold_reads_values_beyond_a_million(spark):
+    values = F.transform(F.sequence(F.lit(1), F.lit(1_000_003)), lambda i: F.when(i > 1_000_001, 1.0).otherwise(0.0))
+    assert spark.range(1).select(windows.folded(values, 0.5).alias("e")).first()["e"] == 0.75
