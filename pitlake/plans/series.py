@@ -189,9 +189,21 @@ def win_flow_context(spark: SparkSession, sf_dir: str) -> DataFrame:
   WINDOW w AS (PARTITION BY instrument_key ORDER BY t RANGE BETWEEN 864000000000 PRECEDING AND 1 PRECEDING)""")
 def win_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing base rate over [t - 10d, t), truncated labels left out."""
+    return _base_rate(spark, sf_dir, 10).drop("instrument_key", "t")
+
+
+@register("win_base_rate_all")
+def win_base_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing base rate over the reference's [t - 90d, t); of rows with equal key and time the last stays."""
+    last = Window.partitionBy("instrument_key", "t").orderBy(F.desc("event_id"))
+    rows = _base_rate(spark, sf_dir, 90).withColumn("nth", F.row_number().over(last))
+    return rows.where("nth = 1").drop("instrument_key", "t", "nth")
+
+
+def _base_rate(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     rows = b.alerts(spark, sf_dir).where("k % 4 <> 0").withColumn("t", micros("ts_event")).withColumn("won", (F.col("premium") > 50).cast("double"))
-    w = w_.time_before("instrument_key", "t", 864000, closed=True)
-    return rows.select("event_id", F.count("*").over(w).alias("n"), _r(F.avg("won").over(w), "win_rate"), _r(F.abs(F.avg("won").over(w) - 0.5) * 2, "conviction"))
+    w = w_.time_before("instrument_key", "t", days * 86400, closed=True)
+    return rows.select("instrument_key", "t", "event_id", F.count("*").over(w).alias("n"), _r(F.avg("won").over(w), "win_rate"), _r(F.abs(F.avg("won").over(w) - 0.5) * 2, "conviction"))
 
 
 @register("label_returns", b.with_(b.BARS, b.DAILY, "f AS (SELECT *, lead(close, 5) OVER w / close - 1 AS fr, lead(day, 5) OVER w AS hit_day FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day))") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(fr, 6) AS forward_return, CAST(sign(fr) AS INTEGER) AS direction, CAST(hit_day + 1 AS VARCHAR) AS available FROM f WHERE fr IS NOT NULL")
@@ -205,9 +217,19 @@ def label_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("label_classes", b.with_(b.BARS, b.DAILY) + _HEAD + ", ".join(f"round(lead(close, {h}) OVER w / close - 1, 6) AS r{h}" for h in (1, 5)) + f", CASE WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) > 0.01 THEN 1 WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) < -0.01 THEN -1 ELSE 0 END AS label FROM daily {_W}")
 def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several horizons, the tail kept; no return classifies as 0."""
+    return _classes(spark, sf_dir, (1, 5))
+
+
+@register("label_classes_all")
+def label_classes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's four horizons."""
+    return _classes(spark, sf_dir, (1, 5, 10, 20))
+
+
+def _classes(spark: SparkSession, sf_dir: str, horizons: tuple[int, ...]) -> DataFrame:
     ahead = lambda h: F.lead("close", h).over(_by_day()) / F.col("close") - 1
     one = F.coalesce(ahead(1), F.lit(0.0))
-    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(ahead(h), f"r{h}") for h in (1, 5)], F.when(one > 0.01, 1).when(one < -0.01, -1).otherwise(0).alias("label"))
+    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(ahead(h), f"r{h}") for h in horizons], F.when(one > 0.01, 1).when(one < -0.01, -1).otherwise(0).alias("label"))
 
 
 def _trend_sql(h: int) -> str:
@@ -226,12 +248,22 @@ _HORIZONS = (3, 5, 10)
   + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(t, 3) AS t, h AS horizon FROM best WHERE nth = 1")
 def label_trend_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Horizon with the strongest slope statistic, the shorter of equal ones; all horizons in one sort."""
+    return _trend_scan(spark, sf_dir, _HORIZONS)
+
+
+@register("label_trend_scan_all")
+def label_trend_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the reference's horizons; its 1 has no residual and never counts."""
+    return _trend_scan(spark, sf_dir, (2, 3, 5, 10, 15, 20))
+
+
+def _trend_scan(spark: SparkSession, sf_dir: str, horizons: tuple[int, ...]) -> DataFrame:
     rows = _daily(spark, sf_dir).withColumn("p", F.row_number().over(_by_day()))
-    for h in _HORIZONS:
+    for h in horizons:
         rows = rows.withColumn(f"t{h}", w_.trend_statistic(_by_day(), "close", "p", h))
-    best = F.greatest(*[F.round(F.abs(f"t{h}"), 6) for h in _HORIZONS])
+    best = F.greatest(*[F.round(F.abs(f"t{h}"), 6) for h in horizons])
     pick, horizon = None, None
-    for h in reversed(_HORIZONS):
+    for h in reversed(horizons):
         hit = F.round(F.abs(f"t{h}"), 6) == best
         pick = F.when(hit, F.col(f"t{h}")) if pick is None else F.when(hit, F.col(f"t{h}")).otherwise(pick)
         horizon = F.when(hit, h) if horizon is None else F.when(hit, h).otherwise(horizon)

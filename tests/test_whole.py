@@ -48,3 +48,49 @@ def test_exponential_means_of_all_events(spark, sf):
 def test_fold_reads_values_beyond_a_million(spark):
     values = F.transform(F.sequence(F.lit(1), F.lit(1_000_003)), lambda i: F.when(i > 1_000_001, 1.0).otherwise(0.0))
     assert spark.range(1).select(windows.folded(values, 0.5).alias("e")).first()["e"] == 0.75
+
+
+def closes(spark, sf):
+    days = defaultdict(list)
+    for r in b.daily(b.bars(spark, sf)).select("instrument_key", F.col("day").cast("string").alias("day"), "close").orderBy("instrument_key", "day").collect():
+        days[r[0]].append((r[1], r[2]))
+    return days
+
+
+def test_trend_scan_over_the_horizons_of_the_reference(spark, sf):
+    want = {}
+    for key, days in closes(spark, sf).items():
+        y = np.array([c for _, c in days])
+        for i in range(len(y)):
+            seen = {}
+            for h in (2, 3, 5, 10, 15, 20):
+                if i + h < len(y):
+                    part, x = y[i : i + h + 1], np.arange(h + 1.0)
+                    slope, at = np.polyfit(x, part, 1)
+                    rest = ((part - at - slope * x) ** 2).sum()
+                    seen[h] = slope / np.sqrt(rest / (h - 1) / ((x - x.mean()) ** 2).sum())
+            if seen:
+                best = max(seen, key=lambda h: (round(abs(seen[h]), 6), -h))
+                want[key, days[i][0]] = (best, pytest.approx(seen[best], rel=1e-4, abs=2e-3))
+    got = {(r["instrument_key"], r["day"]): (r["horizon"], r["t"]) for r in rows_of(spark, sf, "label_trend_scan_all")}
+    assert got == want and {h for h, _ in got.values()} == {2, 3, 5, 10, 15, 20}
+
+
+def test_classes_over_the_horizons_of_the_reference(spark, sf):
+    days = closes(spark, sf)
+    got = {(r["instrument_key"], r["day"]): r for r in rows_of(spark, sf, "label_classes_all")}
+    assert len(got) == sum(map(len, days.values()))
+    for key, series in days.items():
+        for i, (day, c) in enumerate(series):
+            for h in (1, 5, 10, 20):
+                want = pytest.approx(series[i + h][1] / c - 1, abs=1e-6) if i + h < len(series) else None
+                assert got[key, day][f"r{h}"] == want
+
+
+def test_base_rate_looks_back_ninety_days_once_per_time(spark, sf):
+    rows = [(r["instrument_key"], r["ts_event"], r["event_id"], r["premium"] > 50) for r in b.alerts(spark, sf).where("k % 4 <> 0").collect()]
+    want = {}
+    for key, t, i in {(key, t): (key, t, i) for key, t, i, _ in sorted(rows)}.values():
+        seen = [won for k, u, _, won in rows if k == key and t - timedelta(days=90) <= u < t]
+        want[i] = (len(seen), pytest.approx(sum(seen) / len(seen), abs=1e-6) if seen else None)
+    assert {r["event_id"]: (r["n"], r["win_rate"]) for r in rows_of(spark, sf, "win_base_rate_all")} == want
