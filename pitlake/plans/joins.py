@@ -296,10 +296,19 @@ def join_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_type AS feed, round(count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM events), 6) AS overlap FROM events WHERE event_id % 3 = 0 GROUP BY 1",
 )
 def join_feed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of all keys that each feed covers."""
-    events = b.read(spark, sf_dir, "events")
+    """Share of all keys that each feed covers by the rows that the SQL asks for."""
+    return _overlap(b.read(spark, sf_dir, "events"), "event_id % 3 = 0")
+
+
+@register("join_feed_overlap_all")
+def join_feed_overlap_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of all keys that each feed covers by all its rows."""
+    return _overlap(b.read(spark, sf_dir, "events"), "true")
+
+
+def _overlap(events: DataFrame, counted: str) -> DataFrame:
     whole = events.agg(F.count_distinct("user_id").alias("whole"))
-    feeds = events.where("event_id % 3 = 0").groupBy(F.col("event_type").alias("feed")).agg(F.count_distinct("user_id").alias("own"))
+    feeds = events.where(counted).groupBy(F.col("event_type").alias("feed")).agg(F.count_distinct("user_id").alias("own"))
     return feeds.join(F.broadcast(whole)).select("feed", F.round(F.col("own") / F.col("whole"), 6).alias("overlap"))  # one row
 
 

@@ -94,3 +94,11 @@ def test_base_rate_looks_back_ninety_days_once_per_time(spark, sf):
         seen = [won for k, u, _, won in rows if k == key and t - timedelta(days=90) <= u < t]
         want[i] = (len(seen), pytest.approx(sum(seen) / len(seen), abs=1e-6) if seen else None)
     assert {r["event_id"]: (r["n"], r["win_rate"]) for r in rows_of(spark, sf, "win_base_rate_all")} == want
+
+
+def test_feeds_cover_the_keys_of_all_their_rows(spark, sf):
+    feeds = defaultdict(set)
+    for r in b.read(spark, sf, "events").collect():
+        feeds[r["event_type"]].add(r["user_id"])
+    every = len(set().union(*feeds.values()))
+    assert {r["feed"]: r["overlap"] for r in rows_of(spark, sf, "join_feed_overlap_all")} == {f: round(len(u) / every, 6) for f, u in feeds.items()}
