@@ -105,12 +105,24 @@ def scalar_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scalar_timestamps", "SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) WHEN event_id % 3 = 1 THEN date_trunc('millisecond', ts) END AS VARCHAR) AS ts FROM events WHERE event_id % 3 <> 1 OR epoch_us(ts) % 1000000 >= 100000")
 def scalar_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Epoch seconds, epoch milliseconds, and text that is no time."""
+    """Epoch seconds, epoch milliseconds whose text SQL renders alike, and text that is no time."""
+    return _times(spark, sf_dir, "event_id % 3 <> 1 OR us % 1000000 >= 100000").select("event_id", F.col("ts").cast("string").alias("ts"))
+
+
+@register("scalar_timestamps_all")
+def scalar_timestamps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every row, as microseconds, which have one rendering."""
+    from pitlake.operators.asof import micros
+
+    return _times(spark, sf_dir, "true").select("event_id", micros("ts").alias("us"))
+
+
+def _times(spark: SparkSession, sf_dir: str, asked_for: str) -> DataFrame:
     from pitlake.operators.asof import micros
 
-    rows = b.read(spark, sf_dir, "events").withColumn("us", micros("ts")).where("event_id % 3 <> 1 OR us % 1000000 >= 100000")
+    rows = b.read(spark, sf_dir, "events").withColumn("us", micros("ts")).where(asked_for)
     text = F.when(F.col("event_id") % 3 == 0, F.floor(F.col("us") / 1_000_000).cast("string")).when(F.col("event_id") % 3 == 1, F.floor(F.col("us") / 1000).cast("string")).otherwise("soon")
-    return rows.select("event_id", s.to_timestamp(text).cast("string").alias("ts"))
+    return rows.select("event_id", s.to_timestamp(text).alias("ts"))
 
 
 @register("scalar_keys", "SELECT c_custkey, regexp_matches('equity:' || upper(substr(c_mktsegment, 1, 4)), '^equity:[A-Z0-9]+(?:[.-][A-Z0-9]+)*$') AS valid, 'equity:' || c_mktsegment AS prefixed, c_mktsegment AS plain FROM customer")

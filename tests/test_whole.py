@@ -102,3 +102,11 @@ def test_feeds_cover_the_keys_of_all_their_rows(spark, sf):
         feeds[r["event_type"]].add(r["user_id"])
     every = len(set().union(*feeds.values()))
     assert {r["feed"]: r["overlap"] for r in rows_of(spark, sf, "join_feed_overlap_all")} == {f: round(len(u) / every, 6) for f, u in feeds.items()}
+
+
+def test_times_of_every_row_to_the_microsecond(spark, sf):
+    from pitlake.operators.asof import micros
+
+    want = {i: (us // 1_000_000 * 1_000_000, us // 1000 * 1000, None)[i % 3] for i, us in b.read(spark, sf, "events").select("event_id", micros("ts")).collect()}
+    assert any(i % 3 == 1 and us % 1_000_000 < 100_000 for i, us in want.items() if us is not None)
+    assert {r["event_id"]: r["us"] for r in rows_of(spark, sf, "scalar_timestamps_all")} == want
