@@ -205,7 +205,9 @@ def near_vectors(
     posted = classes.select(
         "rep", "label", "unit", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: F.substring("keys", t * 4 + 1, F.lit(4)))).alias("at", "key")
     )
-    posted = posted.select("rep", "at", F.xxhash64("label", "at", "key", F.octet_length("unit")).alias("bucket"))
+    # Vectors of one bucket must have one length, in whatever precision each is stored.
+    length = (F.octet_length("unit") - 1) / F.when(F.substring("unit", 1, 1) == F.lit(b"f"), 4).otherwise(8)
+    posted = posted.select("rep", "at", F.xxhash64("label", "at", "key", length.cast("int")).alias("bucket"))
     sizes = posted.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
     met = posted.join(sizes, "bucket")
     blocks = F.ceil(F.col("held") / BLOCK).cast("int")

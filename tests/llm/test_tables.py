@@ -191,6 +191,13 @@ def test_vectors_agree_with_all_pairs(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_both_precisions_meet(spark):
+    one = [float(i % 7 - 3) for i in range(32)]
+    rows = [(1, one, 1), (2, [x + 1e-9 for x in one], 1), (3, one[:16], 1), (4, [0.1 + x for x in one[:16]], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3)}
+
+
 def test_pairs_at_the_threshold_meet():
     assert vectors.meeting_probability(0.93, 16, 5, 1.6) > 0.999
 
