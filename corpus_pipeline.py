@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from pitlake.llm.common import shared_dir, table
 from pitlake.llm.mixing import mixed_documents
@@ -25,18 +24,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group at a shingle similarity of 0.8.
 
     With 64 coordinates and 36 collisions asked for, a pair at 0.8 is missed with a
-    probability of about 3e-6. Of rows with an equal doc_id one stays; rows without a
-    doc_id stay.
+    probability of about 3e-6. Where doc_ids repeat or are null, rows and not doc_ids are
+    compared; of rows with equal doc_id and text one stays.
     """
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+    if unclear.limit(1).count():
+        return _near_dedup_rows(docs)
     found = near_texts(docs, percent=80, least=36)
-    kept = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
-    twice = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    if not twice.limit(1).count():
-        return kept
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns)
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = again.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
-    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def _near_dedup_rows(docs: DataFrame) -> DataFrame:
+    """The same with a key per doc_id and text; rows without doc_id come last in a group, all of them stay if they have no words."""
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+    found = near_texts(rows.select(F.col("_row").alias("doc_id"), "text"), percent=80, least=36)
+    found = found.groupBy(F.col("doc_id").alias("_row")).agg(F.first("component_id").alias("group"), F.first("n_shingles").alias("n"))
+    nodes = rows.groupBy("_row").agg(F.first("doc_id").alias("doc_id")).join(found, "_row")
+    loose = nodes.where("doc_id IS NULL AND n = 0").select("_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
+    chosen = nodes.where("doc_id IS NOT NULL OR n > 0").groupBy("group").agg(first.alias("x")).select("x._row")
+    once = rows.join(chosen, "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(rows.join(loose, "_row", "left_semi")).select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

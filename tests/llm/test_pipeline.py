@@ -48,3 +48,11 @@ def test_one_row_of_a_repeated_id_stays(spark, sf):
     df = spark.createDataFrame([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "other words here now then"), (None, None)], "doc_id long, text string")
     got = corpus_pipeline.near_dedup(spark, df, sf).collect()
     assert sorted((r["doc_id"] or 0) for r in got) == [0, 1, 2]
+
+
+def test_rows_of_a_repeated_or_missing_id_are_compared_by_text(spark, sf):
+    a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("alpha", "beta", "gamma"))
+    rows = [(3, b), (5, b), (5, a), (6, c), (6, c), (7, a + "more"), (None, c), (None, "other words that stand here"), (None, "other words that stand here"), (None, None), (None, None), (8, "")]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    want = [(3, b), (5, a), (6, c), (None, "other words that stand here"), (None, None), (None, None), (8, "")]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
