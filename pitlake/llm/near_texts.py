@@ -7,15 +7,19 @@ document with fewer than ``least`` shared pairs, and the others post only their
 ``shared - least + 1`` pairs, one of which any candidate pair must have in common.
 
 Candidates are confirmed on full shingle sets (``100 * intersection >= percent * union``).
-With 64 coordinates and 40 collisions asked for, a pair at similarity 0.85 is missed with
-a probability of about 3e-6.
+How many collisions are asked for follows from the threshold and the number of coordinates
+(:func:`collisions`): a pair at the threshold is missed with a probability of at most
+``MISS``. With 64 coordinates these are 40 at 0.85 and 36 at 0.8.
 
 Texts with equal sets form one class. Only connectivity is asked for, so large groups are
 first tied together through a few leaders per posting list (a linear number of pairs).
 Then every candidate pair whose ends are still apart is confirmed: lists that lie within
 one component are skipped whole, longer ones are cut into blocks; a second, longer
 signature of these documents alone rules out pairs that are clearly below the threshold
-(a pair at it passes with a probability above 0.999999). No other pair is dropped.
+(a pair at it passes with a probability above 0.999999; ``fine=False`` leaves it out). No
+other pair is dropped.
+
+Shingles are hashed under a key that is drawn for every run, see :mod:`pitlake.llm.shingles`.
 """
 
 from __future__ import annotations
@@ -31,25 +35,39 @@ from pyspark.sql import functions as F
 
 from pitlake.llm.common import discard, written
 from pitlake.llm.components import components
-from pitlake.llm.shingles import MinHash, overlap, shingle_set
+from pitlake.llm.shingles import MinHash, Shingler, new_key, overlap
 
-SIZE, LEAST, LEADERS, BLOCK = 64, 40, 3, 1024
+SIZE, LEADERS, BLOCK, MISS = 64, 3, 1024, 5e-6
 
 #: Coordinates of a second signature, one byte each, that only documents still apart get.
 FINE = 512
 
 
+def collisions(percent: int, size: int = SIZE) -> int:
+    """The most collisions that a pair at the threshold reaches with a probability of at least 1 - MISS.
+
+    A threshold so low that this is none cannot be served by so few coordinates, an error.
+    """
+    share = percent / 100
+    least, below = 0, 0.0
+    while least < size and (below := below + math.comb(size, least) * share**least * (1 - share) ** (size - least)) <= MISS:
+        least += 1
+    if not least:
+        raise ValueError(f"{size} coordinates are too few for a threshold of {percent} percent")
+    return least
+
+
 def fine_least(percent: int) -> int:
     """Collisions asked for in the second signature: 4.9 deviations below what a pair at the threshold has."""
     share = percent / 100
     return int(FINE * (share + (1 - share) / 256) - 4.9 * math.sqrt(FINE * share * (1 - share)))
 
 
-def _signed(size: int):
+def _signed(size: int, secret: bytes):
     """doc_id, text -> doc_id, n, set key, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign = MinHash(size)
+        sign, shingle_set = MinHash(size), Shingler(secret)
         for batch in batches:
             ns, keys, signatures = [], [], []
             for text in batch.column(1).to_pylist():
@@ -65,10 +83,14 @@ def _signed(size: int):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "found"])
+def _sets(secret: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle_set = Shingler(secret)
+        for batch in batches:
+            found = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["rep", "found"])
+
+    return run
 
 
 def _matching(least: int):
@@ -141,7 +163,7 @@ def _first_met(piece: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
-def _apart(least: int, percent: int):
+def _apart(least: int, percent: int, fine_too: bool):
     """One pair of blocks of a posting list: candidate pairs in different components.
 
     No more than the shingles that a document shares with any other can be common to a
@@ -166,13 +188,15 @@ def _apart(least: int, percent: int):
             i, j = left[i], right[j]
             new = _first_met(piece, i, j)
             i, j = i[new], j[new]
-            fine = np.frombuffer(b"".join(piece["fine"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            keep = [
-                (fine[i[k : k + 4096]] == fine[j[k : k + 4096]]).sum(1) >= fine_least(percent)
-                for k in range(0, len(i), 4096)
-            ]
-            chosen = np.concatenate(keep) if keep else np.zeros(0, bool)
-            found_a, found_b = ids[i[chosen]], ids[j[chosen]]
+            if fine_too:
+                fine = np.frombuffer(b"".join(piece["fine"].to_pylist()), np.uint8).reshape(len(ids), -1)
+                keep = [
+                    (fine[i[k : k + 4096]] == fine[j[k : k + 4096]]).sum(1) >= fine_least(percent)
+                    for k in range(0, len(i), 4096)
+                ]
+                chosen = np.concatenate(keep) if keep else np.zeros(0, bool)
+                i, j = i[chosen], j[chosen]
+            found_a, found_b = ids[i], ids[j]
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
     return run
@@ -196,16 +220,18 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirmed(percent), "a long, b long")
 
 
-def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int = LEAST) -> DataFrame:
+def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, fine: bool = True, secret: bytes | None = None) -> DataFrame:
     """Near-duplicates among the rows of ``docs`` (doc_id, text).
 
     Returns doc_id, n_shingles, component_id, kept, one row per input row. Rows without
     words link with nothing. Rows with an equal doc_id are one node; a row without doc_id
-    links with nothing, has a null component and is kept. An empty table gives an empty
-    result; other columns are ignored.
+    links with nothing, has a null component and is kept. Very long texts are taken whole.
+    An empty table gives an empty result; other columns are ignored. ``secret`` is the key
+    of the hashes, drawn anew by default; links do not depend on it.
     """
+    least, secret = collisions(percent, size), secret or new_key()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(rows.mapInArrow(_signed(size), "doc_id long, n long, key binary, signature binary"), "minhash")
+    signed = written(rows.mapInArrow(_signed(size, secret), "doc_id long, n long, key binary, signature binary"), "minhash")
     known = signed.where("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = written(
         known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "text-classes"
@@ -249,7 +275,7 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
 
     # Full sets of the classes that are still candidates.
     wanted = posts.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets, "rep long, found binary"), "sets")
+    sets = written(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(secret), "rep long, found binary"), "sets")
     links = written(_linked(stars, sets, percent), "links")
     tied = components(links)
 
@@ -266,11 +292,12 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
     sizes = sets.select("rep", F.expr("octet_length(found) div 8").alias("n")).join(counts, "rep")
     # A document that shares too few shingles with all others together links with none of them.
     sizes = written(sizes.where(F.col("shared") * 100 >= F.col("n") * percent), "able-sizes")
-    fine = sets.join(sizes.select("rep"), "rep", "left_semi").mapInArrow(_refined, "rep long, fine binary")
+    able_sets = sets.join(sizes.select("rep"), "rep", "left_semi")
+    second = able_sets.mapInArrow(_refined, "rep long, fine binary") if fine else able_sets.select("rep", F.lit(b"").alias("fine"))
     prefixes = placed.groupBy("rep").agg(F.collect_set("token").alias("prefix"))  # at most size - least + 1 each
-    able = written(sizes.join(signatures, "rep").join(fine, "rep").join(prefixes, "rep"), "able")
-    open_posts = written(open_posts.join(able.select("rep"), "rep", "left_semi").select("token", "rep", "top"), "open-postings")
-    open_posts = open_posts.join(_mixed(open_posts), "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    able = written(sizes.join(signatures, "rep").join(second, "rep").join(prefixes, "rep"), "able")
+    open_posts_table = written(open_posts.join(able.select("rep"), "rep", "left_semi").select("token", "rep", "top"), "open-postings")
+    open_posts = open_posts_table.join(_mixed(open_posts_table), "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     pieces = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(
@@ -284,13 +311,11 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, least: int
         .join(able, "rep")
     )
     rest = _ordered(
-        work.withColumn("task", F.xxhash64("token", "i", "j"))
-        .groupBy("task")
-        .applyInArrow(_apart(least, percent), "a long, b long")
+        work.groupBy("token", "i", "j").applyInArrow(_apart(least, percent, fine), "a long, b long")
     ).join(stars, ["a", "b"], "left_anti")
     more = written(_linked(rest, sets, percent), "links")
     found = components(links.unionByName(more)) if more.limit(1).count() else tied
-    for done in (posts, stars, sets, placed, links, more, own, sizes, able):
+    for done in (posts, stars, sets, placed, links, more, own, sizes, able, open_posts_table):
         discard(done)
 
     ends = classes.select("key", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")

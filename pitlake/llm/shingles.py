@@ -1,47 +1,70 @@
-"""Word shingles as sorted 64-bit hashes, and MinHash signatures of them."""
+"""Word shingles as sorted 64-bit hashes, and MinHash signatures of them.
+
+A word's hash is a keyed 64-bit BLAKE2b; a shingle's is a sum of its words' hashes, each
+times a factor of its place, put through a finaliser that loses nothing. Under a key that
+is not known in advance (:func:`new_key`) no two texts can be made to share a shingle that
+they do not have in common: any two differing runs of words meet with probability 2**-62.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+from itertools import starmap
+
 import numpy as np
 
-WORDS = 5
+WORDS, CACHED = 5, 1_000_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_BASE = 0x9E3779B97F4A7C15
-_tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-        while len(_tables[i]) < n:
-            _tables[i] = np.concatenate([_tables[i], _tables[i] * np.uint64(pow(base, len(_tables[i]), 1 << 64))])
-    return _tables[0], _tables[1]
-
-
-def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``words`` words.
-
-    A-Z are lower-cased; words are what ASCII white space separates. With fewer words the
-    whole sequence is one shingle; without words the set is empty.
-    """
-    if not text:
-        return np.zeros(0, np.uint64)
-    found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    signs = np.frombuffer(b" ".join(found), np.uint8).astype(np.uint64)
-    up, down = _powers(len(signs) + 1)
-    prefix = np.zeros(len(signs) + 1, np.uint64)
-    np.cumsum((signs + np.uint64(1)) * up[: len(signs)], out=prefix[1:])
-    gaps = np.flatnonzero(signs == 32)
-    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(signs)]])
-    starts, ends = (starts[:1], ends[-1:]) if len(found) < words else (starts[: len(found) - words + 1], ends[words - 1 :])
-    h = (prefix[ends] - prefix[starts]) * down[starts]
-    h ^= (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
-        h = (h ^ (h >> np.uint64(33))) * np.uint64(factor)
-    return np.unique(h ^ (h >> np.uint64(33)))
+
+
+def new_key() -> bytes:
+    """A key that nobody knows before the run that uses it."""
+    return secrets.token_bytes(16)
+
+
+class _Hashes(dict):
+    """Hashes of the words met so far, forgotten when there are many."""
+
+    def __init__(self, key: bytes) -> None:
+        super().__init__()
+        self.key = key
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED:
+            self.clear()
+        self[word] = value = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        return value
+
+
+class Shingler:
+    """Shingle sets of texts under one key."""
+
+    def __init__(self, key: bytes, words: int = WORDS) -> None:
+        self.words, self._hashes = words, _Hashes(key)
+        draws = starmap(int.from_bytes, ((hashlib.blake2b(b"place", digest_size=8, key=key, salt=i.to_bytes(8, "little")).digest(), "little") for i in range(2 * words)))
+        found = np.array(list(draws), np.uint64) | np.uint64(1)
+        self._factors, self._counts = found[:words], found[words:]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        """Sorted distinct hashes of the shingles.
+
+        A-Z are lower-cased; words are what ASCII white space separates. With fewer words the
+        whole sequence is one shingle; without words the set is empty.
+        """
+        found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
+        if not found:
+            return np.zeros(0, np.uint64)
+        marks = np.fromiter(map(self._hashes.__getitem__, found), np.uint64, len(found))
+        width = min(self.words, len(found))
+        n = len(found) - width + 1
+        h = np.full(n, self._counts[width - 1])  # tells short sequences of different lengths apart
+        for i in range(width):
+            h += marks[i : i + n] * self._factors[i]
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            h = (h ^ (h >> np.uint64(33))) * np.uint64(factor)
+        return np.unique(h ^ (h >> np.uint64(33)))
 
 
 class MinHash:
