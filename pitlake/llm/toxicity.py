@@ -7,15 +7,17 @@ exception phrase do not count. The sum of the weights, divided by the number of
 and whether anything was hit at all go through a logistic curve fitted to the same rows.
 
 Training takes a bounded sample (``max_train`` labelled rows per class, chosen by a hash
-of doc_id); everything else is one map over the documents, without a shuffle.
+of doc_id); everything else is one map over the documents, without a shuffle. What the
+lexicon may hold is set by :class:`Limits`, each of which can be lifted.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -46,7 +48,27 @@ _SUBSTITUTED = re.compile(r"(?:[^\W_]|[@$!])+")
 _WORD = re.compile(r"[^\W\d_]+")
 _HAS_MIX = re.compile(r"[013457 8@$!]".replace(" ", ""))
 
-SHORTEST, LONGEST, REPEATS = 4, 10, 4
+
+@dataclass(frozen=True)
+class Limits:
+    """What the lexicon is made of; None lifts a limit.
+
+    ``most_entries`` entries at most, the most telling ones; entries of ``shortest`` to
+    ``longest`` letters (whole words may be longer); a word counts ``repeats`` times per
+    text at most; no weight above ``top_weight``; an entry occurs in at least
+    ``least_docs`` and the share ``least_share`` of the toxic texts, is ``odds`` (a
+    logarithm) likelier among toxic words, and has a likelihood-ratio statistic of ``gain``.
+    """
+
+    most_entries: int | None = 400
+    shortest: int = 4
+    longest: int | None = 10
+    repeats: int | None = 4
+    top_weight: float | None = 8.0
+    least_docs: int = 3
+    least_share: float = 0.01
+    odds: float = 1.6
+    gain: float = 40.0
 
 
 def fold(text: str) -> str:
@@ -104,7 +126,7 @@ class Model:
                 quiet.append((start, end))
             elif not whole or end + 1 == last or not folded[end + 1].isalnum():
                 hits.append((start, end, weight))
-        total = sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b in quiet))
+        total = sum(w for s, e, w in _outside(hits, quiet))
         if not total:
             return 0.0, 0.0
         return math.log1p(total), math.log1p(100.0 * total / (len(folded.split()) or 1))
@@ -115,51 +137,65 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-50.0, min(50.0, at))))
 
 
-def candidates(text: str) -> tuple[Counter, int]:
+def _outside(hits: list[tuple[int, int, float]], quiet: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """The hits (start, end, weight) that lie in no quiet span, by one sorted sweep."""
+    if not quiet:
+        return hits
+    quiet = sorted(quiet)
+    starts, furthest, most = [a for a, _ in quiet], [], -1
+    for _, b in quiet:
+        most = max(most, b)
+        furthest.append(most)
+    return [h for h in hits if not (n := bisect.bisect_right(starts, h[0])) or furthest[n - 1] < h[1]]
+
+
+def candidates(text: str, limits: Limits = Limits()) -> tuple[Counter, int]:
     """Occurrences of word beginnings and whole words that could become entries, and the number of words.
 
-    A word that a text repeats counts ``REPEATS`` times at most: junk that says one word
-    a thousand times tells no more than other texts do.
+    A word that a text repeats counts ``limits.repeats`` times at most: junk that says one
+    word a thousand times tells no more than other texts do.
     """
     out: Counter = Counter()
-    words = {w: min(n, REPEATS) for w, n in Counter(_WORD.findall(fold(text))).items()}
+    words = {w: min(n, limits.repeats or n) for w, n in Counter(_WORD.findall(fold(text))).items()}
     for word, n in words.items():
-        for k in range(SHORTEST, min(len(word), LONGEST) + 1):
+        for k in range(limits.shortest, min(len(word), limits.longest or len(word)) + 1):
             out[word[:k]] += n
-        if len(word) >= SHORTEST:
+        if len(word) >= limits.shortest:
             out[word + " "] += n
     return out, sum(words.values())
 
 
-def choose_entries(
-    counts: dict[str, tuple[int, int]], toxic_words: int, clean_words: int, most: int, odds: float = 1.6, gain: float = 40.0
-) -> dict[str, float]:
-    """Entries with the log of how much more often they occur among toxic words.
+def choose_entries(ranked: Iterable[tuple[str, float]], limits: Limits = Limits()) -> dict[str, float]:
+    """Entries of a ranking (entry, weight), the most telling first, until there are enough.
 
-    Those that tell most (likelihood-ratio statistic) come first, of equal ones the longer;
-    no entry begins like a chosen one or the other way round.
+    No entry begins like a chosen one or the other way round.
     """
-    ranked = []
-    share = toxic_words / max(1, toxic_words + clean_words)
-    for entry, (toxic, clean) in counts.items():
-        value = math.log((toxic + 0.5) / (toxic_words + 1)) - math.log((clean + 0.5) / (clean_words + 1))
-        both = toxic + clean
-        told = 2 * (
-            toxic * math.log(toxic / (both * share)) + (clean * math.log(clean / (both * (1 - share))) if clean else 0)
-        ) if toxic else 0.0
-        if value >= odds and told >= gain:
-            ranked.append((round(told, 6), len(entry), entry, value))
     chosen: dict[str, float] = {}
     taken: set[str] = set()
-    for _, _, entry, value in sorted(ranked, reverse=True):
+    for entry, value in ranked:
+        if limits.most_entries is not None and len(chosen) >= limits.most_entries:
+            break
         plain = entry.rstrip(" ")
         begins = [plain[:k] for k in range(1, len(plain) + 1)]
-        if len(chosen) < most and plain not in taken and not any(x in chosen or x + " " in chosen for x in begins):
-            chosen[entry] = min(value, 8.0)
+        if plain not in taken and not any(x in chosen or x + " " in chosen for x in begins):
+            chosen[entry] = value if limits.top_weight is None else min(value, limits.top_weight)
             taken.update(begins)
     return chosen
 
 
+def ranking(tallied: DataFrame, toxic_words: int, clean_words: int, least: int, limits: Limits) -> DataFrame:
+    """(entry, weight) of all tallied entries that tell enough, ranked by how much (likelihood ratio), of equal ones the longer first."""
+    toxic, clean = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    share = toxic_words / max(1, toxic_words + clean_words)
+    weight = F.ln((toxic + 0.5) / float(toxic_words + 1)) - F.ln((clean + 0.5) / float(clean_words + 1))
+    part = lambda n, of: F.when(n > 0, n * F.ln(n / ((toxic + clean) * of))).otherwise(0.0)
+    told = F.when(toxic > 0, 2 * (part(toxic, share) + part(clean, 1 - share))).otherwise(0.0)
+    rows = tallied.where(F.col("entry") != "").where(F.col("docs") >= least)
+    rows = rows.select("entry", weight.alias("weight"), F.round(told, 6).alias("told"))
+    rows = rows.where((F.col("weight") >= limits.odds) & (F.col("told") >= limits.gain))
+    return rows.orderBy(F.desc("told"), F.desc(F.length("entry")), F.desc("entry")).select("entry", "weight")
+
+
 def fit_curve(features: np.ndarray, labels: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Ridge logistic regression by Newton steps: intercept, amount, density."""
     x = np.column_stack([np.ones(len(features)), features])
@@ -179,10 +215,11 @@ def held_out(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string")) % 5) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, most_entries: int = 400) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, limits: Limits = Limits()) -> Model:
     """Learn a model from at most about ``max_train`` labelled rows of each class.
 
-    Labels that are null, rows without a doc_id, and held-out rows are not used. With no
+    Labels that are null, rows without a doc_id, and held-out rows are not used; of labels
+    that differ for one doc_id the toxic one holds, texts that repeat count once. With no
     toxic or no clean row to learn from, the model scores every text alike.
     """
     usable = (
@@ -208,32 +245,41 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, most_entrie
 
     texts = written(texts, "toxicity-sample")
 
+    def packed(*counters: Counter) -> pa.RecordBatch:
+        names = list(counters[0].keys() | counters[1].keys())
+        columns = [pa.array([c[x] for x in names], pa.int64()) for c in counters]
+        for c in counters:
+            c.clear()
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["entry", "toxic", "clean", "docs"])
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean, docs_with = Counter(), Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found, words = candidates(text or "")
+                found, words = candidates(text or "", limits)
                 docs_with.update(found.keys() if label else ())
                 (toxic if label else clean).update(found)
                 (toxic if label else clean)[""] += words
-        names = list(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in (toxic, clean, docs_with))],
-            ["entry", "toxic", "clean", "docs"],
-        )
+                if len(toxic) + len(clean) > 500_000:  # partial tallies are summed further on
+                    yield packed(toxic, clean, docs_with)
+        yield packed(toxic, clean, docs_with)
 
     seen = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    least = max(3, math.ceil(0.01 * seen.get(1, 0)))
+    if not seen.get(0) or not seen.get(1):  # labels of documents that are not there
+        discard(texts)
+        return Model()
+    least = max(limits.least_docs, math.ceil(limits.least_share * seen.get(1, 0)))
     tallied = (
         texts.mapInArrow(tally, "entry string, toxic long, clean long, docs long")
         .groupBy("entry")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("docs").alias("docs"))
     )
+    tallied = written(tallied, "toxicity-tally")
     words = tallied.where("entry = ''").first()
-    odd = F.col("toxic") * float(words["clean"] + 1) >= (F.col("clean") + 0.5) * float(words["toxic"] + 1) * 4
-    found = tallied.where("entry <> ''").where(F.col("docs") >= least).where(odd)
-    counts = {r["entry"]: (r["toxic"], r["clean"]) for r in found.orderBy(F.desc("toxic"), "entry").limit(100 * most_entries).collect()}
-    model = Model(weights=choose_entries(counts, words["toxic"], words["clean"], most_entries))
+    ranked = ranking(tallied, words["toxic"], words["clean"], least, limits)
+    # Rows come from the ranking as they are needed, so no more than a partition of it is held here.
+    model = Model(weights=choose_entries(((r["entry"], r["weight"]) for r in ranked.toLocalIterator()), limits))
+    discard(tallied)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.automaton()
@@ -275,7 +321,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text is not rejected."""
+    """The rows of ``docs``, all columns as they are, whose text is not rejected.
+
+    Null and empty texts hold nothing to reject and get the score of a text without hits;
+    rows that repeat are judged alike, whatever their doc_id.
+    """
     kinds = docs.schema
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
