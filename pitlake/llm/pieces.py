@@ -8,7 +8,10 @@ an edge is taken if the piece that ends at its start and its own piece are what
 would leave of both together. That holds for exactly one edge per end, so the result is
 the merge result without merging.
 
-Words are cut where a blank begins, which no piece spans. Characters without a piece fall
+Words are cut where a blank begins, which no piece spans, and wherever else no occurrence
+of a piece spans two signs: what lies between is relaxed by itself. All short stretches are
+relaxed together, one length after another; what goes on for more than ``LONG`` signs is
+relaxed edge by edge. Characters without a piece fall
 back to bytes. Runs of blanks are merged by themselves, as their pieces rank below all
 others. Decoding joins pieces, turns blanks and bytes back, and drops the first blank.
 """
@@ -16,6 +19,7 @@ others. Decoding joins pieces, turns blanks and bytes back, and drops the first
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,7 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 BLANK, GAP = "▁", "\ud800"  # a lone surrogate cannot occur in a text
 _NONE, _START = -1, -2
-GROUP_CHARS, CACHED_WORDS = 2_000_000, 300_000
+GROUP_CHARS, CACHED_WORDS, CACHED_PAIRS, LONG = 2_000_000, 300_000, 1_000_000, 64
 
 
 @dataclass
@@ -118,10 +122,9 @@ class Encoder:
         usable.sort(key=len)
         self.usable = np.array([self.ids[p] for p in usable], np.int64)
         self.lengths = np.array([len(p) for p in usable], np.int64)
-        self.depth = int(self.lengths.max(initial=1))
-        if self.depth > 4 * self.width:
-            raise ValueError("pieces are longer than four key words")
-        self.piece_codes = np.zeros((len(usable), 4 * self.width), np.int64)
+        self.doublings = max(1, math.ceil(math.log2(max(1, int(self.lengths.max(initial=1)) / self.width))))
+        self.depth = self.width << self.doublings  # signs to which suffixes are sorted, no piece is longer
+        self.piece_codes = np.zeros((len(usable), self.depth), np.int64)
         for row, p in enumerate(usable):
             self.piece_codes[row, : len(p)] = [codes[ord(c)] for c in p]
         self.bare = self.ids.get(BLANK, _NONE)
@@ -131,13 +134,14 @@ class Encoder:
         self.text_lengths = np.array([len(t) for t in texts], np.int64)
         self.text_starts = np.concatenate([[0], np.cumsum(self.text_lengths)[:-1]])
         self.text_bytes = np.frombuffer(b"".join(texts), np.uint8)
+        self._pairs: dict[int, bool] = {}
 
     # -- matching ---------------------------------------------------------------------------
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, row of ``usable``) of every occurrence of every piece in a text of alphabet codes."""
-        w, bits, n = self.width, self.bits, len(codes)
-        padded = np.concatenate([codes, np.zeros(4 * w, np.int64)])
+        w, bits, n, deep = self.width, self.bits, len(codes), self.depth
+        padded = np.concatenate([codes, np.zeros(deep, np.int64)])
 
         def packed(columns: list[np.ndarray]) -> np.ndarray:
             out = np.zeros_like(columns[0])
@@ -145,40 +149,36 @@ class Encoder:
                 out = (out << bits) | c
             return out
 
-        words, first = np.unique(packed([padded[i : n + 2 * w + i] for i in range(w)]), return_inverse=True)
-        m1 = len(words)
-        pairs, second = np.unique(first[: n + w] * m1 + first[w : n + 2 * w], return_inverse=True)
-        m2 = len(pairs)
-        keys = second[:n] * m2 + np.concatenate([second, np.zeros(w, np.int64)])[2 * w : n + 2 * w] if n else second[:0]
-        # Beyond the text all codes are 0; the suffix array is sorted to 4 * width signs.
+        # known[k] are the distinct keys of w * 2**k signs, ranks[i] that of the suffix at i; beyond the text all codes are 0.
+        found, ranks = np.unique(packed([padded[i : n + deep - w + i] for i in range(w)]), return_inverse=True)
+        known = [found]
+        for k in range(self.doublings - 1):
+            at = w << k
+            found, ranks = np.unique(ranks[:-at] * len(known[k]) + ranks[at:], return_inverse=True)
+            known.append(found)
+        at = w << (self.doublings - 1)
+        keys = ranks[:n] * len(known[-1]) + ranks[at : at + n]
         order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-
-        p = self.piece_codes
-        length = self.lengths
-
-        def span(offset: int) -> tuple[np.ndarray, np.ndarray]:
-            """Ranks of the key words that begin with the piece's signs from ``offset`` on; all if it has none left."""
-            part = p[:, offset : offset + w]
-            held = np.clip(length - offset, 0, w)
-            low = packed([part[:, i] for i in range(w)])
-            top = (1 << ((w - held) * bits).astype(np.int64)) - 1
-            return np.searchsorted(words, low, "left"), np.searchsorted(words, low | top, "right")
-
-        def span2(offset: int) -> tuple[np.ndarray, np.ndarray]:
-            a, b = span(offset)
-            c, d = span(offset + w)
-            longer = length - offset > w
-            low = np.where(longer, a * m1 + c, a * m1)
-            high = np.where(longer, np.where(b > a, a * m1 + d, low), b * m1)
-            return np.searchsorted(pairs, low, "left"), np.searchsorted(pairs, high, "left")
-
-        a, b = span2(0)
-        c, d = span2(2 * w)
-        longer = length > 2 * w
-        low = np.where(longer, a * m2 + c, a * m2)
-        high = np.where(longer, np.where(b > a, a * m2 + d, low), b * m2)
-        low, high = np.searchsorted(keys, low, "left"), np.searchsorted(keys, high, "left")
+        known.append(keys[order])
+
+        p, length = self.piece_codes, self.lengths
+
+        def span(k: int, offset: int) -> tuple[np.ndarray, np.ndarray]:
+            """Places among the keys of w * 2**k signs that begin with the piece's signs from ``offset`` on; all if it has none left."""
+            if not k:
+                part, held = p[:, offset : offset + w], np.clip(length - offset, 0, w)
+                low = packed([part[:, i] for i in range(w)])
+                high = low | ((1 << ((w - held) * bits).astype(np.int64)) - 1)
+                return np.searchsorted(known[0], low, "left"), np.searchsorted(known[0], high, "right")
+            half, m = w << (k - 1), len(known[k - 1])
+            a, b = span(k - 1, offset)
+            c, d = span(k - 1, offset + half)
+            longer = length - offset > half
+            low = np.where(longer, a * m + c, a * m)
+            high = np.where(longer, np.where(b > a, a * m + d, low), b * m)
+            return np.searchsorted(known[k], low, "left"), np.searchsorted(known[k], high, "left")
+
+        low, high = span(self.doublings, 0)
         counts = np.maximum(high - low, 0)
         rows = np.repeat(np.arange(len(counts)), counts)
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -223,39 +223,87 @@ class Encoder:
         piece = np.concatenate([self.usable[row], n + points[other].astype(np.int64)])
         start = np.concatenate([start, other])
         end = np.concatenate([start[: len(row)] + self.lengths[row], other + 1])
-        word_start = np.repeat(starts, gaps + 1 - starts)
-        step = end - word_start[start]
-        order = np.argsort(step.astype(np.uint32) if step.max(initial=0) > 65535 else step.astype(np.uint16), kind="stable")
-        start, end, piece = start[order], end[order], piece[order]
-        cuts = np.concatenate([[0], np.cumsum(np.bincount(step))])
-        last = np.full(len(points) + 1, _NONE, np.int64)
-        last[starts] = _START
-        for k in range(1, len(cuts) - 1):
-            lo, hi = cuts[k], cuts[k + 1]
-            if lo == hi:
-                continue
-            before, own = last[start[lo:hi]], piece[lo:hi]
-            good = before == _START
-            free = (before >= n) | ((own >= n) & (before >= 0))
-            check = np.flatnonzero((before >= 0) & ~free)
-            if len(check):
-                good[check] = self._stays_kept(before[check], own[check])
-            good |= free
-            last[end[lo:hi][good]] = own[good]
+        last = self._relaxed(start, end, piece, len(points), starts)
         spans = np.concatenate([np.ones(0, np.int64), np.zeros(n, np.int64)])
         spans[self.usable] = self.lengths
+        lengths = spans.tolist() if len(points) > LONG else []
         ids, owner, place = [], [], gaps.copy()
         alive = np.arange(len(words))
-        while len(alive):
+        for _ in range(LONG):
+            if not len(alive):
+                break
             found = last[place[alive]]
             ids.append(found)
             owner.append(alive)
             place[alive] -= np.where(found >= n, 1, spans[np.minimum(found, n - 1)])
             alive = alive[place[alive] > starts[alive]]
+        for word in alive.tolist():  # what is left of long ones
+            first, at, found = int(starts[word]), int(place[word] - starts[word]), []
+            reached = last[first : first + at + 1].tolist()
+            while at > 0:
+                found.append(reached[at])
+                at -= 1 if reached[at] >= n else lengths[reached[at]]
+            ids.append(np.array(found, np.int64))
+            owner.append(np.full(len(found), word))
         ids, owner = np.concatenate(ids)[::-1], np.concatenate(owner)[::-1]
         back = np.argsort(owner, kind="stable")
         return self._expanded(ids[back], owner[back], len(words))
 
+    def _relaxed(self, start: np.ndarray, end: np.ndarray, piece: np.ndarray, size: int, words: np.ndarray) -> np.ndarray:
+        """The last piece of what ends at each place; ids from ``len(rank)`` on are signs without a piece."""
+        n = len(self.rank)
+        spanned = np.zeros(size + 2, np.int64)
+        wide = end - start > 1
+        np.add.at(spanned, start[wide] + 1, 1)
+        np.add.at(spanned, end[wide], -1)
+        opens = np.cumsum(spanned)[: size + 1] == 0  # no piece goes on over this place
+        opens[words] = True
+        opened = np.maximum.accumulate(np.where(opens, np.arange(size + 1), 0))[:size]
+        step = end - opened[start]
+        last = np.full(size + 1, _NONE, np.int64)
+
+        some = np.flatnonzero(step <= LONG)
+        some = some[np.argsort(step[some].astype(np.uint8), kind="stable")]
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(step[some], minlength=1))])
+        for k in range(1, len(cuts) - 1):
+            at = some[cuts[k] : cuts[k + 1]]
+            if not len(at):
+                continue
+            good, own = opens[start[at]], piece[at]
+            before = np.where(good, _START, last[start[at]])
+            free = (before >= n) | ((own >= n) & (before >= 0))
+            check = np.flatnonzero((before >= 0) & ~free)
+            if len(check):
+                good[check] = self._stays_kept(before[check], own[check])
+            good |= free
+            last[end[at[good]]] = own[good]
+
+        rest = np.flatnonzero(step > LONG)
+        rest = rest[np.argsort(end[rest], kind="stable")]
+        if len(rest):
+            self._one_by_one(start[rest], end[rest], piece[rest], last)
+        return last
+
+    def _one_by_one(self, start: np.ndarray, end: np.ndarray, piece: np.ndarray, last: np.ndarray) -> None:
+        """The same for the edges of long stretches, in the order of their ends; an end takes one edge."""
+        n, kept = len(self.rank), self._pairs
+        first = int(start.min())
+        reached = last[first : int(end.max()) + 1].tolist()
+        for a, b, own in zip((start - first).tolist(), (end - first).tolist(), piece.tolist(), strict=True):
+            before = reached[a]
+            if before < 0 or reached[b] >= 0:
+                continue
+            if before < n and own < n:
+                pair = before * n + own
+                if (good := kept.get(pair)) is None:
+                    if len(kept) >= CACHED_PAIRS:
+                        kept.clear()
+                    good = kept[pair] = bool(self.stays(np.array([before]), np.array([own]))[0])
+                if not good:
+                    continue
+            reached[b] = own
+        last[first : first + len(reached)] = reached
+
     def _stays_kept(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """:meth:`stays` with remembered answers."""
         if not hasattr(self, "_keys"):
