@@ -7,7 +7,9 @@ places is found by binary search (:func:`longest_extension`).
 
 A fingerprint carries the length, two whole-text hashes, and 16 bits of the hash of every
 prefix and suffix whose length is on a geometric grid. Two fingerprints are compared like
-two texts: binary search finds the longest grid prefix and suffix on which they agree.
+two texts: binary search finds the longest grid prefix and suffix on which they agree. The
+grid holds every length up to 8, then lengths a quarter apart. While both texts are at hand
+their longest common prefix and suffix are also found exactly, from the prefix arrays.
 
 Every text is read once. The next document's text reaches a row through one shuffle by
 range of doc_id; rows stream through in order, so a task holds two texts at a time.
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 #: Fixed values of the hash: moduli below 2**31, bases, and the ratio and least length of the grid.
 MODULI = (2147483647, 2147483629)
 BASES = (1000003, 998244353)
-GRID_LEAST, GRID_RATIO = 8, 1.25
+GRID_LEAST, GRID_RATIO = 1, 1.25
 
-ROWS_PER_RANGE, MOST_RANGES = 500, 8192
+#: Bytes of text of a range of rows; more where there would be more ranges than the driver should know of.
+RANGE_BYTES, MOST_RANGES = 2 << 20, 100_000
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, shared_edited double, shared_next double"
 )
 
 
@@ -87,9 +90,17 @@ def span_hash(prefix: np.ndarray, start, end, which: int = 0):
 
 def spans_equal(a: list[np.ndarray], i: int, b: list[np.ndarray], j: int, length: int) -> bool:
     """Whether a[i:i+length] equals b[j:j+length], given both prefix arrays of each text."""
-    return all(
-        int(span_hash(a[k], i, i + length, k)) == int(span_hash(b[k], j, j + length, k)) for k in range(len(MODULI))
-    )
+    for k, modulus in enumerate(MODULI):
+        x = int(a[k][i + length]) - int(a[k][i])
+        y = int(b[k][j + length]) - int(b[k][j])
+        # x and y carry the powers i and j of the base: the lower one is raised.
+        if i < j:
+            x *= int(_POWERS[k].up(j - i)[j - i])
+        elif j < i:
+            y *= int(_POWERS[k].up(i - j)[i - j])
+        if (x - y) % modulus:
+            return False
+    return True
 
 
 def longest_extension(a: list[np.ndarray], i: int, b: list[np.ndarray], j: int) -> int:
@@ -104,6 +115,29 @@ def longest_extension(a: list[np.ndarray], i: int, b: list[np.ndarray], j: int)
     return low
 
 
+def longest_suffix(a: list[np.ndarray], b: list[np.ndarray]) -> int:
+    """Length of the longest common suffix of two texts."""
+    n, m = len(a[0]) - 1, len(b[0]) - 1
+    low, high = 0, min(n, m)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if spans_equal(a, n - middle, b, m - middle, middle):
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> float:
+    """0 to 1: 1 for equal texts, else their longest common prefix and suffix over the longer length."""
+    n, m = len(a[0]) - 1, len(b[0]) - 1
+    head = longest_extension(a, 0, b, 0)
+    if head == n == m:
+        return 1.0
+    tail = min(longest_suffix(a, b), min(n, m) - head)
+    return (head + tail) / max(n, m)
+
+
 def _grid(most: int) -> np.ndarray:
     found, at = [], float(GRID_LEAST)
     while int(at) <= most:
@@ -143,7 +177,7 @@ def likeness(a: str, b: str) -> float:
     (na, _, head_a, tail_a), (nb, _, head_b, tail_b) = a.split("-"), b.split("-")
     longer = max(int(na, 16), int(nb, 16))
 
-    def shared(x: str, y: str) -> int:
+    def agreed(x: str, y: str) -> int:
         low, high = 0, min(len(x), len(y)) // 4
         while low < high:
             middle = (low + high + 1) // 2
@@ -153,7 +187,7 @@ def likeness(a: str, b: str) -> float:
                 high = middle - 1
         return int(_GRID[low - 1]) if low else 0
 
-    return min(shared(head_a, head_b) + shared(tail_a, tail_b), longer - 1) / longer
+    return min(agreed(head_a, head_b) + agreed(tail_a, tail_b), longer - 1) / longer
 
 
 def _spliced(own: list[np.ndarray], keep: int, other: list[np.ndarray], take: int) -> list[np.ndarray]:
@@ -171,15 +205,19 @@ def _row(doc_id, text: str, prefixes: list[np.ndarray], own: str, after: tuple[s
     n = len(text)
     keep, take = n - n // 3, min(n // 3, len(following))
     edited = text[:keep] + following[:take]
-    edited_print = _render(keep + take, _spliced(prefixes, keep, following_prefixes, take))
+    edited_prefixes = _spliced(prefixes, keep, following_prefixes, take)
+    edited_print = _render(keep + take, edited_prefixes)
     digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return (doc_id, n, digest, own, edited_print, likeness(own, edited_print), likeness(own, following_print))
+    return (
+        doc_id, n, digest, own, edited_print, likeness(own, edited_print), likeness(own, following_print),
+        shared(prefixes, edited_prefixes), shared(prefixes, following_prefixes),
+    )
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by range, descending; a range's last row is followed by the head of the next (context)."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -217,12 +255,15 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     The next document is the next by descending doc_id, for the last one the first; rows
     with equal doc_id are ordered by text. Rows without a doc_id stand outside that order
     and have an empty next document. Null texts count as empty, an empty table gives an
-    empty result, other columns are ignored.
+    empty result, other columns are ignored. ``near_edited`` and ``near_next`` compare
+    fingerprints; ``shared_edited`` and ``shared_next`` are the same measure of the texts,
+    exact, by longest common extensions.
     """
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
-    n = ids.count()
-    parts = max(1, min(MOST_RANGES, n // ROWS_PER_RANGE))
+    size = docs.where("doc_id IS NOT NULL").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n = size["n"]
+    parts = max(1, min(MOST_RANGES, n, (size["bytes"] or 0) // RANGE_BYTES))
     cuts: list[float] = []
     if n and parts > 1:
         found = ids.select(F.col("doc_id").cast("double").alias("x")).approxQuantile(
@@ -247,7 +288,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     head_of, before_of = _literal(heads, slots, "bigint"), _literal(before, slots, "int")
 
     rows = ranged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    aside = (-1 - F.pmod(F.xxhash64("text"), F.lit(64))).cast("int")
+    aside = (-1 - F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(4096))).cast("int")  # in any task, they have no next one
     rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), aside).otherwise(F.col("part")))
     is_head = F.col("doc_id").isNotNull() & (F.col("doc_id") == F.get(head_of, F.col("part")))
     own = F.struct(F.col("part").alias("at"), F.lit(0).alias("context"))
