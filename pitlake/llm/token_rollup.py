@@ -2,9 +2,15 @@
 
 A ledger holds additive totals of documents and tokens by source, language and tokenizer
 version. A batch is a table of signed changes: +1 inserts a document's count, -1 deletes
-it, a revision is both. A batch is aggregated before anything is stored and committed
-under its id by one rename; committing an id again changes nothing, so a job that died
-between computing and recording can simply be run again. Totals are the sum over batches.
+it, a revision is both. A batch is aggregated before anything is stored. Its data go into a
+folder of their own first; what commits it is a small file under its id, created last and
+only if there is none, which names that folder. Nothing is renamed, and of two writers of
+one id the first to create the file wins. Committing an id again changes nothing, so a job
+that died between computing and recording can simply be run again. That takes a store that
+can create a file only if it is absent, as HDFS, local disks and most object stores do.
+
+Totals are the sum over committed batches. :meth:`Ledger.compact` adds those up into a base,
+so that totals read one folder and the batches since; ids stay known.
 
 Counts per document are made by an Arrow map; sums are partial aggregates, so a source
 that holds a third of all rows costs one row per task in the shuffle.
@@ -13,18 +19,25 @@ that holds a third of all rows costs one row per task in the shuffle.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.llm.common import written
+
 #: Where the public vocabulary lies, and its name in the totals; parameters of the entry points.
 RANKS, BPE = "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe_50k"
 WORDS = "words_1"
 
+#: A text is hot that makes up more than one in so many rows.
+HOT = 1000
+
 KEYS = ("source", "lang", "tokenizer")
 _DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
@@ -58,7 +71,7 @@ def count_documents(docs: DataFrame, path: str = RANKS) -> DataFrame:
 
     ``key`` is the MD5 of the text. The revised counts are those of :func:`tidy`. Null texts
     count as empty (no tokens); null sources and languages stay null and form groups of
-    their own; other columns are ignored.
+    their own; rows that repeat are each counted; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +118,26 @@ def revisions(counted: DataFrame) -> DataFrame:
 
 
 def later_copies(counted: DataFrame) -> DataFrame:
-    """The counted rows whose text already occurs under a smaller doc_id."""
+    """The counted rows whose text already occurs under a smaller doc_id.
+
+    Rows without a doc_id, and rows that repeat the first doc_id of their text, are no later
+    copies. A text that makes up more than ``1 / HOT`` of all rows is answered from a
+    broadcast of its first doc_id (there are fewer than ``HOT`` such texts), so that its rows
+    need not meet in one task; all others are joined.
+    """
     first = counted.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return counted.join(first, "key").where("doc_id > first").drop("first", "n")
+    first = written(first, "first-copies")
+    total = counted.count()
+    hot = first.where(F.col("n") * HOT > total).select("key", "first")
+    rest = first.where(F.col("n") * HOT <= total).select("key", "first")
+    marked = counted.join(F.broadcast(hot.select("key", F.col("first").alias("_hot"), F.lit(True).alias("_is_hot"))), "key", "left")
+    known = marked.where("_is_hot").withColumn("first", F.col("_hot"))
+    other = marked.where("_is_hot IS NULL").join(rest, "key")
+    return known.unionByName(other).where("doc_id > first").select(*counted.columns)
 
 
 class Ledger:
-    """Additive totals under a folder; ``path`` may lie in any store that Spark reaches."""
+    """Additive totals under a folder."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
@@ -121,40 +147,99 @@ class Ledger:
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
-    def committed(self, batch_id: str) -> bool:
-        """Whether a batch is part of the totals."""
-        return self._files.exists(self._at(f"{self.path}/batches/{self._name(batch_id)}"))
-
     @staticmethod
     def _name(batch_id: str) -> str:
         if not re.fullmatch(r"[A-Za-z0-9.-]+", batch_id):
             raise ValueError(f"batch id {batch_id!r} may hold letters, digits, points and hyphens only")
         return f"batch-{batch_id}"
 
+    def _created(self, path: str, text: str) -> bool:
+        """Create a small file that was not there; False if it was."""
+        try:
+            out = self._files.create(self._at(path), False)
+        except Py4JJavaError:
+            if self._files.exists(self._at(path)):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _text(self, path: str) -> str:
+        stream = self._files.open(self._at(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._at(f"{self.path}/{folder}")
+        return sorted(f.getPath().getName() for f in self._files.listStatus(at)) if self._files.exists(at) else []
+
+    def _base(self) -> tuple[int, dict]:
+        """Number and content of the newest base."""
+        names = self._names("bases")
+        return (int(names[-1]), json.loads(self._text(f"{self.path}/bases/{names[-1]}"))) if names else (-1, {"data": None, "batches": []})
+
+    def _folders(self) -> tuple[list[str], dict[str, str]]:
+        """The base's folder, if any, and the folders of the batches since."""
+        _, base = self._base()
+        inside = set(base["batches"])
+        since = {name: self._text(f"{self.path}/commits/{name}") for name in self._names("commits") if name not in inside}
+        return [base["data"]] if base["data"] else [], since
+
+    def committed(self, batch_id: str) -> bool:
+        """Whether a batch is part of the totals."""
+        return self._files.exists(self._at(f"{self.path}/commits/{self._name(batch_id)}"))
+
     def commit(self, batch_id: str, batch: DataFrame) -> bool:
         """Add a batch of signed changes; False, and nothing done, if its id is committed already."""
-        target = f"{self.path}/batches/{self._name(batch_id)}"
+        name = self._name(batch_id)
         if self.committed(batch_id):
             return False
         delta = batch.groupBy(*KEYS).agg(
             F.sum("sign").cast("long").alias("n_docs"), F.sum(F.col("sign") * F.col("tokens")).cast("long").alias("n_tokens")
         )
-        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-        delta.write.parquet(staged)
-        self._files.mkdirs(self._at(f"{self.path}/batches"))
-        # Rename onto a present folder would nest: another writer may have been faster.
-        if self.committed(batch_id) or not self._files.rename(self._at(staged), self._at(target)):
-            self._files.delete(self._at(staged), True)
-            return False
-        return True
-
-    def totals(self) -> DataFrame:
-        """source, lang, tokenizer, n_docs, n_tokens over all committed batches; groups that sum to nothing are left out."""
-        folder = self._at(f"{self.path}/batches")
-        if not self._files.exists(folder):
+        folder = f"data/{name}-{uuid.uuid4().hex}"
+        delta.write.parquet(f"{self.path}/{folder}")
+        if self._created(f"{self.path}/commits/{name}", folder):
+            return True
+        self._files.delete(self._at(f"{self.path}/{folder}"), True)
+        return False
+
+    def _sums(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], _DELTA)
-        batches = [f.getPath().toString() for f in self._files.listStatus(folder)]
-        sums = self.spark.read.schema(_DELTA).parquet(*batches).groupBy(*KEYS)
+        sums = self.spark.read.schema(_DELTA).parquet(*[f"{self.path}/{f}" for f in folders]).groupBy(*KEYS)
         return sums.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 OR n_tokens <> 0")
 
+    def compact(self) -> bool:
+        """Add the base and all batches since up into a new base; False if there was nothing to add or another writer was faster.
+
+        Folders of batches stay, as readers may be using them; :meth:`prune` removes those a base holds.
+        """
+        number, old = self._base()
+        base, since = self._folders()
+        if not since:
+            return False
+        folder = f"data/base-{uuid.uuid4().hex}"
+        self._sums([*base, *since.values()]).write.parquet(f"{self.path}/{folder}")
+        content = json.dumps({"data": folder, "batches": sorted({*old["batches"], *since})})
+        if self._created(f"{self.path}/bases/{number + 1:012d}", content):
+            return True
+        self._files.delete(self._at(f"{self.path}/{folder}"), True)
+        return False
+
+    def prune(self) -> int:
+        """Remove the folders that neither the newest base nor a batch since it needs; how many there were."""
+        base, since = self._folders()
+        needed = {f.rsplit("/", 1)[-1] for f in (*base, *since.values())}
+        gone = [f for f in self._names("data") if f not in needed]
+        for f in gone:
+            self._files.delete(self._at(f"{self.path}/data/{f}"), True)
+        return len(gone)
 
+    def totals(self) -> DataFrame:
+        """source, lang, tokenizer, n_docs, n_tokens over all committed batches; groups that sum to nothing are left out."""
+        base, since = self._folders()
+        return self._sums([*base, *since.values()])
