@@ -1,7 +1,9 @@
 """Fingerprints, PII, toxicity, licenses and piece encoding against plain forms."""
 
 import hashlib
+import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 
 from pitlake.llm import fingerprints as fp
 from pitlake.llm import licenses, pii, toxicity
-from pitlake.llm.pieces import MODEL, decode_documents, encode_documents, encoder
-from pitlake.llm.shingles import MinHash, overlap, shingle_set
+from pitlake.llm.pieces import MODEL, Encoder, Vocabulary, decode_documents, encode_documents, encoder
+from pitlake.llm.shingles import MinHash, Shingler, overlap
 
 ODD = [None, "", " ", "a", "a b", "x" * 30_000, "word " * 5_000, "日本語 😀 ñ", "a\x00b", "\n\n\t x  y \r\n"]
 
@@ -41,7 +43,7 @@ def plain_fingerprints(rows):
 
 
 def test_fingerprints_agree_with_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(fp, "ROWS_PER_RANGE", 3)
+    monkeypatch.setattr(fp, "RANGE_BYTES", 5000)
     texts = [*ODD, "same text", "same text", "the quick brown fox " * 20, "the quick brown fox " * 20 + "end"]
     got = fp.fingerprint_documents(docs(spark, texts, part=7, context="x")).collect()
     want = plain_fingerprints(list(enumerate(texts)))
@@ -58,6 +60,19 @@ def test_fingerprints_of_null_ids_repeats_and_nothing(spark):
     assert fp.fingerprint_documents(df.limit(0)).count() == 0
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text("ab", max_size=40), st.text("ab", max_size=40), st.data())
+def test_shared_is_the_longest_prefix_and_suffix(a, b, data):
+    head = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    tail = next((i for i, (x, y) in enumerate(zip(a[::-1], b[::-1])) if x != y), min(len(a), len(b)))
+    tail = min(tail, min(len(a), len(b)) - head)
+    want = 1.0 if a == b else (head + tail) / max(len(a), len(b))
+    assert fp.shared(fp.text_prefixes(a), fp.text_prefixes(b)) == want
+    assert fp.likeness(fp.fingerprint(a), fp.fingerprint(b)) == pytest.approx(want, abs=0.42)
+    if max(len(a), len(b)) <= 8 and head + tail < max(len(a), len(b)):
+        assert fp.likeness(fp.fingerprint(a), fp.fingerprint(b)) == pytest.approx(want)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", max_size=40), st.text("ab", max_size=40), st.data())
 def test_spans_and_extensions(a, b, data):
@@ -133,12 +148,40 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert got[5]["spans"].count("ssn") == 1  # the bare one and the one far from its context stay out
 
 
+@pytest.mark.parametrize(("piece", "kind"), [("a@b.co ", "email"), ("1.1.1.1 ", "ip"), ("+1 234 567 8901; ", "phone")])
+def test_texts_of_many_matches(spark, piece, kind):
+    text = piece * 30_000
+    row = pii.scan_documents(docs(spark, [text])).first()
+    listed = ",".join(f"{kind}:{i * len(piece)}:{i * len(piece) + len(piece.rstrip(' ;'))}" for i in range(30_000))
+    assert row[f"n_{kind}"] == 30_000 and row["spans"] == listed
+    clean = pii.redact_documents(docs(spark, [text])).first()["text"]
+    assert clean == piece.replace(piece.rstrip(" ;"), f"<{kind.upper()}>") * 30_000
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 400), st.integers(1, 30)), max_size=300))
+def test_redaction_of_overlapping_spans(found):
+    from pyspark.sql import SparkSession
+
+    text = "".join(chr(97 + i % 26) for i in range(450))
+    spans = sorted((a, a + n) for a, n in found)
+    want, at = "", 0
+    for a, b in spans:
+        if a >= at:
+            want += text[at:a] + "<X>"
+        at = max(at, b)
+    want += text[at:]
+    df = SparkSession.getActiveSession().createDataFrame([(text, [(a, 0, b, "x", 1.0) for a, b in spans])], f"text string, spans array<{pii._SPAN}>")
+    assert df.select(pii.redact(F.col("text"), F.col("spans")).alias("t")).first()["t"] == want
+
+
 def test_redaction(spark):
-    df = docs(spark, ["write to a@b.cd now", None, "plain"], n_chars=0, lang="en")
+    df = docs(spark, ["write to a@b.cd now", None, "plain"], n_chars=0, lang="en", __spans="s", spans="t", row=1)
     got = {r["doc_id"]: r for r in pii.redact_documents(df).collect()}
     assert got[0]["text"] == "write to <EMAIL> now" and got[0]["n_chars"] == 20
     assert got[1]["text"] is None and got[2]["text"] == "plain"
     assert pii.redact_documents(df).columns == df.columns
+    assert {(r["__spans"], r["spans"], r["row"]) for r in got.values()} == {("s", "t", 1)}
 
 
 # -- toxicity -------------------------------------------------------------------------------
@@ -157,6 +200,39 @@ def test_matching_is_by_word_and_spares_exceptions():
     assert model.features(None, matcher) == (0.0, 0.0) == model.features("", matcher)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["trash", "trash can", "can", "can trash", "trashed", "x", "tr4sh", "idiot proof", "idiot"]), max_size=30))
+def test_matches_agree_with_naive_matching(words):
+    model = toxicity.Model(weights={"trash ": 5.0, "idio": 2.0, "can ": 1.0})
+    text = toxicity.fold(" ".join(words))
+    quiet = [(m.start(), m.end()) for p in model.exceptions for m in re.finditer(rf"(?<![^\W_])(?={re.escape(p)})", text) for m in [re.compile(re.escape(p)).match(text, m.start())]]
+    total = 0.0
+    for entry, weight in model.weights.items():
+        tail = r"(?![^\W_])" if entry.endswith(" ") else ""
+        for m in re.finditer(rf"(?<![^\W_]){re.escape(entry.strip())}{tail}", text):
+            if not any(a <= m.start() and m.end() <= b for a, b in quiet):
+                total += weight
+    got = model.features(" ".join(words), model.automaton())[0]
+    assert got == pytest.approx(math.log1p(total))
+
+
+def test_many_exceptions_take_linear_time():
+    model = toxicity.Model(weights={"trash ": 5.0})
+    began = time.monotonic()
+    assert model.features("trash can " * 100_000 + "trash", model.automaton())[0] == pytest.approx(math.log1p(5.0))
+    assert time.monotonic() - began < 10
+
+
+def test_limits_can_be_lifted(spark):
+    rows = [(i, f"plain words here {i}" + (" nastiestword" if i % 2 else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    free = toxicity.train(df, labels, limits=toxicity.Limits(most_entries=None, longest=None, repeats=None, top_weight=None, least_share=0.0, gain=1.0))
+    assert any("nastiestword".startswith(e.strip()) for e in free.weights)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_documents(df, free).collect()}
+    assert got == {i: i % 2 for i in range(400)}
+
+
 def test_longer_texts_score_lower():
     model = toxicity.Model(weights={"trash ": 5.0})
     matcher = model.automaton()
@@ -214,6 +290,45 @@ def test_short_notices_are_found_inside_longer_texts(spark):
     assert got == {0: "one,two", 1: "four", 2: ""}
 
 
+def test_templates_as_a_table_give_the_same(spark, monkeypatch):
+    filler = "lorem ipsum dolor sit amet consectetur " * 40
+    whole = dict(licenses.TEMPLATES)["mit-text"]
+    texts = [filler + t + " " + filler for _, t in licenses.TEMPLATES] + [None, "", "...", filler, whole.replace("sell copies", "sell some copies"), whole[: len(whole) // 2], "All rights reserved", "x " * 20_000]
+    df = docs(spark, [*texts, *texts[:2]], row=1, band=2)
+    want = sorted(map(str, licenses.scan_licenses(df).collect()))
+    table = spark.createDataFrame([*licenses.TEMPLATES, ("none", "..."), ("null", None)], "template string, notice string")
+    assert sorted(map(str, licenses.scan_licenses(df, table).collect())) == want
+    monkeypatch.setattr(licenses, "MOST_TEMPLATES", 3)
+    assert sorted(map(str, licenses.scan_licenses(df).collect())) == want
+    assert {r["n_licenses"] for r in licenses.scan_licenses(df, table.limit(0)).collect()} == {0} == {r["n_licenses"] for r in licenses.scan_licenses(df, ()).collect()}
+
+
+def plain_licenses(text):
+    """Names of the templates of which some window of the text holds enough shingles, by sets of word tuples."""
+    cut = lambda t: [w for w in re.sub(r"[^\w.]+|_|\.(?![0-9])", " ", t).lower().split(" ") if w]
+    words, out = cut(text), set()
+    for name, notice in licenses.TEMPLATES:
+        own = cut(notice)
+        width = min(len(own), licenses.WORDS)
+        runs = lambda x: [tuple(x[i : i + width]) for i in range(len(x) - width + 1)]  # noqa: B023, E731
+        mine, theirs = set(runs(own)), runs(words)
+        half = 1 << (len(mine) - 1).bit_length()
+        for at in range(0, max(1, len(theirs)), half):
+            if len(mine & set(theirs[at : at + 2 * half])) >= math.ceil(licenses.CONTAINMENT * len(mine) - 1e-9):
+                out.add(name)
+    return ",".join(sorted(out))
+
+
+def test_licenses_agree_with_plain_containment(spark, sf):
+    rows = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for i, (_, notice) in enumerate(licenses.TEMPLATES):
+        words = notice.split()
+        rows[-1 - i] = "some words before " + " ".join(words[: max(3, int(len(words) * 0.9))]) + " and after"
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(df).collect()}
+    assert got == {i: plain_licenses(t) for i, t in rows.items()}
+
+
 def test_band_settings():
     assert licenses.band_probability(0.2) > 0.9999
 
@@ -229,6 +344,7 @@ def plain_shingles(text):
 @settings(max_examples=60, deadline=None)
 @given(st.text("aAb \tÀ\n\x0b", max_size=60), st.text("aAb \tÀ\n\x0b", max_size=60))
 def test_shingle_sets(a, b):
+    shingle_set = Shingler(b"key")
     x, y = plain_shingles(a), plain_shingles(b)
     if not (a or "").split():
         x = x & set()
@@ -253,6 +369,24 @@ def test_pieces_agree_with_the_library_and_round_trip(spark, sf):
     assert [t.decode() for t in encoder().decode(ids, offsets)] == texts
 
 
+@pytest.mark.parametrize("text", ["ab" * 60_000, "日本語の文章は空白がないので" * 9_000, "abc" * 40_000 + " x", "x" * 120_000])
+def test_long_words_agree_with_the_library(text):
+    import sentencepiece
+
+    began = time.monotonic()
+    ids, offsets = encoder().encode([text])
+    assert time.monotonic() - began < 15
+    assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(text)
+
+
+def test_pieces_of_any_length():
+    words = ["▁" + "ab" * n for n in (1, 2, 4, 8, 16, 32, 64)]
+    pieces = ["<unk>", *[f"<0x{b:02X}>" for b in range(256)], "▁", "a", "b", "ab", *["ab" * n for n in (2, 4, 8, 16, 32, 64)], *words]
+    coder = Encoder(Vocabulary(pieces, [-float(i) for i in range(len(pieces))], [i > 256 for i in range(len(pieces))], 1))
+    ids, _ = coder.encode(["ab" * 64])
+    assert coder.depth >= 129 and [pieces[i] for i in ids] == ["▁" + "ab" * 64]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text("theTHE ing\n.é😀0", max_size=40), min_size=1, max_size=6))
 def test_random_pieces_agree_with_the_library(texts):
