@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Settings that change results or plans; sizes and masters are left to the caller.
@@ -37,3 +40,16 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder's name in the folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Only where that is unset in local mode, as in tests, a temporary folder is used.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='pitlake-')}"
+    return f"{root.rstrip('/')}/pitlake/{tag}-{uuid.uuid4().hex}"

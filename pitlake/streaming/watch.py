@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -12,33 +13,44 @@ OUTCOME = "alert_id long, outcome string, mfe double, mae double, n_prices long"
 _STATE = "entry double, mfe double, mae double, n long, done boolean"
 
 
+def _outcome(key: tuple, kind: str, mfe: float, mae: float, n: int) -> pd.DataFrame:
+    return pd.DataFrame([(key[0], kind, mfe, mae, n)], columns=["alert_id", "outcome", "mfe", "mae", "n_prices"])
+
+
 def _follow(take: float, stop: float):
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            entry, mfe, mae, n, done = state.get
+            _, mfe, mae, n, done = state.get
             state.remove()
             if not done:
-                yield pd.DataFrame([(key[0], "expired", mfe, mae, n)], columns=["alert_id", "outcome", "mfe", "mae", "n_prices"])
+                yield _outcome(key, "expired", mfe, mae, n)
             return
         entry, mfe, mae, n, done = state.get if state.exists else (None, 0.0, 0.0, 0, False)
         rows = pd.concat(list(frames)).sort_values(["ts", "seq"], kind="stable")
-        end = None
-        for row in rows.itertuples():
-            end = row.window_end
-            if done or row.ts > row.window_end:
-                continue
+        end = rows["window_end"].iloc[-1]
+        inside = rows[(rows["ts"] <= rows["window_end"]) & rows["price"].notna()]
+        if not state.exists and inside.empty:
+            return  # prices after the window of an alert that is over, or was never seen
+        if not done and len(inside):
+            prices, sign = inside["price"].to_numpy(float), np.where(inside["is_call"], 1.0, -1.0)
             if entry is None:
-                entry = float(row.price)
-                continue
-            move = (row.price - entry) / entry * (1.0 if row.is_call else -1.0)
-            n, mfe, mae = n + 1, max(mfe, move), min(mae, move)
-            hit = "hit_tp" if move >= take else "hit_sl" if move <= -stop else None
-            if hit:
+                entry, prices, sign = float(prices[0]), prices[1:], sign[1:]
+            moves = sign * (prices - entry) / entry
+            touched = np.flatnonzero((moves >= take) | (moves <= -stop))
+            upto = moves[: touched[0] + 1] if len(touched) else moves
+            n, mfe, mae = n + len(upto), float(np.max(upto, initial=mfe)), float(np.min(upto, initial=mae))
+            if len(touched):
                 done = True
-                yield pd.DataFrame([(key[0], hit, mfe, mae, n)], columns=["alert_id", "outcome", "mfe", "mae", "n_prices"])
-        state.update((entry, mfe, mae, n, done))
-        if end is not None and state.getCurrentWatermarkMs() < end.timestamp() * 1000:
-            state.setTimeoutTimestamp(int(end.timestamp() * 1000))
+                yield _outcome(key, "hit_tp" if moves[touched[0]] >= take else "hit_sl", mfe, mae, n)
+        last = int(end.timestamp() * 1000)
+        if state.getCurrentWatermarkMs() < last:
+            state.update((entry, mfe, mae, n, done))
+            state.setTimeoutTimestamp(last)  # at the window's end the alert expires, or its outcome is forgotten
+        else:  # the window is over already: no timeout would fire any more
+            if not done:
+                yield _outcome(key, "expired", mfe, mae, n)
+            if state.exists:
+                state.remove()
 
     return step
 
