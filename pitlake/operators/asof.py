@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,57 +46,59 @@ def asof_join(
     if missing:
         raise ValueError(f"as-of join lacks columns {missing}")
     payload = [c for c in right.columns if c not in on]
-    named = [F.col(c).alias(c + suffix if c in left.columns else c) for c in payload]
+    fields = [c + suffix if c in left.columns else c for c in payload]
     keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(on)] or [F.lit(0).alias("_k0")]
     names = [f"_k{i}" for i in range(len(keys))]
-    order = ["_t", "_side", "_event", *[f"_b{i}" for i in range(len(tiebreak))]]
-    empty_left = F.lit(None).cast(left.select(F.struct(*left.columns).alias("x")).schema["x"].dataType)
-    right_rows = right.where(safe_time(right_time, available).isNotNull()).select(
-        *keys, micros(safe_time(right_time, available)).alias("_t"), F.lit(0).alias("_side"), micros(right_time).alias("_event"),
-        *[F.col(c).cast("string").alias(f"_b{i}") if right.schema[c].dataType.simpleString() == "string" else F.col(c).alias(f"_b{i}") for i, c in enumerate(tiebreak)],
-        empty_left.alias("_left"), F.struct(micros(safe_time(right_time, available)).alias("_safe"), *named).alias("_match"),
+    ties = [f"_b{i}" for i in range(len(tiebreak))]
+    order = ["_t", "_side", "_event", *ties]
+    known = lambda time: reduce(and_, [F.col(c).isNotNull() for c in on], time.isNotNull())
+    safe = safe_time(right_time, available)
+    right_rows = right.where(known(safe)).select(
+        *keys, micros(safe).alias("_t"), F.lit(0).alias("_side"), micros(right_time).alias("_event"), *[F.col(c).alias(t) for c, t in zip(tiebreak, ties, strict=True)],
+        F.struct(micros(safe).alias("_safe"), *[F.col(c).alias(f) for c, f in zip(payload, fields, strict=True)]).alias("_match"),
     )
-    for name in names:
-        right_rows = right_rows.where(F.col(name).isNotNull())
     kind = right_rows.schema["_match"].dataType
-    left_rows = left.select(
-        *keys, micros(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_event"),
-        *[F.lit(None).cast(right_rows.schema[f"_b{i}"].dataType).alias(f"_b{i}") for i in range(len(tiebreak))],
-        F.struct(*left.columns).alias("_left"), F.lit(None).cast(kind).alias("_match"),
+    left_rows = left.where(known(F.col(left_time))).select(
+        *keys, micros(left_time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("long").alias("_event"), *[F.lit(None).cast(right_rows.schema[t].dataType).alias(t) for t in ties],
+        F.struct(*[F.col(f"`{c}`") for c in left.columns]).alias("_left"), F.lit(None).cast(kind).alias("_match"),
     )
-    rows = right_rows.unionByName(left_rows)
     parts = list(names)
     if bucket_seconds:
-        rows = rows.withColumn("_bucket", F.floor(F.col("_t") / (bucket_seconds * 1_000_000)))
-        parts.append("_bucket")
-        ordering = F.struct(*order)
-        ends = rows.groupBy(*parts).agg(F.max_by("_match", F.when(F.col("_side") == 0, ordering)).alias("_end"))
+        bucket = F.floor(F.col("_t") / (bucket_seconds * 1_000_000))
+        left_rows, right_rows = left_rows.withColumn("_bucket", bucket), right_rows.withColumn("_bucket", bucket)
+        # The last right row of each bucket opens the following ones: a row per bucket, found from the right side alone.
+        ends = right_rows.groupBy(*names, "_bucket").agg(F.max_by(F.struct(*order, "_match"), F.struct(*order)).alias("_end"))
+        wanted = left_rows.groupBy(*names, "_bucket").agg(F.lit(None).cast(ends.schema["_end"].dataType).alias("_end"))
+        both = wanted.unionByName(ends).groupBy(*names, "_bucket").agg(F.first("_end", ignorenulls=True).alias("_end"))
         before = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-        carried = ends.select(*parts, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-        same = [F.col(f"r.{p}").eqNullSafe(F.col(f"c.{p}")) for p in parts]
-        hit = same[0]
-        for more in same[1:]:
-            hit = hit & more
-        rows = rows.alias("r").join(carried.alias("c"), hit, "left").select("r.*", "c._carry")
+        carried = both.select(*names, "_bucket", F.last("_end", ignorenulls=True).over(before).alias("_end")).where("_end IS NOT NULL")
+        right_rows = right_rows.unionByName(carried.select(*names, "_bucket", *[F.col(f"_end.{c}").alias(c) for c in (*order, "_match")]))
+        parts.append("_bucket")
+    rows = right_rows.unionByName(left_rows, allowMissingColumns=True)
     window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = F.last("_match", ignorenulls=True).over(window)
-    if bucket_seconds:
-        found = F.coalesce(found, F.col("_carry"))
-    rows = rows.withColumn("_found", found).where("_side = 1")
-    usable = F.col("_t").isNotNull()
-    for name in names:
-        usable = usable & F.col(name).isNotNull()
-    if tolerance_seconds is not None:
-        usable = usable & (F.col("_t") - F.col("_found._safe") <= tolerance_seconds * 1_000_000)
-    fields = [c + suffix if c in left.columns else c for c in payload]
-    return rows.select("_left.*", *[F.when(usable, F.col(f"_found.{c}")).alias(c) for c in fields])
+    rows = rows.withColumn("_found", F.last("_match", ignorenulls=True).over(window)).where("_side = 1")
+    near = F.lit(True) if tolerance_seconds is None else F.col("_t") - F.col("_found._safe") <= tolerance_seconds * 1_000_000
+    matched = rows.select(*[F.col(f"_left.`{c}`").alias(c) for c in left.columns], *[F.when(near, F.col(f"_found.`{f}`")).alias(f) for f in fields])
+    # Rows with a null key or time match nothing and take no part in the sort.
+    lone = left.where(~known(F.col(left_time))).select("*", *[F.lit(None).cast(kind[f].dataType).alias(f) for f in fields])
+    return matched.unionByName(lone)
+
 
+def validity_join(
+    left: DataFrame, dimension: DataFrame, on: str, time: str, start: str = "valid_from", end: str = "valid_to",
+    tiebreak: Sequence[str] = (), bucket_seconds: int | None = None,
+) -> DataFrame:
+    """Slowly changing dimension: the row with ``start <= time < end``, an open end lasting for ever.
 
-def validity_join(left: DataFrame, dimension: DataFrame, on: str, time: str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
-    """Slowly changing dimension: the row with ``start <= time < end``, an open end lasting for ever."""
-    side = dimension.withColumnRenamed(on, "_on")
-    hit = (F.col(on) == F.col("_on")) & (F.col(start) <= F.col(time)) & (F.col(end).isNull() | (F.col(end) > F.col(time)))
-    return left.join(side, hit, "left").drop("_on")
+    A key's intervals must not overlap (of those that start together the last by
+    ``tiebreak`` counts), so the latest to have started is the only one that can hold: an
+    as-of join, then one comparison. All left rows are kept.
+    """
+    side = dimension.withColumnRenamed(end, "_end")
+    out = asof_join(left, side, [on], time, start, tiebreak=tiebreak, bucket_seconds=bucket_seconds)
+    holds = F.col(start).isNotNull() & (F.col("_end").isNull() | (F.col("_end") > F.col(time)))
+    added = [c for c in out.columns if c not in left.columns and c != "_end"]
+    return out.select(*left.columns, *[F.when(holds, F.col(c)).alias(c) for c in added], F.when(holds, F.col("_end")).alias(end))
 
 
 def forward_rows(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, n: int, tiebreak: Sequence[str] = ()) -> DataFrame:

@@ -60,3 +60,15 @@ def barrier_outcome(
         "edge_ratio": F.when(some, edge),
         "time_efficiency": F.when((won == 1) & F.lit(window > 0), 1.0 - bars / F.lit(float(max(window, 1)))),
     }
+
+
+def contract_outcome(path: Column, entry: Column, take: float, stop: float, costs: Costs | None = None) -> dict[str, Column]:
+    """The same for an option contract's own prices: always long, barriers as fixed shares, option costs.
+
+    All null for an empty path or an entry price that is not positive.
+    """
+    found = barrier_outcome(path, entry, F.lit(True), take + (costs.option_roundtrip if costs else 0.0), stop)
+    usable = entry > 0
+    trip, way = (costs.option_roundtrip, costs.option_spread) if costs else (0.0, 0.0)
+    out = {n: found[n] for n in ("hit_tp_first", "mfe", "mae")} | {"mfe_adj": found["mfe"] - trip, "mae_adj": found["mae"] - way, "bars_to_hit": found["bars_to_hit"]}
+    return {f"contract_{n}": F.when(usable, c) for n, c in out.items()}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window, WindowSpec
 
 
@@ -47,41 +47,124 @@ def true_range(w: WindowSpec) -> Column:
     return F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before))
 
 
-def folded(values: Column, alpha: float) -> Column:
-    """Recursive exponential mean of an array, whatever its length."""
-    return F.aggregate(F.slice(values, F.lit(2), F.size(values)), F.try_element_at(values, F.lit(1)), lambda a, x: a * (1 - alpha) + x * alpha)
+def exponential(df: DataFrame, key: str | Sequence[str], order: Sequence[str], column: str, alpha: float, name: str, adjust: bool = False, least: int = 1) -> DataFrame:
+    """``df`` with the exponential mean of a column over each series, null below ``least`` observations.
 
+    Recursive (``y = (1 - alpha) * y + alpha * x``, the first value as it is), or with
+    ``adjust`` the weighted mean of all values so far. Nulls count as no observation; the
+    mean before them is carried on.
 
-def exponential(w: WindowSpec, column: str, alpha: float, adjust: bool = False) -> Column:
-    """Exponentially weighted mean by a fold over the series so far.
-
-    The fold reads a prefix per row: meant for series of up to some thousand rows. Longer
-    ones are for :func:`exponential_long`.
+    Series are cut into blocks in which the weights span a factor of e**50. Within a block
+    the mean is a running sum; from the block before only its last value is needed, as what
+    lies further back weighs e**-50 at most, beyond double precision. So the cost is linear
+    in a series' length, and the sums of one long series are spread over tasks by block.
     """
-    values = F.collect_list(F.col(column)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if not adjust:
-        return folded(values, alpha)
-    state = "struct<num:double,den:double>"
-    return F.aggregate(
-        values,
-        F.struct(F.lit(0.0).alias("num"), F.lit(0.0).alias("den")).cast(state),
-        lambda a, x: F.struct((a["num"] * (1 - alpha) + x).alias("num"), (a["den"] * (1 - alpha) + 1).alias("den")).cast(state),
-        lambda a: a["num"] / a["den"],
+    keys, keep = [key] if isinstance(key, str) else list(key), 1.0 - alpha
+    block = max(1, math.ceil(50 / -math.log(keep))) if keep > 0 else 1
+    w = series(keys, order)
+    x = F.col(column).cast("double")
+    rows = df.withColumn("_n", F.count(x).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    rows = rows.withColumn("_block", F.floor(F.col("_n") / block)).withColumn("_m", F.pmod("_n", F.lit(block)))
+    weight = F.lit(1.0) if adjust else F.when(F.col("_n") == 0, 1.0).otherwise(alpha)
+    inside = Window.partitionBy(*keys, "_block").orderBy("_m", *order).rowsBetween(Window.unboundedPreceding, 0)
+    lift = lambda n: F.exp(n * (math.log(keep) if keep > 0 else 0.0))
+    rows = rows.withColumn("_sum", F.sum(x * weight * lift(-F.col("_m"))).over(inside) * lift(F.col("_m")))
+    ended = F.when((F.col("_m") == block - 1) & x.isNotNull(), F.col("_sum"))
+    before = F.last(ended, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    value = F.col("_sum") + F.coalesce(before, F.lit(0.0)) * (lift(F.col("_m") + 1) if keep > 0 else 0.0)
+    if adjust:
+        value = value * alpha / (1 - lift(F.col("_n") + 1)) if keep > 0 else value
+    rows = rows.withColumn("_value", F.when(x.isNotNull(), value))
+    carried = F.last("_value", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn(name, F.when(F.col("_n") >= least - 1, carried)).drop("_n", "_block", "_m", "_sum", "_value")
+
+
+def _span(n: int) -> float:
+    return 2.0 / (n + 1)
+
+
+def macd(df: DataFrame, key: str, order: Sequence[str], column: str, fast: int = 12, slow: int = 26, signal: int = 9, adjust: bool = False) -> DataFrame:
+    """``df`` with ``macd``, the fast less the slow exponential mean, and ``macd_signal``, that of macd itself."""
+    rows = exponential(df, key, order, column, _span(fast), "_fast", adjust)
+    rows = exponential(rows, key, order, column, _span(slow), "_slow", adjust)
+    rows = rows.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    return exponential(rows, key, order, "macd", _span(signal), "macd_signal", adjust)
+
+
+def _strength(gain: Column, loss: Column) -> Column:
+    """100 at no gain is 0; null where nothing was lost."""
+    return 100 - 100 / (1 + gain / F.nullif(loss, F.lit(0.0)))
+
+
+def rsi(df: DataFrame, key: str, order: Sequence[str], column: str, period: int, name: str) -> DataFrame:
+    """``df`` with the relative strength index by Wilder's recursive means; null below ``period`` changes, and without a loss."""
+    step = F.col(column) - F.lag(column).over(series(key, order))
+    rows = df.withColumn("_gain", F.greatest(step, F.lit(0.0))).withColumn("_loss", F.greatest(-step, F.lit(0.0)))
+    rows = rows.withColumn("_gain", F.when(step.isNotNull(), F.col("_gain"))).withColumn("_loss", F.when(step.isNotNull(), F.col("_loss")))
+    for c in ("_gain", "_loss"):
+        rows = exponential(rows, key, order, c, 1.0 / period, c + "_mean", least=period)
+    return rows.withColumn(name, _strength(F.col("_gain_mean"), F.col("_loss_mean"))).drop("_gain", "_loss", "_gain_mean", "_loss_mean")
+
+
+def rsi_simple(df: DataFrame, key: str, order: Sequence[str], column: str, period: int, name: str) -> DataFrame:
+    """The same by plain rolling means; the first row's missing change counts as none."""
+    w = series(key, order)
+    step = F.coalesce(F.col(column) - F.lag(column).over(w), F.lit(0.0))
+    rows = df.withColumn("_up", F.greatest(step, F.lit(0.0))).withColumn("_down", F.greatest(-step, F.lit(0.0)))
+    return rows.withColumn(name, _strength(gated(w, "_up", period, F.avg), gated(w, "_down", period, F.avg))).drop("_up", "_down")
+
+
+def volatility(df: DataFrame, key: str, order: Sequence[str], year: float = 252.0) -> DataFrame:
+    """``df`` (high, low, close) with annualised volatilities, their ratios, true ranges, band width and z-scores."""
+    w = series(key, order)
+    rows = df.withColumn("_lr", F.ln(F.try_divide(F.col("close"), F.lag("close").over(w)))).withColumn("_tr", true_range(w))
+    rows = rows.withColumn("_sr", change(w, "close", 1)).withColumn("_hl", F.pow(F.ln(F.try_divide("high", "low")), 2))
+    over = lambda c, n, f: gated(w, c, n, f)
+    scale = math.sqrt(year)
+    out = {f"vol_{n}d": over("_lr", n, F.stddev_samp) * scale for n in (5, 20, 60)}
+    out |= {"parkinson_20d": F.sqrt(over("_hl", 20, F.avg) / (4 * math.log(2))) * scale}
+    out |= {f"atr_{n}": over("_tr", n, F.avg) for n in (14, 20)}
+    out |= {f"_mean{n}": over("close", n, F.avg) for n in (20, 60)} | {f"_sd{n}": over("close", n, F.stddev_samp) for n in (20, 60)}
+    out |= {"simple_vol_20d": over("_sr", 20, F.stddev_samp) * scale}
+    rows = rows.select("*", *[v.alias(k) for k, v in out.items()])  # one sort serves all frames
+    ratio = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0.0))
+    rows = rows.withColumns(
+        {
+            "vol_ratio_5_20": ratio("vol_5d", "vol_20d"),
+            "vol_ratio_20_60": ratio("vol_20d", "vol_60d"),
+            "band_width_20": 2 * ratio("_sd20", "_mean20"),
+            "band_width_template": 4 * ratio("_sd20", "_mean20"),
+            **{f"zscore_{n}d": (F.col("close") - F.col(f"_mean{n}")) / F.nullif(F.col(f"_sd{n}"), F.lit(0.0)) for n in (20, 60)},
+        }
     )
+    return rows.drop("_lr", "_tr", "_sr", "_hl", "_mean20", "_mean60", "_sd20", "_sd60")
 
 
-def exponential_long(df: DataFrame, key: str, order: Sequence[str], column: str, alpha: float, name: str) -> DataFrame:
-    """``df`` with the recursive exponential mean of a column, linear in a series' length (Arrow per key)."""
-    import pandas as pd
-
-    schema = StructType([*df.schema.fields, StructField(name, DoubleType())])
+def relative(df: DataFrame, key: str, order: Sequence[str], own: str, benchmark: str, year: float = 252.0) -> DataFrame:
+    """``df`` with beta, alpha, correlations, idiosyncratic volatility and relative strength against a benchmark's price.
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(list(order), kind="stable")
-        part[name] = part[column].ewm(alpha=alpha, adjust=False).mean()
-        return part
-
-    return df.groupBy(key).applyInPandas(run, schema)
+    ``own`` and ``benchmark`` are prices on the same row. Frames need all their returns:
+    60 for beta and the long correlation, 20 for the others.
+    """
+    w = series(key, order)
+    rows = df.withColumn("_x", change(w, own, 1)).withColumn("_y", change(w, benchmark, 1))
+    both = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    rows = rows.withColumn("_bx", F.when(both, F.col("_x"))).withColumn("_by", F.when(both, F.col("_y"))).withColumn("_diff", F.col("_x") - F.col("_y"))
+
+    def joint(n: int, value: Callable[[WindowSpec], Column]) -> Column:
+        return F.when(F.count("_bx").over(trailing(w, n)) >= n, value(trailing(w, n)))
+
+    spread = gated(w, "_y", 60, F.var_samp)
+    corr = lambda f: F.covar_samp("_bx", "_by").over(f) / F.nullif(F.stddev_samp("_bx").over(f) * F.stddev_samp("_by").over(f), F.lit(0.0))
+    out = {
+        "rel_strength_20d": (F.col(own) / F.lag(own, 20).over(w)) / (F.col(benchmark) / F.lag(benchmark, 20).over(w)),
+        "beta_60d": joint(60, lambda f: F.covar_samp("_bx", "_by").over(f)) / F.nullif(spread, F.lit(0.0)),
+        "alpha_20d": gated(w, "_x", 20, F.avg) - gated(w, "_y", 20, F.avg),
+        "corr_20d": joint(20, corr),
+        "corr_60d": joint(60, corr),
+        "idio_vol_20d": gated(w, "_diff", 20, F.stddev_samp) * math.sqrt(year),
+    }
+    return rows.select("*", *[v.alias(k) for k, v in out.items()]).drop("_x", "_y", "_bx", "_by", "_diff")
 
 
 def time_before(key: str, micros: str, seconds: int, closed: bool = False) -> WindowSpec:
@@ -94,12 +177,42 @@ def time_upto(key: str, micros: str, seconds: int) -> WindowSpec:
     return Window.partitionBy(key).orderBy(micros).rangeBetween(-seconds * 1_000_000 + 1, 0)
 
 
-def trend_statistic(w: WindowSpec, column: str, position: str, horizon: int) -> Column:
-    """t statistic of the slope over the rows from here to ``horizon`` ahead; null on a perfect line or a short frame."""
-    frame = w.rowsBetween(0, horizon)
-    y, x = F.col(column), F.col(position)
-    slope, sxx, syy = F.regr_slope(y, x).over(frame), F.regr_sxx(y, x).over(frame), F.regr_syy(y, x).over(frame)
-    rest = syy - slope * F.regr_sxy(y, x).over(frame)
-    full = (F.count(y).over(frame) == horizon + 1) & (F.lit(horizon) > 1)
-    fits = rest > syy * 1e-12
-    return F.when(full & fits, slope / F.sqrt(rest / (horizon - 1) / sxx))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def trend_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[str], column: str, horizons: Sequence[int] = (1, 2, 3, 5, 10, 15, 20)) -> DataFrame:
+    """``df`` with ``t`` and ``horizon``: the slope statistic of the values from a row to a horizon ahead that is strongest.
+
+    Of equal ones the shorter horizon counts. A horizon without enough rows ahead, one of a
+    single step and a perfect line have no statistic; rows without any are dropped. One
+    frame of the longest horizon is gathered per row, and all horizons are fitted to it.
+    Residuals are summed as they are: a difference of sums of squares would lose a nearly
+    perfect line's to rounding.
+    """
+    frame = series(key, order).rowsBetween(0, max(horizons))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+    def fitted(h: int) -> Column:
+        sxx = h * (h + 1) * (h + 2) / 12.0
+
+        def rest(line: Column) -> Column:
+            far = lambda y, k: F.pow(y - line["m"] - line["b"] * (k - h / 2.0), 2)
+            ssr, syy = total(F.transform(line["y"], far)), total(F.transform(line["y"], lambda y: F.pow(y - line["m"], 2)))
+            t = F.when(ssr > syy * 1e-12, line["b"] / F.sqrt(ssr / (h - 1) / sxx))
+            return F.struct(F.abs(t).alias("size"), t.alias("t"), F.lit(h).alias("h"))
+
+        def line(y: Column) -> Column:
+            slope = total(F.transform(y, lambda v, k: (k - h / 2.0) * v)) / sxx
+            return _let(F.struct(y.alias("y"), (total(y) / (h + 1)).alias("m"), slope.alias("b")), rest)
+
+        return F.when(F.size("_ahead") > h, _let(F.slice("_ahead", 1, h + 1), line))
+
+    rows = df.withColumn("_ahead", F.collect_list(F.col(column).cast("double")).over(frame))
+    rows = rows.withColumn("_ahead", F.transform("_ahead", lambda y: y - F.col(column)))
+    found = rows.withColumn("_all", F.array(*[fitted(h) for h in sorted(horizons) if h > 1])).drop("_ahead")
+    some = F.filter("_all", lambda x: x["t"].isNotNull())
+    rank = lambda x: F.struct(F.round(x["size"], 6).alias("s"), (-x["h"]).alias("s2"), x["t"].alias("t"), x["h"].alias("h"))
+    best = found.withColumn("_best", F.array_max(F.transform(some, rank))).drop("_all")
+    return best.withColumn("t", F.col("_best.t")).withColumn("horizon", F.col("_best.h")).drop("_best").where("t IS NOT NULL")
