@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,10 +13,16 @@ from pyspark.sql.types import StringType
 CHAIN = "array<struct<occ_symbol:string,strike:double,bid:double,ask:double,delta:double,iv:double>>"
 
 
-@F.pandas_udf(StringType())
-def event_id(text: pd.Series) -> pd.Series:
-    """128-bit BLAKE2b of a text as hexadecimal; there is no built-in for it."""
-    return text.map(lambda t: None if t is None else hashlib.blake2b(t.encode(), digest_size=16).hexdigest())
+@F.arrow_udf(StringType())
+def event_id(texts: pa.Array) -> pa.Array:
+    """128-bit BLAKE2b of a text as hexadecimal; there is no built-in for it, so it is one pass over each Arrow batch."""
+    made = hashlib.blake2b
+    return pa.array([None if t is None else made(t, digest_size=16).hexdigest() for t in texts.cast(pa.binary()).to_pylist()], pa.string())
+
+
+def first_present(payload: Column, names: Sequence[str]) -> Column:
+    """The first of several names (paths) of a JSON payload that holds something; blank text holds nothing."""
+    return F.coalesce(*[F.nullif(F.trim(F.get_json_object(payload, f"$.{n}")), F.lit("")) for n in names])
 
 
 def bar_event_id(provider: Column, feed: Column, key: Column, time: Column, timeframe: Column) -> Column:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -139,13 +142,52 @@ def volatility_regime(level: Column) -> Column:
     return F.when(level < 15, "low").when(level > 25, "high").otherwise("normal")
 
 
-def suspect_flags(bid: Column, ask: Column, high: Column, low: Column) -> Column:
-    """What is odd about a quote or bar."""
-    return F.array_compact(
-        F.array(
-            F.when((bid < 0) | (ask < 0) | (low < 0), "negative_price"), F.when(high < low, "high_below_low"), F.when(bid > ask, "inverted_spread")
-        )
-    )
+def suspect_flags(feed: str, **columns: Column) -> Column:
+    """What is odd about a row of bars (open, high, low, close, volume), quotes (bid, ask) or trades (price, size).
+
+    Rows are marked and not dropped; what is null is not odd.
+    """
+    c = columns
+    negative = lambda *names: reduce(or_, [F.coalesce(c[n] < 0, F.lit(False)) for n in names])
+    rules = {
+        "bars": lambda: [(negative("open", "high", "low", "close"), "negative_price"), (negative("volume"), "negative_volume"), (c["high"] < c["low"], "high_below_low")],
+        "quotes": lambda: [(c["bid"] > c["ask"], "inverted_spread"), (negative("bid", "ask"), "negative_price")],
+        "trades": lambda: [(c["price"] <= 0, "non_positive_price"), (negative("size"), "negative_size")],
+    }[feed]()
+    return F.array_compact(F.array(*[F.when(odd, flag) for odd, flag in rules]))
+
+
+def exchange_clock(time: Column, zone: str = "America/New_York", opens: int = 570, closes: int = 960) -> dict[str, Column]:
+    """Hour, minute, weekday (Monday is 0) and minutes from the open and to the close of a UTC time, on the exchange's clock."""
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), time.cast("timestamp_ntz"))
+    minute = F.hour(local) * 60 + F.minute(local)
+    return {
+        "hour": F.hour(local), "minute": F.minute(local), "weekday": F.weekday(local),
+        "since_open": (minute - opens).cast("int"), "to_close": (F.lit(closes) - minute).cast("int"),
+    }
+
+
+def moneyness(spot: Column, strike: Column) -> dict[str, Column]:
+    """Spot over strike and its logarithm; null where either is not positive."""
+    ratio = F.when((spot > 0) & (strike > 0), spot / strike)
+    return {"moneyness": ratio, "log_moneyness": F.ln(ratio)}
+
+
+def tag_columns(tags: Column, wanted: Sequence[str], prefix: str = "tag_") -> dict[str, Column]:
+    """A column of 0 and 1 per wanted tag, whatever the case of a list's tags; a null list has none."""
+    low = F.transform(tags, lambda t: F.lower(F.trim(t)))
+    return {prefix + t: F.coalesce(F.array_contains(low, t.lower()), F.lit(False)).cast("int") for t in wanted}
+
+
+def to_list(text: Column) -> Column:
+    """A list of texts: a JSON array, or one text as a list of one; null for blank text."""
+    plain = F.nullif(F.trim(text), F.lit(""))
+    return F.when(plain.startswith("["), F.from_json(plain, "array<string>")).when(plain.isNotNull(), F.array(plain))
+
+
+def to_text(column: Column) -> Column:
+    """Text without blanks at its ends; null for blank text."""
+    return F.nullif(F.trim(column.cast("string")), F.lit(""))
 
 
 def add_flag(flags: Column, flag: str, when: Column) -> Column:
