@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pitlake.operators import quality
+from pitlake.operators.daily import fill_days_native_first
+from pitlake.operators.market import atm_straddle, microstructure, oi_momentum
 from pitlake.plans import bindings as b
 from pitlake.plans.catalog import register
 
@@ -34,12 +36,8 @@ def agg_daily_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT instrument_key, CAST(day AS VARCHAR), round(close, 4), 'resampled' FROM made m WHERE NOT EXISTS (SELECT 1 FROM native n WHERE n.instrument_key = m.instrument_key AND n.day = m.day)""")
 def agg_daily_prefer_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars where there are any, resampled ones elsewhere; one aggregation decides both."""
-    at = F.struct("ts_event", "seq")
-    native = F.col("timeframe") == "1Day"
-    days = b.bars(spark, sf_dir).groupBy("instrument_key", _day()).agg(
-        F.max_by("close", F.when(native, at)).alias("own"), F.max_by("close", F.when(~native, at)).alias("made"), F.count_if(native).alias("n")
-    )
-    return days.select("instrument_key", "day", F.round(F.when(F.col("n") > 0, F.col("own")).otherwise(F.col("made")), 4).alias("close"), F.when(F.col("n") > 0, "native").otherwise("resampled").alias("origin"))
+    days = fill_days_native_first(b.bars(spark, sf_dir), F.col("timeframe") == "1Day")
+    return days.select("instrument_key", F.col("day").cast("string").alias("day"), F.round("close", 4).alias("close"), "origin")
 
 
 @register("agg_flow_daily", b.with_(b.ALERTS) + """SELECT instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, round(sum(premium), 4) AS total,
@@ -80,22 +78,24 @@ def agg_winsorised_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sweep share cut at the day's first and last percentile."""
     rows = b.alerts(spark, sf_dir).groupBy("instrument_key", _day()).agg(F.coalesce(F.sum(F.when(F.col("is_sweep"), F.col("k"))), F.lit(0)).alias("sw"), F.sum("k").alias("al"))
     rows = rows.withColumn("share", F.when(F.col("al") > 0, F.try_divide("sw", "al"))).where("share IS NOT NULL")
-    w = Window.partitionBy("day")
-    low, high = (F.percentile("share", F.lit(p)).over(w) for p in (0.01, 0.99))
-    return rows.select("instrument_key", "day", F.round(F.least(F.greatest("share", low), high), 6).alias("share"))
+    # A day's bounds are one aggregate; joining them back keeps its rows out of any one task's memory.
+    cuts = rows.groupBy("day").agg(F.percentile("share", F.array(F.lit(0.01), F.lit(0.99))).alias("cut"))
+    low, high = F.col("cut")[0], F.col("cut")[1]
+    return rows.join(cuts, "day").select("instrument_key", "day", F.round(F.least(F.greatest("share", low), high), 6).alias("share"))
+
 
+_SIZED = "sized AS (SELECT *, CASE WHEN seq % 3 <> 0 THEN bid_sz END AS b, CASE WHEN seq % 3 <> 0 THEN ask_sz END AS a FROM quotes)"
 
-@register("agg_microstructure", b.with_(b.QUOTES) + """SELECT instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, round(avg(ask_px - bid_px), 6) AS spread,
-  round(avg((ask_px - bid_px) / ((ask_px + bid_px) / 2) * 10000), 4) AS spread_bps, round(avg((bid_sz - ask_sz) / (bid_sz + ask_sz)), 6) AS imbalance,
-  round(avg(bid_sz + ask_sz), 4) AS depth, round(last((ask_px + bid_px) / 2 ORDER BY ts_event, seq), 6) AS last_mid FROM quotes GROUP BY 1, 2""")
+
+@register("agg_microstructure", b.with_(b.QUOTES, _SIZED) + """SELECT instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, round(avg(ask_px - bid_px), 6) AS spread,
+  round(avg((ask_px - bid_px) / ((ask_px + bid_px) / 2) * 10000), 4) AS spread_bps, round(avg((b - a) / (b + a)), 6) AS imbalance,
+  round(avg(b + a), 4) AS depth, round(last((ask_px + bid_px) / 2 ORDER BY ts_event, seq), 6) AS last_mid, count(*) AS n_quotes, count(b) AS n_sized FROM sized GROUP BY 1, 2""")
 def agg_microstructure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spread, imbalance, depth and the last middle price."""
-    q = b.quotes(spark, sf_dir).withColumn("mid", (F.col("ask_px") + F.col("bid_px")) / 2)
-    wide, size = F.col("ask_px") - F.col("bid_px"), F.col("bid_sz") + F.col("ask_sz")
-    return q.groupBy("instrument_key", _day()).agg(
-        _r(F.avg(wide), "spread", 6), _r(F.avg(wide / F.col("mid") * 10000), "spread_bps", 4), _r(F.avg((F.col("bid_sz") - F.col("ask_sz")) / size), "imbalance"),
-        _r(F.avg(size), "depth", 4), _r(F.max_by("mid", F.struct("ts_event", "seq")), "last_mid", 6),
-    )
+    """Spread, imbalance, depth, the last middle price, and how many quotes there were, with sizes and without."""
+    some = F.col("seq") % 3 != 0
+    q = b.quotes(spark, sf_dir).withColumns({"bid_sz": F.when(some, F.col("bid_sz")), "ask_sz": F.when(some, F.col("ask_sz"))})
+    days = microstructure(q)
+    return days.select("instrument_key", F.col("day").cast("string").alias("day"), _r("spread", "spread", 6), _r("spread_bps", "spread_bps", 4), _r("imbalance", "imbalance"), _r("depth", "depth", 4), _r("last_mid", "last_mid", 6), "n_quotes", "n_sized")
 
 
 @register("agg_darkpool", b.with_(b.QUOTES) + """SELECT instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, round(sum(price * bid_sz), 2) AS notional, round(avg(bid_sz), 6) AS avg_size,
@@ -122,21 +122,25 @@ def _greeks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("agg_greek_exposure", b.with_(_GREEKS) + """SELECT instrument_key, CAST(d AS VARCHAR) AS day, round(sum(call_gamma + put_gamma), 8) AS net_gamma,
-  round(abs(sum(put_gamma)) / nullif(abs(sum(call_gamma)), 0), 6) AS put_call_ratio, arg_max(strike, call_gamma + put_gamma) AS max_gamma_strike,
+  round(abs(sum(put_gamma)) / nullif(abs(sum(call_gamma)), 0), 6) AS put_call_ratio, first(strike ORDER BY call_gamma + put_gamma DESC, seq) AS max_gamma_strike,
   round(sum(dte * abs(call_gamma + put_gamma)) / nullif(sum(abs(call_gamma + put_gamma)), 0), 6) AS weighted_dte FROM greeks GROUP BY 1, 2""")
 def agg_greek_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net exposure (call plus put), ratio, the strike with most gamma, gamma-weighted days."""
     gamma = F.col("call_gamma") + F.col("put_gamma")
     return _greeks(spark, sf_dir).groupBy("instrument_key", _day()).agg(
-        _r(F.sum(gamma), "net_gamma", 8), _r(F.try_divide(F.abs(F.sum("put_gamma")), F.abs(F.sum("call_gamma"))), "put_call_ratio"), F.max_by("strike", gamma).alias("max_gamma_strike"),
+        _r(F.sum(gamma), "net_gamma", 8), _r(F.try_divide(F.abs(F.sum("put_gamma")), F.abs(F.sum("call_gamma"))), "put_call_ratio"), F.max_by("strike", F.struct(gamma.alias("g"), (-F.col("seq")).alias("s"))).alias("max_gamma_strike"),
         _r(F.try_divide(F.sum(F.col("dte") * F.abs(gamma)), F.sum(F.abs(gamma))), "weighted_dte"),
     )
 
 
-@register("agg_net_gex", b.with_(_GREEKS) + "SELECT CAST(d AS VARCHAR) AS day, round(avg(call_gamma - put_gamma), 9) AS net_gex FROM greeks GROUP BY 1")
+_SIDES = "g AS (SELECT d, CASE WHEN year(d) % 2 = 0 THEN call_gamma END AS c, put_gamma AS p, strike AS whole FROM greeks)"
+
+
+@register("agg_net_gex", b.with_(_GREEKS, _SIDES) + "SELECT CAST(d AS VARCHAR) AS day, round(coalesce(avg(c - p), avg(whole)), 9) AS net_gex FROM g GROUP BY d")
 def agg_net_gex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily mean of call minus put gamma."""
-    return _greeks(spark, sf_dir).groupBy(_day()).agg(_r(F.avg(F.col("call_gamma") - F.col("put_gamma")), "net_gex", 9))
+    """Daily mean of call minus put gamma; the provider's own total on days that lack the sides."""
+    rows = _greeks(spark, sf_dir).withColumn("call_gamma", F.when(F.year("ts_event") % 2 == 0, F.col("call_gamma")))
+    return rows.groupBy(_day()).agg(_r(F.coalesce(F.avg(F.col("call_gamma") - F.col("put_gamma")), F.avg("strike")), "net_gex", 9))
 
 
 @register("agg_options_sentiment", b.with_(b.SNAPS) + """SELECT 'sector:' || sector AS instrument_key, CAST(CAST(ts_event AS DATE) AS VARCHAR) AS day, last(level ORDER BY ts_event, seq) AS level, NULL::BIGINT AS n FROM snaps GROUP BY 1, 2
@@ -210,21 +214,30 @@ def agg_toxicity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def agg_iv_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest and next expiry: skew and slope."""
     iv = b.read(spark, sf_dir, "orders").selectExpr("concat('equity:U', o_custkey) AS instrument_key", "cast(cast(date_trunc('month', o_orderdate) AS date) AS string) AS day", "o_orderkey % 60 AS dte", "o_totalprice AS iv", "o_totalprice * 0.9 + o_orderkey % 7 AS call_iv", "o_totalprice AS put_iv", "o_orderkey AS seq")
-    two = F.slice(F.sort_array(F.collect_list(F.struct("dte", "seq", "iv", "call_iv", "put_iv"))), 1, 2)
-    rows = iv.where("dte > 0").groupBy("instrument_key", "day").agg(two.alias("near"))  # a key's quotes of one day
-    first, second = F.get("near", F.lit(0)), F.get("near", F.lit(1))
-    return rows.select("instrument_key", "day", _r(F.try_divide(first["put_iv"] - first["call_iv"], first["call_iv"]), "skew"), _r(F.try_divide(second["iv"] - first["iv"], first["iv"]), "slope"))
+    nth = F.row_number().over(Window.partitionBy("instrument_key", "day").orderBy("dte", "seq"))
+    rows = iv.where("dte > 0").withColumn("nth", nth).where("nth <= 2").groupBy("instrument_key", "day")
+    at = lambda c, n: F.max(F.when(F.col("nth") == n, F.col(c)))
+    return rows.agg(_r(F.try_divide(at("put_iv", 1) - at("call_iv", 1), at("call_iv", 1)), "skew"), _r(F.try_divide(at("iv", 2) - at("iv", 1), at("iv", 1)), "slope"))
+
 
+_CHAIN = """chain AS (SELECT 'U' || l_suppkey AS underlying, CAST(date_trunc('month', l_shipdate) AS DATE) AS d, CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'P' END AS side, CASE WHEN l_suppkey % 2 = 0 THEN l_quantity / 50.0 END AS delta,
+  l_quantity AS strike, l_extendedprice AS mid, l_orderkey * 10 + l_linenumber AS seq FROM lineitem),
+near AS (SELECT *, row_number() OVER (PARTITION BY underlying, d, side ORDER BY abs(abs(delta) - 0.5), seq) AS nth FROM chain WHERE delta IS NOT NULL),
+bydelta AS (SELECT underlying, d, sum(mid) AS straddle FROM near WHERE nth = 1 GROUP BY 1, 2 HAVING count(*) = 2),
+common AS (SELECT underlying, d, strike FROM chain WHERE delta IS NULL GROUP BY 1, 2, 3 HAVING count(DISTINCT side) = 2),
+middle AS (SELECT underlying, d, median(strike) AS m FROM chain WHERE delta IS NULL GROUP BY 1, 2),
+chosen AS (SELECT c.underlying, c.d, first(strike ORDER BY abs(strike - m), strike) AS strike FROM common c JOIN middle USING (underlying, d) GROUP BY 1, 2),
+bystrike AS (SELECT underlying, d, first(mid ORDER BY seq) FILTER (WHERE side = 'C') + first(mid ORDER BY seq) FILTER (WHERE side = 'P') AS straddle FROM chain JOIN chosen USING (underlying, d, strike) WHERE delta IS NULL GROUP BY 1, 2)"""
 
-@register("agg_atm_straddle", b.with_("chain AS (SELECT 'U' || l_suppkey AS underlying, CAST(date_trunc('month', l_shipdate) AS DATE) AS d, CASE WHEN l_linestatus = 'O' THEN 'C' ELSE 'P' END AS side, l_quantity / 50.0 AS delta, l_extendedprice AS mid, l_orderkey * 10 + l_linenumber AS seq FROM lineitem)",
-  "n AS (SELECT *, row_number() OVER (PARTITION BY underlying, d, side ORDER BY abs(abs(delta) - 0.5), seq) AS nth FROM chain)")
-  + "SELECT underlying, CAST(d AS VARCHAR) AS day, round(sum(mid), 4) AS straddle FROM n WHERE nth = 1 GROUP BY 1, 2 HAVING count(*) = 2")
+
+@register("agg_atm_straddle", b.with_(_CHAIN) + "SELECT underlying, CAST(d AS VARCHAR) AS day, round(straddle, 4) AS straddle FROM (SELECT * FROM bydelta UNION ALL SELECT * FROM bystrike)")
 def agg_atm_straddle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The call and the put nearest to half a delta, together."""
-    chain = b.read(spark, sf_dir, "lineitem").selectExpr("concat('U', l_suppkey) AS underlying", "cast(cast(date_trunc('month', l_shipdate) AS date) AS string) AS day", "l_linestatus = 'O' AS call", "abs(abs(l_quantity / 50.0D) - 0.5D) AS far", "l_extendedprice AS mid", "l_orderkey * 10 + l_linenumber AS seq")
-    pick = lambda c: F.min_by("mid", F.when(c, F.struct("far", "seq")))
-    rows = chain.groupBy("underlying", "day").agg(pick(F.col("call")).alias("c"), pick(~F.col("call")).alias("p"))
-    return rows.where("c IS NOT NULL AND p IS NOT NULL").select("underlying", "day", _r(F.col("c") + F.col("p"), "straddle", 4))
+    """The call and the put nearest to half a delta, together; without deltas those at the common strike nearest to the median."""
+    chain = b.read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('U', l_suppkey) AS underlying", "cast(cast(date_trunc('month', l_shipdate) AS date) AS string) AS day", "l_linestatus = 'O' AS is_call", "CASE WHEN l_suppkey % 2 = 0 THEN l_quantity / 50.0D END AS delta",
+        "l_quantity AS strike", "l_extendedprice AS mid", "l_orderkey * 10 + l_linenumber AS seq",
+    )
+    return atm_straddle(chain).select("underlying", "day", _r("straddle", "straddle", 4))
 
 
 @register("agg_latest_snapshot", b.with_(b.SNAPS) + "SELECT instrument_key, seq, status FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts_event DESC, seq DESC) AS nth FROM snaps) WHERE nth = 1")
@@ -241,17 +254,20 @@ def agg_label_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.coalesce("event_type", F.lit("all")).alias("horizon"), "n", "win_rate", "mean_mfe")
 
 
-_OI = "oi AS (SELECT 'equity:S' || l_suppkey AS k, CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS volume, sum(l_linenumber) AS prev_oi, avg(l_extendedprice) AS avg_price FROM lineitem GROUP BY 1, 2)"
+_OI = """oi AS (SELECT 'equity:S' || l_suppkey AS instrument_key, CAST(l_shipdate AS DATE) AS d, sum(l_linenumber - 3) + sum(l_quantity - 25) AS change, avg(l_quantity) + avg(l_linenumber * 10) AS held, sum(l_quantity) AS volume, sum(l_extendedprice / 1000) AS prev FROM lineitem GROUP BY 1, 2),
+m AS (SELECT instrument_key, d AS day, coalesce(change / nullif(held, 0), 0.0) AS ratio, coalesce(volume / nullif(prev, 0), 0.0) AS turnover FROM oi)"""
 
 
-@register("agg_oi_momentum", b.with_(_OI) + """SELECT k, CAST(d AS VARCHAR) AS day, round(volume / nullif(prev_oi, 0), 6) AS build_up, CASE WHEN volume / nullif(prev_oi, 0) > 8 AND volume > 30 THEN 1 ELSE 0 END AS new_position,
-  round(avg_price, 6) AS avg_price FROM oi""")
+@register("agg_oi_momentum", b.with_(_OI) + """SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(ratio, 6) AS oi_buildup_ratio, CASE WHEN ratio > 0 AND turnover > 1.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS new_position_signal,
+  round(CASE WHEN count(ratio) OVER w >= 5 THEN sum(ratio) OVER w END, 6) AS oi_change_momentum_5d FROM m WINDOW w AS (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) QUALIFY count(ratio) OVER w >= 5""")
 def agg_oi_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Open-interest build-up and the new-position signal, over strikes."""
-    rows = b.read(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("equity:S"), "l_suppkey").alias("k"), F.col("l_shipdate").cast("date").cast("string").alias("day"))
-    rows = rows.agg(F.sum("l_quantity").alias("volume"), F.sum("l_linenumber").alias("prev_oi"), F.avg("l_extendedprice").alias("p"))
-    ratio = F.try_divide("volume", "prev_oi")
-    return rows.select("k", "day", _r(ratio, "build_up"), F.when((ratio > 8) & (F.col("volume") > 30), 1).otherwise(0).alias("new_position"), _r("p", "avg_price", 6))
+    """Open-interest build-up over strikes, the new-position signal, and five days of it; days without five are dropped."""
+    rows = b.read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('equity:S', l_suppkey) AS instrument_key", "l_shipdate AS ts_event", "l_linenumber - 3 AS call_oi_change", "l_quantity - 25 AS put_oi_change",
+        "l_quantity AS call_oi", "l_linenumber * 10 AS put_oi", "l_quantity AS volume", "l_extendedprice / 1000 AS prev_oi",
+    )
+    out = oi_momentum(rows)
+    return out.select("instrument_key", F.col("day").cast("string").alias("day"), _r("oi_buildup_ratio", "oi_buildup_ratio"), "new_position_signal", _r("oi_change_momentum_5d", "oi_change_momentum_5d"))
 
 
 @register("quality_profile", """SELECT 'l_quantity' AS column_name, count(l_quantity) AS n, count(*) - count(l_quantity) AS nulls, round(min(l_quantity), 4) AS low, round(max(l_quantity), 4) AS high, round(avg(l_quantity), 6) AS mean, round(stddev_samp(l_quantity), 6) AS deviation FROM lineitem
@@ -303,25 +319,63 @@ def quality_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.join(F.broadcast(whole)).select("day", "n", (F.col("n") >= 0.8 * F.col("whole")).alias("complete"))  # one row
 
 
-@register("quality_null_rates", "SELECT event_type, round(avg(CASE WHEN nullif(CAST(props->>'$.k' AS INTEGER) % 5, 0) IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate FROM events GROUP BY 1")
+_HOLES = "h AS (SELECT event_type AS dataset, nullif(k % 5, 0) AS gamma, nullif(k % 50, 0) AS price, CASE WHEN event_type = 'error' THEN NULL ELSE premium END AS premium FROM alerts)"
+
+
+@register("quality_null_rates", b.with_(b.ALERTS, _HOLES) + " UNION ALL ".join(f"SELECT dataset, '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_rate, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > {t} AS failed FROM h GROUP BY 1" for c, t in (("gamma", 0.95), ("price", 0.05), ("premium", 0.05))))
 def quality_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Null rate of an enrichment column."""
-    rows = b.alerts(spark, sf_dir).withColumn("x", F.nullif(F.col("k") % 5, F.lit(0)))
-    return rows.groupBy("event_type").agg(_r(F.avg(F.col("x").isNull().cast("double")), "null_rate"))
+    """Null rates per dataset and column: payload columns fail above 5 %, enrichment columns above 95 %."""
+    rows = b.alerts(spark, sf_dir).select(
+        F.col("event_type").alias("dataset"), F.nullif(F.col("k") % 5, F.lit(0)).alias("gamma"), F.nullif(F.col("k") % 50, F.lit(0)).alias("price"),
+        F.when(F.col("event_type") != "error", F.col("premium")).alias("premium"),
+    )
+    return quality.null_rates(rows, "dataset", payload=["price", "premium"], enrichment=["gamma"]).select("dataset", "column_name", _r("null_rate", "null_rate"), "failed")
 
 
-@register("quality_invariants", """SELECT 'non_negative_volume' AS invariant, 'pass' AS status, count(*) AS n_rows, count(*) FILTER (WHERE l_quantity < 0) AS violations FROM lineitem UNION ALL
-  SELECT 'small_discount', CASE WHEN count(*) FILTER (WHERE l_discount >= 0.08) > 0.01 * count(*) THEN 'fail' ELSE 'pass' END, count(*), count(*) FILTER (WHERE l_discount >= 0.08) FROM lineitem UNION ALL
-  SELECT 'known_flag', 'pass', count(*), count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N', 'R')) FROM lineitem UNION ALL SELECT 'no_such_column', 'not_run', NULL, NULL""")
+@register("quality_write_audit", b.with_(b.ALERTS, _HOLES) + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, round((count(*) - count({c})) * 100.0 / count(*), 1) AS percent FROM h HAVING count(*) > count({c})" for c in ("dataset", "gamma", "price", "premium")))
+def quality_write_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that held nulls when a table was written, out of one pass."""
+    rows = b.alerts(spark, sf_dir).select(
+        F.col("event_type").alias("dataset"), F.nullif(F.col("k") % 5, F.lit(0)).alias("gamma"), F.nullif(F.col("k") % 50, F.lit(0)).alias("price"),
+        F.when(F.col("event_type") != "error", F.col("premium")).alias("premium"),
+    )
+    return quality.null_audit(rows).select("column_name", "nulls", F.round("percent", 1).alias("percent"))
+
+
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with the columns of Silver, some of them wrong."""
+    return b.bars(spark, sf_dir).selectExpr(
+        "CASE WHEN seq % 97 = 0 THEN ' ' ELSE cast(seq AS string) END AS event_id", "instrument_key", "ts_event", "CASE WHEN seq % 89 = 0 THEN ts_event - make_dt_interval(0, 1) ELSE ts_available END AS ts_available",
+        "open", "CASE WHEN seq % 83 = 0 THEN low - 1 ELSE high END AS high", "low", "close", "CASE WHEN seq % 79 = 0 THEN NULL ELSE volume - 1 END AS volume", "CASE WHEN seq % 73 = 0 THEN 'bond' ELSE 'equity' END AS instrument_type",
+    )
+
+
+_SILVER = """silver AS (SELECT CASE WHEN seq % 97 = 0 THEN ' ' ELSE CAST(seq AS VARCHAR) END AS event_id, instrument_key, ts_event, CASE WHEN seq % 89 = 0 THEN ts_event - INTERVAL 1 HOUR ELSE ts_available END AS ts_available,
+  open, CASE WHEN seq % 83 = 0 THEN low - 1 ELSE high END AS high, low, close, CASE WHEN seq % 79 = 0 THEN NULL ELSE volume - 1 END AS volume, CASE WHEN seq % 73 = 0 THEN 'bond' ELSE 'equity' END AS instrument_type FROM bars)"""
+_RULES = {
+    "ts_event_parseable": "false", "ts_available_parseable": "false", "event_id_required": "event_id IS NULL OR trim(event_id) = ''", "instrument_key_required": "instrument_key IS NULL OR trim(instrument_key) = ''",
+    "ts_event_required": "ts_event IS NULL", "ts_available_required": "ts_available IS NULL", "ts_available_ge_ts_event": "ts_available < ts_event", "ts_available_not_future": "ts_available > TIMESTAMP '2001-06-30 00:00:00'",
+    **{f"{c}_non_negative": f"{c} < 0" for c in ("open", "high", "low", "close", "volume")},
+    "high_ge_low": "high < low", "high_is_highest": "high < open OR high < close", "low_is_lowest": "low > open OR low > close", "instrument_type_allowed": "instrument_type NOT IN ('equity', 'option', 'crypto', 'forex', 'macro')",
+}
+_COMPLETE = {"open": 0.01, "high": 0.01, "low": 0.01, "close": 0.01, "volume": 0.05}
+
+
+@register("quality_invariants", b.with_(b.BARS, _SILVER)
+  + " UNION ALL ".join(f"SELECT '{n}' AS invariant, CASE WHEN count(*) FILTER (WHERE {c}) > 0 THEN 'fail' ELSE 'pass' END AS status, count(*) AS n_rows, count(*) FILTER (WHERE {c}) AS violations FROM silver" for n, c in _RULES.items())
+  + "".join(f" UNION ALL SELECT '{n}_complete', CASE WHEN (count(*) - count({n})) / count(*) >= {t} AND count(*) > count({n}) THEN 'fail' ELSE 'pass' END, count(*), count(*) - count({n}) FROM silver" for n, t in _COMPLETE.items()))
 def quality_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All invariants in one aggregation."""
-    rules = {
-        "non_negative_volume": (["l_quantity"], F.col("l_quantity") >= 0, 0.0),
-        "small_discount": (["l_discount"], F.col("l_discount") < 0.08, 0.01),
-        "known_flag": (["l_returnflag"], F.col("l_returnflag").isin("A", "N", "R"), 0.0),
-        "no_such_column": (["absent"], F.lit(True), 0.0),
-    }
-    return quality.invariants(b.read(spark, sf_dir, "lineitem"), rules)
+    """All shared and feed invariants of bars, and completeness, in one aggregation."""
+    return quality.feed_invariants(_silver(spark, sf_dir), "bars", now="2001-06-30 00:00:00")
+
+
+@register("quality_invariants_quotes", b.with_(b.QUOTES) + """SELECT 'ask_ge_bid' AS invariant, CASE WHEN count(*) FILTER (WHERE ask_px - 2000 < bid_px) > 0.01 * count(*) THEN 'fail' ELSE 'pass' END AS status, count(*) AS n_rows, count(*) FILTER (WHERE ask_px - 2000 < bid_px) AS violations FROM quotes
+  UNION ALL SELECT 'bid_px_non_negative', CASE WHEN count(*) FILTER (WHERE bid_px < 0) > 0 THEN 'fail' ELSE 'pass' END, count(*), count(*) FILTER (WHERE bid_px < 0) FROM quotes
+  UNION ALL SELECT 'event_id_required', 'not_run', NULL, NULL""")
+def quality_invariants_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tolerated rule, one that tolerates nothing, and one whose column is missing."""
+    out = quality.feed_invariants(b.quotes(spark, sf_dir).withColumn("ask_px", F.col("ask_px") - 2000), "quotes", now="2030-01-01 00:00:00")
+    return out.where(F.col("invariant").isin("ask_ge_bid", "bid_px_non_negative", "event_id_required"))
 
 
 @register("quality_duplicates", b.with_(b.DUPLICATED) + "SELECT count(event_id) - count(DISTINCT event_id) AS surplus FROM duplicated")
@@ -347,34 +401,44 @@ def quality_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("feed").agg(F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"), F.count("*").alias("n_dt"), F.sum("n").alias("n_rows"))
 
 
-@register("quality_liveness", "SELECT event_type AS feed, count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-20 11:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00') AS n, count(*) FILTER (WHERE ts > TIMESTAMP '2024-01-20 11:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00') >= 1 AS alive FROM events GROUP BY 1")
+_CLOCKS = ("2024-01-19 15:00:00", "2024-01-20 12:00:00", "2024-01-19 23:00:00")
+
+
+@register("quality_liveness", " UNION ALL ".join(f"""SELECT event_type AS feed, '{at}' AS at, count(*) FILTER (WHERE ts > TIMESTAMP '{at}' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '{at}') AS n,
+  CASE WHEN dayofweek(TIMESTAMP '{at}') IN (0, 6) OR hour(TIMESTAMP '{at}') < 14 OR hour(TIMESTAMP '{at}') >= 21 THEN 'closed' WHEN count(*) FILTER (WHERE ts > TIMESTAMP '{at}' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '{at}') >= 1 THEN 'alive' ELSE 'silent' END AS status FROM events GROUP BY 1""" for at in _CLOCKS))
 def quality_liveness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last hour against a floor; now is a parameter."""
-    recent = F.count_if(F.expr("ts > timestamp_ntz'2024-01-20 11:00:00' AND ts <= timestamp_ntz'2024-01-20 12:00:00'"))
-    return b.read(spark, sf_dir, "events").groupBy(F.col("event_type").alias("feed")).agg(recent.alias("n"), (recent >= 1).alias("alive"))
+    """Rows of the last hour against a floor, judged in trading hours only; now is a parameter."""
+    events = b.read(spark, sf_dir, "events").select(F.col("event_type").alias("feed"), "ts")
+    found = [quality.liveness(events, "feed", "ts", now, 3600, 1, (14, 21)) for now in _CLOCKS]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
-@register("quality_floors", """WITH g AS (SELECT event_type, g.t FROM (SELECT DISTINCT event_type FROM events), generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-10 23:00:00', INTERVAL 1 HOUR) g(t)),
-  c AS (SELECT event_type, date_trunc('hour', ts) AS t, count(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10' GROUP BY 1, 2)
-  SELECT g.event_type, CAST(greatest(1, floor(0.3 * median(coalesce(n, 0)))) AS BIGINT) AS floor FROM g LEFT JOIN c ON g.event_type = c.event_type AND g.t = c.t GROUP BY 1""")
+@register("quality_floors", """WITH g AS (SELECT event_type, t FROM (SELECT DISTINCT event_type FROM events), generate_series((SELECT date_trunc('day', min(ts)) FROM events), (SELECT date_trunc('day', max(ts)) + INTERVAL 23 HOUR FROM events), INTERVAL 1 HOUR) g(t)),
+  c AS (SELECT event_type, date_trunc('hour', ts) AS t, count(*) AS n FROM events GROUP BY 1, 2)
+  SELECT g.event_type, CAST(g.t AS DATE)::VARCHAR AS day, CAST(greatest(1, floor(0.3 * median(coalesce(n, 0)))) AS BIGINT) AS floor FROM g LEFT JOIN c ON g.event_type = c.event_type AND g.t = c.t GROUP BY ALL""")
 def quality_floors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Floor from the median of hourly counts of a day; empty hours count as 0."""
-    events = b.read(spark, sf_dir, "events")
-    day = events.where("cast(ts AS date) = date'2024-01-10'").groupBy("event_type", F.hour("ts").alias("h")).agg(F.count("*").alias("n"))
-    hours = events.select("event_type").distinct().withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    counts = hours.join(day, ["event_type", "h"], "left").groupBy("event_type").agg(F.percentile(F.coalesce("n", F.lit(0)), F.lit(0.5)).alias("m"))
-    return counts.select("event_type", F.greatest(F.lit(1), F.floor(F.col("m") * 0.3)).cast("long").alias("floor"))
+    """Floor of every day from the median of its hourly counts; empty hours count as 0."""
+    return quality.floors(b.read(spark, sf_dir, "events").select("event_type", "ts"), "event_type", "ts", 0.3)
+
+
+@register("quality_missing_hours", "WITH k AS (SELECT DISTINCT user_id % 7 AS feed, CAST(ts AS DATE) AS d FROM events), want AS (SELECT feed, d, h FROM k, generate_series(9, 15) g(h)), have AS (SELECT DISTINCT user_id % 7 AS feed, CAST(ts AS DATE) AS d, hour(ts) AS h FROM events WHERE user_id % 3 = 0) SELECT feed, CAST(d AS VARCHAR) AS day, CAST(h AS INTEGER) AS hour FROM want ANTI JOIN have USING (feed, d, h)")
+def quality_missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of a day's session that have no partition."""
+    events = b.read(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("feed"), "user_id", "ts")
+    days = events.select("feed", F.col("ts").cast("date").alias("day")).distinct()
+    return quality.missing_hours(days, events.where("user_id % 3 = 0"), "feed", "ts", 9, 15).select("feed", F.col("day").cast("string").alias("day"), "hour")
 
 
-@register("quality_error_summary", """WITH e AS (SELECT event_id, event_type AS reason, CAST(props->>'$.k' AS INTEGER) AS k FROM events WHERE CAST(props->>'$.k' AS INTEGER) < 20), n AS (SELECT *, row_number() OVER (PARTITION BY reason ORDER BY event_id) AS nth, count(*) OVER (PARTITION BY reason) AS total FROM e)
-  SELECT reason, total, event_id FROM n WHERE nth <= 2""")
+@register("quality_error_summary", """WITH e AS (SELECT event_id, event_type AS feed, 'kind_' || (k % 4) AS error, 'kind_' || (k % 4) || ': row ' || (k % 9) AS message, ts_event FROM alerts),
+  n AS (SELECT *, row_number() OVER (PARTITION BY feed, error ORDER BY event_id) AS nth FROM e),
+  m AS (SELECT message, count(*) AS n FROM e GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)
+  SELECT 'error' AS part, feed, error, count(*) AS n, strftime(min(ts_event), '%Y-%m-%d %H:%M:%S') AS first_at, strftime(max(ts_event), '%Y-%m-%d %H:%M:%S') AS last_at, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) FILTER (WHERE nth <= 2) AS samples FROM n GROUP BY 2, 3
+  UNION ALL SELECT 'message', NULL, message, n, NULL, NULL, NULL FROM m""".replace("WITH e AS", "WITH " + b.ALERTS + ", e AS", 1))
 def quality_error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors by reason with two samples each, as one aggregate."""
-    errors = b.alerts(spark, sf_dir).where("k < 20").groupBy(F.col("event_type").alias("reason"))
-    two = errors.agg(F.count("*").alias("total"), F.min("event_id").alias("a"))
-    rest = b.alerts(spark, sf_dir).where("k < 20").join(two, F.col("event_type") == F.col("reason")).where("event_id > a")
-    second = rest.groupBy("reason").agg(F.min("event_id").alias("b"))
-    return two.join(second, "reason", "left").select("reason", "total", F.explode(F.array_compact(F.array("a", "b"))).alias("event_id"))
+    """Errors by feed and kind with times and two samples each, and the five commonest messages."""
+    kind = F.concat(F.lit("kind_"), F.col("k") % 4)
+    errors = b.alerts(spark, sf_dir).select("event_id", F.col("event_type").alias("feed"), F.concat(kind, F.lit(": row "), F.col("k") % 9).alias("message"), "ts_event")
+    return quality.error_summary(errors, "event_id", "feed", "message", "ts_event")
 
 
 @register("quality_fresh_partitions", "SELECT t AS event_type FROM (VALUES ('view'), ('click'), ('signup'), ('refund')) v(t) WHERE t NOT IN (SELECT DISTINCT event_type FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10')")

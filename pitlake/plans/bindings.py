@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.operators.daily import daily_bars
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One input table."""
@@ -68,18 +70,8 @@ BARS = """bars AS (SELECT 'equity:S' || l_suppkey AS instrument_key,
 
 
 def daily(bars_df: DataFrame) -> DataFrame:
-    """Daily bars: first open, extremes, last close and vwap, sums."""
-    at = F.struct("ts_event", "seq")
-    return bars_df.groupBy("instrument_key", F.col("ts_event").cast("date").alias("day")).agg(
-        F.min_by("open", at).alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", at).alias("close"),
-        F.sum("volume").alias("volume"),
-        F.max_by("vwap", at).alias("vwap"),
-        F.count("*").alias("n_bars"),
-        F.max("ts_available").alias("ts_available"),
-    )
+    """Daily bars."""
+    return daily_bars(bars_df)
 
 
 DAILY = """daily AS (SELECT instrument_key, CAST(ts_event AS DATE) AS day, first(open ORDER BY ts_event, seq) AS open,

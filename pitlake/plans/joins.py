@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake.operators.asof import asof_join, forward_rows, validity_join
-from pitlake.operators.barrier import Costs, barrier_outcome
+from pitlake.operators.barrier import Costs, barrier_outcome, contract_outcome
 from pitlake.operators.universe import survivors
 from pitlake.plans import bindings as b
 from pitlake.plans.catalog import register
@@ -86,7 +86,7 @@ def join_asof_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps = b.snaps(spark, sf_dir)
     left = snaps.where("status = 'F'").select("seq", "sector", "ts_event")
     right = snaps.where("status <> 'F'").select("sector", "ts_event", F.col("seq").alias("nth"), "level")
-    out = asof_join(left, right, ["sector"], "ts_event", "ts_event", tiebreak=["nth"])
+    out = asof_join(left, right, ["sector"], "ts_event", "ts_event", tiebreak=["nth"], bucket_seconds=30 * 86400)  # few sectors, many rows
     return out.select("seq", F.coalesce(F.signum(F.col("level") - 100000), F.lit(0.0)).alias("sentiment"), F.round("level", 4).alias("net_premium"))
 
 
@@ -103,7 +103,7 @@ def join_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = series("instrument_key", ["ts_event", "seq"])
     dim = snaps.select("instrument_key", F.col("seq").alias("revision"), F.col("ts_event").alias("valid_from"), F.lead("ts_event").over(w).alias("valid_to"))
     at = snaps.where("status = 'O'").selectExpr("instrument_key", "seq", "ts_event + make_dt_interval(20) AS t")
-    return validity_join(at, dim, "instrument_key", "t").select("seq", "revision")
+    return validity_join(at, dim, "instrument_key", "t", tiebreak=["revision"]).select("seq", "revision")
 
 
 @register(
@@ -138,31 +138,22 @@ def join_last_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", F.round("close", 4).alias("spot"))
 
 
-_FORWARD = """asked AS (SELECT 'equity:S' || (o_custkey % 10) AS instrument_key, o_orderkey, o_orderdate AS t, o_orderstatus = 'O' AS is_call,
-  o_totalprice AS x FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-04-01'),
+_FORWARD = """asked AS (SELECT 'equity:S' || (o_custkey % 10) AS instrument_key, o_orderkey, o_orderdate AS t, o_orderstatus = 'O' AS is_call FROM orders),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts_event, seq) AS n FROM bars),
-placed AS (SELECT a.*, (SELECT count(*) FROM bars z WHERE z.instrument_key = a.instrument_key AND z.ts_event <= a.t) AS seen FROM asked a),
-path AS (SELECT p.o_orderkey, p.is_call, n.n - p.seen AS position, n.close FROM placed p JOIN numbered n
-  ON n.instrument_key = p.instrument_key AND n.n > p.seen AND n.n <= p.seen + 8)"""
+upto AS (SELECT instrument_key, ts_event, max(n) AS seen FROM numbered GROUP BY 1, 2),
+placed AS (SELECT a.*, coalesce(u.seen, 0) AS seen FROM asked a ASOF LEFT JOIN upto u ON a.instrument_key = u.instrument_key AND a.t >= u.ts_event),
+path AS (SELECT p.o_orderkey, p.is_call, n.n - p.seen AS position, n.close FROM (SELECT *, unnest(range(seen + 1, seen + 9)) AS at FROM placed) p
+  JOIN numbered n ON n.instrument_key = p.instrument_key AND n.n = p.at)"""
 
 
-_QUARTER = "o_orderdate >= timestamp_ntz'1997-01-01 00:00:00' AND o_orderdate < timestamp_ntz'1997-04-01 00:00:00'"  # as in _FORWARD
-
-
-def _forward(spark: SparkSession, sf_dir: str, asked_for: str = "true") -> DataFrame:
-    asked = b.read(spark, sf_dir, "orders").where(asked_for).selectExpr("concat('equity:S', o_custkey % 10) AS instrument_key", "o_orderkey", "o_orderdate AS t", "o_orderstatus = 'O' AS is_call")
+def _forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = b.read(spark, sf_dir, "orders").selectExpr("concat('equity:S', o_custkey % 10) AS instrument_key", "o_orderkey", "o_orderdate AS t", "o_orderstatus = 'O' AS is_call")
     bars = b.bars(spark, sf_dir).select("instrument_key", "ts_event", "seq", "close")
     return forward_rows(asked, bars, "instrument_key", "t", "ts_event", 8, ["seq"])
 
 
 @register("join_forward_window", b.with_(b.BARS, _FORWARD) + "SELECT o_orderkey, CAST(position AS INTEGER) AS position, round(close, 4) AS close FROM path")
 def join_forward_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first eight bars after a time, for the quarter that the SQL asks for."""
-    return _forward(spark, sf_dir, _QUARTER).select("o_orderkey", "position", F.round("close", 4).alias("close"))
-
-
-@register("join_forward_window_all")
-def join_forward_window_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first eight bars after the time of every order."""
     return _forward(spark, sf_dir).select("o_orderkey", "position", F.round("close", 4).alias("close"))
 
@@ -187,20 +178,30 @@ def _outcomes(paths: DataFrame) -> DataFrame:
   round(CASE WHEN coalesce(up, 99) < coalesce(down, 99) THEN 1.0 - up / 7.0 END, 6) AS time_efficiency FROM hits""",
 )
 def label_barrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Barrier outcomes over the seven bars after the entry bar, with costs, for the quarter that the SQL asks for."""
-    return _outcomes(_forward(spark, sf_dir, _QUARTER))
+    """Barrier outcomes of every order over the seven bars after its entry bar, with costs."""
+    return _outcomes(_forward(spark, sf_dir))
 
 
-@register("label_barrier_all")
-def label_barrier_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Barrier outcomes of every order with bars after its entry bar."""
-    return _outcomes(_forward(spark, sf_dir))
+_CONTRACT = """moves AS (SELECT p.o_orderkey, position - 1 AS step, (close - entry) / entry AS m FROM path p JOIN (SELECT o_orderkey, max(close) FILTER (WHERE position = 1) AS entry FROM path GROUP BY 1) USING (o_orderkey) WHERE position > 1),
+hits AS (SELECT o_orderkey, max(m) AS mfe, min(m) AS mae, min(step) FILTER (WHERE m >= 0.25 + 0.04) AS up, min(step) FILTER (WHERE m <= -0.15) AS down FROM moves GROUP BY 1)"""
 
 
-@register("join_inner", "SELECT o_orderkey, l_linenumber, round(o_totalprice + l_extendedprice, 4) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P'")
+@register("label_contract_barrier", b.with_(b.BARS, _FORWARD, _CONTRACT) + """SELECT o_orderkey, CAST(coalesce(up, 99) < coalesce(down, 99) AS INTEGER) AS contract_hit_tp_first, round(mfe, 6) AS contract_mfe, round(mae, 6) AS contract_mae,
+  round(mfe - 0.04, 6) AS contract_mfe_adj, round(mae - 0.02, 6) AS contract_mae_adj,
+  CAST(CASE WHEN coalesce(up, 99) < coalesce(down, 99) THEN up WHEN coalesce(down, 99) < coalesce(up, 99) THEN down END AS BIGINT) AS contract_bars_to_hit FROM hits""")
+def label_contract_barrier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of the contract itself: held long, fixed shares, option costs."""
+    rows = _forward(spark, sf_dir).groupBy("o_orderkey").agg(F.sort_array(F.collect_list(F.struct("position", "close"))).alias("path"))  # eight at most
+    path = F.transform(F.slice("path", 2, 8), lambda p: p["close"])
+    found = contract_outcome(path, F.element_at("path", 1)["close"], 0.25, 0.15, Costs())
+    kinds = {"contract_hit_tp_first": "int", "contract_bars_to_hit": "long"}
+    return rows.where(F.size("path") > 1).select("o_orderkey", *[c.cast(kinds[n]).alias(n) if n in kinds else F.round(c, 6).alias(n) for n, c in found.items()])
+
+
+@register("join_inner", "SELECT o_orderkey, l_linenumber, round(o_totalprice + l_extendedprice, 4) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey")
 def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with outcomes."""
-    orders = b.read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_totalprice")
+    orders = b.read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     lines = b.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select("o_orderkey", "l_linenumber", F.round(F.col("o_totalprice") + F.col("l_extendedprice"), 4).alias("total"))
 
@@ -293,23 +294,15 @@ def join_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "join_feed_overlap",
-    "SELECT event_type AS feed, round(count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM events), 6) AS overlap FROM events WHERE event_id % 3 = 0 GROUP BY 1",
+    "SELECT event_type AS feed, round(count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM events), 6) AS overlap, count(DISTINCT user_id) / (SELECT count(DISTINCT user_id) FROM events) >= 0.5 AS enough FROM events GROUP BY 1",
 )
 def join_feed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of all keys that each feed covers by the rows that the SQL asks for."""
-    return _overlap(b.read(spark, sf_dir, "events"), "event_id % 3 = 0")
-
-
-@register("join_feed_overlap_all")
-def join_feed_overlap_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of all keys that each feed covers by all its rows."""
-    return _overlap(b.read(spark, sf_dir, "events"), "true")
-
-
-def _overlap(events: DataFrame, counted: str) -> DataFrame:
-    whole = events.agg(F.count_distinct("user_id").alias("whole"))
-    feeds = events.where(counted).groupBy(F.col("event_type").alias("feed")).agg(F.count_distinct("user_id").alias("own"))
-    return feeds.join(F.broadcast(whole)).select("feed", F.round(F.col("own") / F.col("whole"), 6).alias("overlap"))  # one row
+    """Share of all keys that each feed covers, and whether that is half of them: distinct keys first, then counts."""
+    pairs = b.read(spark, sf_dir, "events").select(F.col("event_type").alias("feed"), "user_id").distinct()
+    whole = pairs.agg(F.count_distinct("user_id").alias("whole"))
+    share = F.col("own") / F.col("whole")
+    feeds = pairs.groupBy("feed").agg(F.count("user_id").alias("own"))
+    return feeds.join(F.broadcast(whole)).select("feed", F.round(share, 6).alias("overlap"), (share >= 0.5).alias("enough"))  # one row
 
 
 @register(

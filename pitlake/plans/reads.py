@@ -46,7 +46,7 @@ def pit_daily_momentum(spark: SparkSession, sf_dir: str) -> DataFrame:
   AND instrument_key IN ('equity:S1', 'equity:S2', 'equity:S3')""",
 )
 def scan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Range (both ends), keys, timeframe and projection, all pushed to the scan's columns."""
+    """Range (both ends), keys, timeframe and projection; key and time are computed here, so nothing is pruned (``lake_silver_scan`` is)."""
     return (
         b.bars(spark, sf_dir)
         .where("ts_event BETWEEN timestamp_ntz'1997-01-01 00:00:00' AND timestamp_ntz'1997-12-31 00:00:00' AND timeframe = '1Day'")

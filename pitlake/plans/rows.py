@@ -103,26 +103,14 @@ def scalar_coercions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", s.to_double(F.col("d")).alias("as_double"), s.to_boolean(F.col("f")).alias("as_bool"), s.to_long(F.col("l")).alias("as_long"))
 
 
-@register("scalar_timestamps", "SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) WHEN event_id % 3 = 1 THEN date_trunc('millisecond', ts) END AS VARCHAR) AS ts FROM events WHERE event_id % 3 <> 1 OR epoch_us(ts) % 1000000 >= 100000")
+@register("scalar_timestamps", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN epoch_us(ts) // 1000000 * 1000000 WHEN event_id % 3 = 1 THEN epoch_us(ts) // 1000 * 1000 END AS us FROM events")
 def scalar_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Epoch seconds, epoch milliseconds whose text SQL renders alike, and text that is no time."""
-    return _times(spark, sf_dir, "event_id % 3 <> 1 OR us % 1000000 >= 100000").select("event_id", F.col("ts").cast("string").alias("ts"))
-
-
-@register("scalar_timestamps_all")
-def scalar_timestamps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for every row, as microseconds, which have one rendering."""
+    """Epoch seconds, epoch milliseconds, and text that is no time, as microseconds."""
     from pitlake.operators.asof import micros
 
-    return _times(spark, sf_dir, "true").select("event_id", micros("ts").alias("us"))
-
-
-def _times(spark: SparkSession, sf_dir: str, asked_for: str) -> DataFrame:
-    from pitlake.operators.asof import micros
-
-    rows = b.read(spark, sf_dir, "events").withColumn("us", micros("ts")).where(asked_for)
-    text = F.when(F.col("event_id") % 3 == 0, F.floor(F.col("us") / 1_000_000).cast("string")).when(F.col("event_id") % 3 == 1, F.floor(F.col("us") / 1000).cast("string")).otherwise("soon")
-    return rows.select("event_id", s.to_timestamp(text).alias("ts"))
+    us = micros("ts")
+    text = F.when(F.col("event_id") % 3 == 0, F.floor(us / 1_000_000).cast("string")).when(F.col("event_id") % 3 == 1, F.floor(us / 1000).cast("string")).otherwise("soon")
+    return b.read(spark, sf_dir, "events").select("event_id", micros(s.to_timestamp(text)).alias("us"))
 
 
 @register("scalar_keys", "SELECT c_custkey, regexp_matches('equity:' || upper(substr(c_mktsegment, 1, 4)), '^equity:[A-Z0-9]+(?:[.-][A-Z0-9]+)*$') AS valid, 'equity:' || c_mktsegment AS prefixed, c_mktsegment AS plain FROM customer")
@@ -149,11 +137,17 @@ def scalar_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", s.crypto_symbol(F.col("c")).alias("crypto"), s.equity_symbol(F.col("e")).alias("equity"), s.sector_fund(F.col("f")).alias("fund"))
 
 
-@register("scalar_suspect_flags", b.with_(b.QUOTES) + "SELECT instrument_key, seq, concat_ws(',', CASE WHEN bid_px - 1000 < 0 THEN 'negative_price' END, CASE WHEN bid_px + 3000 > ask_px THEN 'inverted_spread' END) AS flags FROM quotes WHERE bid_px - 1000 < 0 OR bid_px + 3000 > ask_px")
+@register("scalar_suspect_flags", b.with_(b.BARS, b.QUOTES) + """SELECT 'quotes' AS feed, seq, concat_ws(',', CASE WHEN bid_px - 1000 > ask_px - 2000 THEN 'inverted_spread' END, CASE WHEN bid_px - 1000 < 0 OR ask_px - 2000 < 0 THEN 'negative_price' END) AS flags FROM quotes
+  UNION ALL SELECT 'bars', seq, concat_ws(',', CASE WHEN close - 2000 < 0 OR high - 3000 < 0 THEN 'negative_price' END, CASE WHEN volume - 2 < 0 THEN 'negative_volume' END, CASE WHEN high - 3000 < low THEN 'high_below_low' END) FROM bars
+  UNION ALL SELECT 'trades', seq, concat_ws(',', CASE WHEN close - 2000 <= 0 THEN 'non_positive_price' END, CASE WHEN volume - 2 < 0 THEN 'negative_size' END) FROM bars""")
 def scalar_suspect_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is odd about a quote."""
-    flags = F.array_union(s.suspect_flags(F.col("bid_px") - 1000, F.lit(1e9), F.lit(1.0), F.lit(0.0)), s.suspect_flags(F.col("bid_px") + 3000, F.col("ask_px"), F.lit(1.0), F.lit(0.0)))
-    return b.quotes(spark, sf_dir).withColumn("f", flags).where(F.size("f") > 0).select("instrument_key", "seq", F.array_join("f", ",").alias("flags"))
+    """What is odd about quotes, bars and trades."""
+    c = F.col
+    odd = lambda df, feed, **columns: df.select(F.lit(feed).alias("feed"), "seq", F.array_join(s.suspect_flags(feed, **columns), ",").alias("flags"))
+    bars = b.bars(spark, sf_dir)
+    quotes = odd(b.quotes(spark, sf_dir), "quotes", bid=c("bid_px") - 1000, ask=c("ask_px") - 2000)
+    wide = odd(bars, "bars", open=c("open"), high=c("high") - 3000, low=c("low"), close=c("close") - 2000, volume=c("volume") - 2)
+    return quotes.unionByName(wide).unionByName(odd(bars, "trades", price=c("close") - 2000, size=c("volume") - 2))
 
 
 @register("scalar_explode_payload", "SELECT o_custkey || ':' || (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) AS event_id, round(o_totalprice, 2) AS price FROM orders")
@@ -182,23 +176,118 @@ def scalar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", F.col("e").cast("string").alias("expiry"), F.datediff("e", F.lit("1995-01-01").cast("date")).cast("long").alias("dte"))
 
 
-@register("scalar_clock", "SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST((dayofweek(ts) + 6) % 7 AS INTEGER) AS weekday, CAST(hour(ts) * 60 + minute(ts) - 570 AS INTEGER) AS since_open, round(ln((value + 1) / 100), 6) AS log_moneyness FROM events")
+_ZONED = "SELECT event_id, ts, value, timezone('America/New_York', timezone('UTC', ts)) AS local FROM events"
+
+
+@register("scalar_clock", f"SELECT event_id, CAST(hour(local) AS INTEGER) AS hour, CAST(minute(local) AS INTEGER) AS minute, CAST((dayofweek(local) + 6) % 7 AS INTEGER) AS weekday, CAST(hour(local) * 60 + minute(local) - 570 AS INTEGER) AS since_open, CAST(960 - hour(local) * 60 - minute(local) AS INTEGER) AS to_close, round((value + 1) / 100, 6) AS moneyness, round(ln((value + 1) / 100), 6) AS log_moneyness FROM ({_ZONED})")
 def scalar_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clock features of a zone-less exchange time (Monday is 0) and log-moneyness."""
-    since = F.hour("ts") * 60 + F.minute("ts") - 570
-    return b.read(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("hour"), F.weekday("ts").alias("weekday"), since.cast("int").alias("since_open"), F.round(F.ln((F.col("value") + 1) / 100), 6).alias("log_moneyness"))
+    """Exchange clock of a UTC time (Monday is 0), and moneyness."""
+    rows = b.read(spark, sf_dir, "events")
+    clock = s.exchange_clock(F.col("ts"))
+    money = s.moneyness(F.col("value") + 1, F.lit(100.0))
+    return rows.select("event_id", *[c.alias(n) for n, c in clock.items()], *[F.round(c, 6).alias(n) for n, c in money.items()])
 
 
-@register("split_walk_forward", "WITH f AS (SELECT g AS fold, CAST(DATE '1995-01-01' + CAST(g * 180 AS INTEGER) AS DATE) AS a FROM generate_series(0, 5) t(g)) SELECT fold, count(*) FILTER (WHERE CAST(o_orderdate AS DATE) < a + 360) AS n_train, count(*) FILTER (WHERE CAST(o_orderdate AS DATE) >= a + 365) AS n_test FROM orders JOIN f ON CAST(o_orderdate AS DATE) >= a AND CAST(o_orderdate AS DATE) < a + 545 GROUP BY 1")
-def split_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Walk-forward folds with an embargo; the folds are a short literal table."""
-    from pitlake.operators.splits import assign_folds, walk_forward
+@register("scalar_tags", b.with_(b.ALERTS) + "SELECT event_id, CAST(event_type = 'view' AS INTEGER) AS tag_view, CAST(is_sweep AS INTEGER) AS tag_sweep, CAST(k % 2 = 0 AS INTEGER) AS tag_even, 0 AS tag_none FROM alerts")
+def scalar_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column of 0 and 1 per tag, whatever its case; no list has no tags."""
+    tags = F.when(F.col("k") >= 0, F.array_compact(F.array(F.initcap("event_type"), F.when(F.col("is_sweep"), F.lit("SWEEP")), F.when(F.col("k") % 2 == 0, F.lit("Even")))))
+    rows = b.alerts(spark, sf_dir).withColumn("tags", tags)
+    return rows.select("event_id", *[c.alias(n) for n, c in s.tag_columns(F.col("tags"), ["view", "sweep", "even", "none"]).items()])
+
+
+@register("scalar_first_present", b.with_(b.ALERTS) + "SELECT event_id, CASE WHEN k % 3 = 0 THEN 'a' || k WHEN k % 3 = 1 THEN 'b' || k ELSE event_type END AS found FROM alerts")
+def scalar_first_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of several names of a payload that holds something; blank text holds nothing."""
+    from pitlake.functions.payloads import first_present
+
+    k = F.col("k").cast("string")
+    payload = F.to_json(F.struct(
+        F.when(F.col("k") % 3 == 0, F.concat(F.lit("a"), k)).alias("ticker"), F.when(F.col("k") % 3 == 1, F.concat(F.lit("b"), k)).otherwise(F.lit("  ")).alias("symbol"), F.col("event_type").alias("underlying"),
+    ))
+    return b.alerts(spark, sf_dir).select("event_id", first_present(payload, ["ticker", "symbol", "underlying"]).alias("found"))
+
+
+@register("scalar_feed_keys", b.with_(b.ALERTS) + """SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'equity:U' || (k % 9) WHEN 1 THEN 'crypto:BTC-USD' WHEN 2 THEN 'option:OCC:AB240119C' || lpad(CAST((k + 1) * 1000 AS VARCHAR), 8, '0') WHEN 3 THEN 'equity:XLK' ELSE 'equity:SPY' END AS key FROM alerts""")
+def scalar_feed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instrument keys made per feed out of symbols and payloads."""
+    from pitlake.functions.keys import feed_key
+
+    n = F.col("event_id") % 5
+    feed = F.element_at(F.array(*[F.lit(x) for x in ("bars", "trades", "flow_alerts", "sector_tide", "market_tide")]), (n + 1).cast("int"))
+    kind = F.when(n == 1, "crypto").otherwise("equity")
+    symbol = F.when(n == 0, F.concat(F.lit(" u"), F.col("k") % 9, F.lit("="))).when(n == 1, F.lit("btcusd"))
+    payload = F.when(n == 2, F.to_json(F.struct(F.lit("ab").alias("ticker"), F.lit("2024-01-19").alias("expiry"), F.lit("call").alias("put_call"), (F.col("k") + 1).alias("strike")))).when(n == 3, F.lit('{"sector": "Technology"}'))
+    return b.alerts(spark, sf_dir).select("event_id", feed_key(feed, kind, symbol, payload).alias("key"))
+
+
+_FOLDS = """counted AS (SELECT fold, count(*) FILTER (WHERE d >= a AND d < b) AS n_train, count(*) FILTER (WHERE d >= c AND d < e) AS n_test
+  FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) JOIN f ON (d >= a AND d < b) OR (d >= c AND d < e) GROUP BY 1)"""
+
+
+def _fold_counts(spark: SparkSession, sf_dir: str, folds: list) -> DataFrame:
+    from pitlake.operators.splits import assign_folds
 
-    folds = walk_forward("1995-01-01", "1999-01-01", "360d", "180d", "180d", "5d")[:6]
     rows = assign_folds(b.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d")), "d", folds)
     return rows.groupBy("fold").agg(F.count_if(F.col("part") == "train").alias("n_train"), F.count_if(F.col("part") == "test").alias("n_test"))
 
 
+@register("scalar_payload_columns", b.with_(b.ALERTS) + """SELECT event_id, 'n' || k AS politician_name, CASE WHEN k % 2 = 0 THEN '2024-01-02' ELSE '2024-01-03' END AS trade_date, (k + 1) * 1000.0 AS amount_min, CASE WHEN k % 3 = 0 THEN (k + 1) * 1000.0 ELSE (k + 2) * 1000.5 END AS amount_max,
+  nullif(concat_ws('|', CASE WHEN k % 2 = 0 THEN 'director' END, CASE WHEN k % 3 = 0 THEN '10b5-1' END), '') AS insider_relationship, round((k + 1) / nullif(k % 4, 0), 6) AS call_put_ratio,
+  CASE WHEN k % 2 = 0 THEN '2023-12-31' ELSE strftime(ts_event, '%Y-%m-%d') END AS short_date FROM alerts""")
+def scalar_payload_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provider payloads of four feeds read into their columns."""
+    from pitlake.functions.contracts import normalised
+
+    k = F.col("k")
+    money = lambda n: F.concat(F.lit("$"), F.format_number(n, 2))
+    amounts = F.when(k % 3 == 0, money((k + 1) * 1000)).otherwise(F.concat(money((k + 1) * 1000), F.lit(" - "), money((k + 2) * 1000.5)))
+    congress = F.to_json(F.struct(F.lit("").alias("name"), F.concat(F.lit("n"), k).alias("reporter"), F.when(k % 2 == 0, "2024-01-02").alias("transaction_date"), F.lit("2024-01-03").alias("date"), amounts.alias("amounts")))
+    insider = F.to_json(F.struct((k % 2 == 0).alias("is_director"), (k % 3 == 0).alias("is_10b5_1")))
+    tide = F.to_json(F.struct((k + 1).cast("string").alias("net_call_premium"), (k % 4).cast("string").alias("net_put_premium")))
+    short = F.to_json(F.struct(F.when(k % 2 == 0, "2023-12-31").otherwise(" ").alias("date")))
+    event = F.col("ts_event")
+    one, two, three, four = (normalised(f, p, event) for f, p in (("congress_trades", congress), ("insider_trades", insider), ("sector_tide", tide), ("short_data", short)))
+    return b.alerts(spark, sf_dir).select(
+        "event_id", *[one[c].alias(c) for c in ("politician_name", "trade_date", "amount_min", "amount_max")],
+        two["insider_relationship"].alias("insider_relationship"), F.round(three["call_put_ratio"], 6).alias("call_put_ratio"), four["date"].alias("short_date"),
+    )
+
+
+@register("split_walk_forward", "WITH s AS (SELECT g AS fold, CAST(DATE '1995-01-01' + CAST(g * 180 AS INTEGER) AS DATE) AS a FROM generate_series(0, 30) t(g)), f AS (SELECT fold, a, a + 350 AS b, a + 365 AS c, a + 545 AS e FROM s WHERE a + 545 <= DATE '2002-01-01'), " + _FOLDS + " SELECT * FROM counted")
+def split_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All walk-forward folds that fit, with an embargo and a purge; the folds are a short literal table."""
+    from pitlake.operators.splits import walk_forward
+
+    return _fold_counts(spark, sf_dir, walk_forward("1995-01-01", "2002-01-01", "360d", "180d", "180d", "5d", purge="10d"))
+
+
+@register("split_expanding", "WITH s AS (SELECT g AS fold, DATE '1995-01-01' AS a, CAST(DATE '1995-01-01' + CAST(720 + g * 180 AS INTEGER) AS DATE) AS b FROM generate_series(0, 30) t(g)), f AS (SELECT fold, a, b, b + 5 AS c, b + 185 AS e FROM s WHERE b + 185 <= DATE '2002-01-01'), " + _FOLDS + " SELECT * FROM counted")
+def split_expanding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds whose training part grows."""
+    from pitlake.operators.splits import expanding
+
+    return _fold_counts(spark, sf_dir, expanding("1995-01-01", "2002-01-01", "720d", "180d", "5d"))
+
+
+@register("split_holdout_overlap", "WITH s AS (SELECT g AS fold, CAST(DATE '1995-01-01' + CAST(g * 180 AS INTEGER) AS DATE) AS a FROM generate_series(0, 30) t(g)), f AS (SELECT fold, a, a + 360 AS b, a + 365 AS c, a + 545 AS e FROM s WHERE a + 545 <= DATE '2002-01-01') SELECT fold, (a < DATE '2001-01-01' AND b > DATE '2000-06-01') OR (c < DATE '2001-01-01' AND e > DATE '2000-06-01') AS overlaps FROM f")
+def split_holdout_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds that reach into a holdout."""
+    from pitlake.operators.splits import overlaps_holdout, walk_forward
+
+    folds = walk_forward("1995-01-01", "2002-01-01", "360d", "180d", "180d", "5d")
+    return spark.createDataFrame([(f[0], overlaps_holdout(f, "2000-06-01", "2001-01-01")) for f in folds], "fold bigint, overlaps boolean")
+
+
+@register("split_temporal_default", "WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS i, count(*) OVER () AS n FROM orders) SELECT o_orderkey, CASE WHEN i <= floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS part FROM n")
+def split_temporal_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a split date the first four fifths of the rows in time are for training."""
+    from pitlake.operators.splits import share_split
+
+    rows = share_split(b.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), ["o_orderdate", "o_orderkey"], 0.8)
+    return rows.select("o_orderkey", "part")
+
+
 @register("split_temporal", "SELECT CASE WHEN CAST(o_orderdate AS DATE) < DATE '1999-12-27' THEN 'train' WHEN CAST(o_orderdate AS DATE) >= DATE '2000-01-04' THEN 'test' ELSE 'purged' END AS part, count(*) AS n FROM orders GROUP BY 1")
 def split_temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train before the split less a purge, test after it plus an embargo."""

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from pitlake.operators import windows as w_
 from pitlake.operators.asof import micros
+from pitlake.operators.dedupe import keep_one
 from pitlake.plans import bindings as b
 from pitlake.plans.catalog import register
 
@@ -82,76 +83,111 @@ def win_rolling_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.percentile("close", F.lit(0.5)).over(w_.trailing(_by_day(), 90)), "med"))
 
 
-_VOL = """r AS (SELECT *, ln(close / lag(close) OVER w) AS lr, lag(close) OVER w AS pc FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day)),
+_VOL = """r AS (SELECT *, ln(close / lag(close) OVER w) AS lr, close / lag(close) OVER w - 1 AS sr, lag(close) OVER w AS pc FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day)),
 t AS (SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr, ln(high / low) ** 2 AS hl FROM r)"""
+_YEAR = "sqrt(252)"
+_FAMILY = (
+    "v AS (SELECT instrument_key, day, close, "
+    + ", ".join(f"{_gate('stddev_samp(lr)', n, 'lr')} * {_YEAR} AS vol_{n}d" for n in (5, 20, 60))
+    + f", sqrt({_gate('avg(hl)', 20, 'hl')} / (4 * ln(2))) * {_YEAR} AS parkinson_20d, "
+    + ", ".join(f"{_gate('avg(tr)', n, 'tr')} AS atr_{n}" for n in (14, 20))
+    + f", {_gate('stddev_samp(sr)', 20, 'sr')} * {_YEAR} AS simple_vol_20d, "
+    + ", ".join(f"{_gate('avg(close)', n, 'close')} AS m{n}, {_gate('stddev_samp(close)', n, 'close')} AS s{n}" for n in (20, 60))
+    + " FROM t)"
+)
+_VOLATILITIES = ("vol_5d", "vol_20d", "vol_60d", "parkinson_20d", "atr_14", "atr_20", "simple_vol_20d", "vol_ratio_5_20", "vol_ratio_20_60", "band_width_20", "band_width_template", "zscore_20d", "zscore_60d")
+
+
+@register("win_volatility", b.with_(b.BARS, b.DAILY, _VOL, _FAMILY) + _HEAD + ", ".join(f"round({c}, 6) AS {c}" for c in _VOLATILITIES[:7])
+  + """, round(vol_5d / nullif(vol_20d, 0), 6) AS vol_ratio_5_20, round(vol_20d / nullif(vol_60d, 0), 6) AS vol_ratio_20_60, round(2 * s20 / nullif(m20, 0), 6) AS band_width_20,
+  round(4 * s20 / nullif(m20, 0), 6) AS band_width_template, round((close - m20) / nullif(s20, 0), 6) AS zscore_20d, round((close - m60) / nullif(s60, 0), 6) AS zscore_60d FROM v""")
+def win_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volatility family of daily bars."""
+    rows = w_.volatility(_daily(spark, sf_dir), "instrument_key", ["day"])
+    return rows.select("instrument_key", "day", *[_r(F.col(c), c) for c in _VOLATILITIES])
 
 
-@register("win_volatility", b.with_(b.BARS, b.DAILY, _VOL) + _HEAD + f"""round({_gate('stddev_samp(lr)', 5, 'lr')}, 6) AS vol5, round({_gate('stddev_samp(lr)', 20, 'lr')}, 6) AS vol20,
-  round({_gate('avg(tr)', 14, 'tr')}, 6) AS atr14, round(sqrt({_gate('avg(hl)', 20, 'hl')} / (4 * ln(2))), 6) AS parkinson20,
-  round(2 * {_gate('stddev_samp(close)', 20, 'close')} / {_gate('avg(close)', 20, 'close')}, 6) AS bollinger, round(4 * {_gate('stddev_samp(close)', 20, 'close')} / {_gate('avg(close)', 20, 'close')}, 6) AS bollinger_template FROM t""")
-def win_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Historical, Parkinson and true-range volatility, both definitions of band width."""
-    rows = _daily(spark, sf_dir)
-    rows = rows.withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_by_day()))).withColumn("tr", w_.true_range(_by_day())).withColumn("hl", F.pow(F.ln(F.col("high") / F.col("low")), 2))
-    band = w_.gated(_by_day(), "close", 20, F.stddev_samp) / w_.gated(_by_day(), "close", 20, F.avg)
-    return rows.select(
-        "instrument_key", "day", _r(w_.gated(_by_day(), "lr", 5, F.stddev_samp), "vol5"), _r(w_.gated(_by_day(), "lr", 20, F.stddev_samp), "vol20"), _r(w_.gated(_by_day(), "tr", 14, F.avg), "atr14"),
-        _r(F.sqrt(w_.gated(_by_day(), "hl", 20, F.avg) / (4 * F.ln(F.lit(2.0)))), "parkinson20"), _r(2 * band, "bollinger"), _r(4 * band, "bollinger_template"),
-    )
+def _ema_sql(column: str, keep: float, window: str) -> str:
+    """A fold over the values so far; the SQL needs no better order than that."""
+    return f"list_reduce(list({column}) FILTER (WHERE {column} IS NOT NULL) OVER {window}, lambda a, x: a * {keep!r}::DOUBLE + x * (1 - {keep!r}::DOUBLE))"
 
 
 _EVW = "(PARTITION BY user_id ORDER BY ts, event_id)"
-_EWMA_DAYS = "cast(ts AS date) <= date'2024-01-10'"  # as in the SQL
+_LONG = "(PARTITION BY event_type ORDER BY ts, event_id)"
 
 
-def _ewma(rows: DataFrame) -> DataFrame:
-    return rows.select("event_id", _r(w_.exponential(w_.series("user_id", ["ts", "event_id"]), "value", 0.2), "ema", 4))
+@register("win_ewma", f"SELECT event_id, round({_ema_sql('value', 1 - 2 / 13, _EVW)}, 4) AS ema FROM events")
+def win_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursive exponential mean of every user's events."""
+    rows = b.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return w_.exponential(rows, "user_id", ["ts", "event_id"], "value", 2 / 13, "ema").select("event_id", _r(F.col("ema"), "ema", 4))
 
 
-def _ewma_long(rows: DataFrame) -> DataFrame:
-    rows = rows.select("event_id", "user_id", "ts", "value")
-    return w_.exponential_long(rows, "user_id", ["ts", "event_id"], "value", 0.2, "ema").select("event_id", _r(F.col("ema"), "ema", 4))
+@register("win_ewma_long", f"SELECT event_id, round({_ema_sql('value', 1 - 2 / 41, _LONG)}, 4) AS ema FROM events")
+def win_ewma_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a handful of long series."""
+    rows = b.read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    return w_.exponential(rows, "event_type", ["ts", "event_id"], "value", 2 / 41, "ema").select("event_id", _r(F.col("ema"), "ema", 4))
 
 
-@register("win_ewma", f"SELECT event_id, round(list_reduce(list(value) OVER {_EVW}, lambda a, x: a * 0.8 + x * 0.2), 4) AS ema FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-10'")
-def win_ewma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recursive exponential mean by a fold, for short series, over the days that the SQL asks for."""
-    return _ewma(b.read(spark, sf_dir, "events").where(_EWMA_DAYS))
+@register("win_ewma_adjusted", "WITH e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) "
+  "SELECT a.event_id, round(sum(x.value * pow(0.7, a.n - x.n)) / sum(pow(0.7, a.n - x.n)), 4) AS ema FROM e a JOIN e x ON a.user_id = x.user_id AND x.n <= a.n GROUP BY 1")
+def win_ewma_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted mean of all values so far, weights falling by the row."""
+    rows = b.read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return w_.exponential(rows, "user_id", ["ts", "event_id"], "value", 0.3, "ema", adjust=True).select("event_id", _r(F.col("ema"), "ema", 4))
 
 
-@register("win_ewma_all")
-def win_ewma_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recursive exponential mean by a fold over all events."""
-    return _ewma(b.read(spark, sf_dir, "events"))
+_BYDAY = "(PARTITION BY instrument_key ORDER BY day)"
 
 
-@register("win_ewma_long", f"SELECT event_id, round(list_reduce(list(value) OVER {_EVW}, lambda a, x: a * 0.8 + x * 0.2), 4) AS ema FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-10'")
-def win_ewma_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, linear in a series' length."""
-    return _ewma_long(b.read(spark, sf_dir, "events").where(_EWMA_DAYS))
+@register("win_macd", b.with_(b.BARS, b.DAILY, f"m AS (SELECT instrument_key, day, {_ema_sql('close', 1 - 2 / 13, _BYDAY)} - {_ema_sql('close', 1 - 2 / 27, _BYDAY)} AS macd FROM daily)")
+  + _HEAD + f"round(macd, 4) AS macd, round({_ema_sql('macd', 1 - 2 / 10, _BYDAY)}, 4) AS macd_signal FROM m")
+def win_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Convergence of two exponential means, and its signal line."""
+    rows = w_.macd(_daily(spark, sf_dir).select("instrument_key", "day", "close"), "instrument_key", ["day"], "close")
+    return rows.select("instrument_key", "day", _r(F.col("macd"), "macd", 4), _r(F.col("macd_signal"), "macd_signal", 4))
+
+
+def _rsi_sql(n: int) -> str:
+    up, down = (_ema_sql(c, 1 - 1 / n, _BYDAY) for c in ("up", "down"))
+    return f"round(CASE WHEN count(up) OVER {_BYDAY} >= {n} THEN 100 - 100 / (1 + {up} / nullif({down}, 0)) END, 4) AS rsi_{n}"
+
+
+@register("win_rsi", b.with_(b.BARS, b.DAILY, f"s AS (SELECT instrument_key, day, close - lag(close) OVER {_BYDAY} AS c FROM daily)", "g AS (SELECT instrument_key, day, CASE WHEN c IS NOT NULL THEN greatest(c, 0.0) END AS up, CASE WHEN c IS NOT NULL THEN greatest(-c, 0.0) END AS down, coalesce(greatest(c, 0.0), 0.0) AS up0, coalesce(greatest(-c, 0.0), 0.0) AS down0 FROM s)")
+  + _HEAD + f"{_rsi_sql(14)}, {_rsi_sql(28)}, round(100 - 100 / (1 + {_gate('avg(up0)', 14, 'up0')} / nullif({_gate('avg(down0)', 14, 'down0')}, 0)), 4) AS rsi_simple_14 FROM g")
+def win_rsi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relative strength by recursive means over 14 and 28 days, and by plain ones over 14."""
+    rows = _daily(spark, sf_dir).select("instrument_key", "day", "close")
+    for n in (14, 28):
+        rows = w_.rsi(rows, "instrument_key", ["day"], "close", n, f"rsi_{n}")
+    rows = w_.rsi_simple(rows, "instrument_key", ["day"], "close", 14, "rsi_simple_14")
+    return rows.select("instrument_key", "day", *[_r(F.col(c), c, 4) for c in ("rsi_14", "rsi_28", "rsi_simple_14")])
+
+
+_PAIR = """pair AS (SELECT a.instrument_key, a.day, a.close AS own, s.close AS bench FROM daily a LEFT JOIN daily s ON a.day = s.day AND s.instrument_key = 'equity:S1' WHERE a.instrument_key <> 'equity:S1'),
+rets AS (SELECT *, own / lag(own) OVER w - 1 AS x, bench / lag(bench) OVER w - 1 AS y, (own / lag(own, 20) OVER w) / (bench / lag(bench, 20) OVER w) AS strength FROM pair WINDOW w AS (PARTITION BY instrument_key ORDER BY day)),
+two AS (SELECT *, CASE WHEN y IS NOT NULL THEN x END AS bx, CASE WHEN x IS NOT NULL THEN y END AS by_, x - y AS d FROM rets)"""
 
 
-@register("win_ewma_long_all")
-def win_ewma_long_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over all events, linear in a series' length."""
-    return _ewma_long(b.read(spark, sf_dir, "events"))
+def _joint(n: int, expression: str) -> str:
+    frame = f"(PARTITION BY instrument_key ORDER BY day ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count(bx) OVER {frame} >= {n} THEN {expression.replace('@', 'OVER ' + frame)} END"
 
 
-_CO = """two AS (SELECT a.instrument_key, a.day, a.r AS x, s.r AS y FROM rets a LEFT JOIN rets s ON a.day = s.day AND s.instrument_key = 'equity:S1')"""
-_RET = "rets AS (SELECT instrument_key, day, close / lag(close) OVER (PARTITION BY instrument_key ORDER BY day) - 1 AS r FROM daily)"
+_CORR = "covar_samp(bx, by_) @ / nullif(stddev_samp(bx) @ * stddev_samp(by_) @, 0)"
+_RELATIVES = ("rel_strength_20d", "beta_60d", "alpha_20d", "corr_20d", "corr_60d", "idio_vol_20d")
 
 
-@register("win_relative", b.with_(b.BARS, b.DAILY, _RET, _CO, """k AS (SELECT *, count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 END) OVER w AS n, covar_samp(x, y) OVER w AS cv, var_samp(CASE WHEN x IS NOT NULL THEN y END) OVER w AS vy
-  FROM two WINDOW w AS (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))""") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(CASE WHEN n >= 10 AND vy > 1e-12 THEN cv / vy END, 4) AS beta FROM k")
+@register("win_relative", b.with_(b.BARS, b.DAILY, _PAIR) + _HEAD + f"""round(strength, 4) AS rel_strength_20d, round({_joint(60, 'covar_samp(bx, by_) @')} / nullif({_gate('var_samp(y)', 60, 'y')}, 0), 4) AS beta_60d,
+  round({_gate('avg(x)', 20, 'x')} - {_gate('avg(y)', 20, 'y')}, 4) AS alpha_20d, round({_joint(20, _CORR)}, 4) AS corr_20d, round({_joint(60, _CORR)}, 4) AS corr_60d, round({_gate('stddev_samp(d)', 20, 'd')} * sqrt(252), 4) AS idio_vol_20d FROM two""")
 def win_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rolling beta against a benchmark, gated on days that both have."""
-    rows = _daily(spark, sf_dir).select("instrument_key", "day", w_.change(_by_day(), "close", 1).alias("x"))
-    bench = rows.where("instrument_key = 'equity:S1'").select("day", F.col("x").alias("y"))
-    rows = rows.join(bench, "day", "left")
-    frame = w_.trailing(_by_day(), 60)
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    n, cv, vy = F.count(F.when(both, 1)).over(frame), F.covar_samp("x", "y").over(frame), F.var_samp(F.when(F.col("x").isNotNull(), F.col("y"))).over(frame)
-    return rows.select("instrument_key", "day", _r(F.when((n >= 10) & (vy > 1e-12), cv / vy), "beta", 4))
+    """The relative family against a benchmark, which is left out itself."""
+    rows = _daily(spark, sf_dir).select("instrument_key", "day", F.col("close").alias("own"))
+    bench = rows.where("instrument_key = 'equity:S1'").select("day", F.col("own").alias("bench"))
+    rows = rows.where("instrument_key <> 'equity:S1'").join(bench, "day", "left")
+    rows = w_.relative(rows, "instrument_key", ["day"], "own", "bench")
+    return rows.select("instrument_key", "day", *[_r(F.col(c), c, 4) for c in _RELATIVES])
 
 
 @register("win_max_availability", b.with_(b.BARS, b.DAILY) + _HEAD + "CAST(CAST(max(ts_available) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS DATE) AS VARCHAR) AS seen FROM daily")
@@ -185,25 +221,18 @@ def win_flow_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("win_base_rate", b.with_(b.ALERTS, "x AS (SELECT *, epoch_us(ts_event) AS t, CASE WHEN premium > 50 THEN 1.0 ELSE 0.0 END AS won FROM alerts WHERE k % 4 <> 0)") + """SELECT event_id, count(*) OVER w AS n, round(avg(won) OVER w, 6) AS win_rate, round(abs(avg(won) OVER w - 0.5) * 2, 6) AS conviction FROM x
-  WINDOW w AS (PARTITION BY instrument_key ORDER BY t RANGE BETWEEN 864000000000 PRECEDING AND 1 PRECEDING)""")
-def win_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing base rate over [t - 10d, t), truncated labels left out."""
-    return _base_rate(spark, sf_dir, 10).drop("instrument_key", "t")
-
-
-@register("win_base_rate_all")
-def win_base_rate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trailing base rate over the reference's [t - 90d, t); of rows with equal key and time the last stays."""
-    last = Window.partitionBy("instrument_key", "t").orderBy(F.desc("event_id"))
-    rows = _base_rate(spark, sf_dir, 90).withColumn("nth", F.row_number().over(last))
-    return rows.where("nth = 1").drop("instrument_key", "t", "nth")
+_BASE = """x AS (SELECT *, epoch_us(ts_event) AS t, CASE WHEN premium > 50 THEN 1.0 ELSE 0.0 END AS won FROM alerts WHERE k % 4 <> 0),
+u AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY instrument_key, t ORDER BY event_id DESC) = 1)"""
 
 
-def _base_rate(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+@register("win_base_rate", b.with_(b.ALERTS, _BASE) + """SELECT event_id, count(*) OVER w AS n, round(avg(won) OVER w, 6) AS win_rate, round(abs(avg(won) OVER w - 0.5) * 2, 6) AS conviction FROM u
+  WINDOW w AS (PARTITION BY instrument_key ORDER BY t RANGE BETWEEN 7776000000000 PRECEDING AND 1 PRECEDING)""")
+def win_base_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing base rate over [t - 90d, t), truncated labels left out; of rows with equal key and time the last counts."""
     rows = b.alerts(spark, sf_dir).where("k % 4 <> 0").withColumn("t", micros("ts_event")).withColumn("won", (F.col("premium") > 50).cast("double"))
-    w = w_.time_before("instrument_key", "t", days * 86400, closed=True)
-    return rows.select("instrument_key", "t", "event_id", F.count("*").over(w).alias("n"), _r(F.avg("won").over(w), "win_rate"), _r(F.abs(F.avg("won").over(w) - 0.5) * 2, "conviction"))
+    rows = keep_one(rows, ["instrument_key", "t"], [F.desc("event_id")])
+    w = w_.time_before("instrument_key", "t", 90 * 86400, closed=True)
+    return rows.select("event_id", F.count("*").over(w).alias("n"), _r(F.avg("won").over(w), "win_rate"), _r(F.abs(F.avg("won").over(w) - 0.5) * 2, "conviction"))
 
 
 @register("label_returns", b.with_(b.BARS, b.DAILY, "f AS (SELECT *, lead(close, 5) OVER w / close - 1 AS fr, lead(day, 5) OVER w AS hit_day FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day))") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(fr, 6) AS forward_return, CAST(sign(fr) AS INTEGER) AS direction, CAST(hit_day + 1 AS VARCHAR) AS available FROM f WHERE fr IS NOT NULL")
@@ -214,60 +243,29 @@ def label_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("fr IS NOT NULL").select("instrument_key", F.col("day").cast("string").alias("day"), _r(F.col("fr"), "forward_return"), F.signum("fr").cast("int").alias("direction"), F.date_add("at", 1).cast("string").alias("available"))
 
 
-@register("label_classes", b.with_(b.BARS, b.DAILY) + _HEAD + ", ".join(f"round(lead(close, {h}) OVER w / close - 1, 6) AS r{h}" for h in (1, 5)) + f", CASE WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) > 0.01 THEN 1 WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) < -0.01 THEN -1 ELSE 0 END AS label FROM daily {_W}")
+@register("label_classes", b.with_(b.BARS, b.DAILY) + _HEAD + ", ".join(f"round(lead(close, {h}) OVER w / close - 1, 6) AS r{h}" for h in (1, 5, 10, 20)) + f", CASE WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) > 0.01 THEN 1 WHEN coalesce(lead(close, 1) OVER w / close - 1, 0) < -0.01 THEN -1 ELSE 0 END AS label FROM daily {_W}")
 def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several horizons, the tail kept; no return classifies as 0."""
-    return _classes(spark, sf_dir, (1, 5))
-
-
-@register("label_classes_all")
-def label_classes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's four horizons."""
-    return _classes(spark, sf_dir, (1, 5, 10, 20))
-
-
-def _classes(spark: SparkSession, sf_dir: str, horizons: tuple[int, ...]) -> DataFrame:
     ahead = lambda h: F.lead("close", h).over(_by_day()) / F.col("close") - 1
     one = F.coalesce(ahead(1), F.lit(0.0))
-    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(ahead(h), f"r{h}") for h in horizons], F.when(one > 0.01, 1).when(one < -0.01, -1).otherwise(0).alias("label"))
-
+    return _daily(spark, sf_dir).select("instrument_key", "day", *[_r(ahead(h), f"r{h}") for h in (1, 5, 10, 20)], F.when(one > 0.01, 1).when(one < -0.01, -1).otherwise(0).alias("label"))
 
-def _trend_sql(h: int) -> str:
-    frame = f"(PARTITION BY instrument_key ORDER BY day ROWS BETWEEN CURRENT ROW AND {h} FOLLOWING)"
-    return (
-        f"(SELECT instrument_key, day, {h} AS h, count(close) OVER {frame} AS n, regr_slope(close, p) OVER {frame} AS b, regr_sxx(close, p) OVER {frame} AS sxx, "
-        f"regr_syy(close, p) OVER {frame} AS syy, regr_sxy(close, p) OVER {frame} AS sxy FROM pos)"
-    )
 
+_HORIZONS = (1, 2, 3, 5, 10, 15, 20)
+#: Residuals are summed as they are: a difference of sums of squares would lose a nearly perfect line's to rounding.
+_TREND = f"""ahead AS (SELECT instrument_key, day, list(close) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN CURRENT ROW AND 20 FOLLOWING) AS ys FROM daily),
+cut AS (SELECT instrument_key, day, h, list_transform(ys[1:h + 1], lambda y: y - ys[1]) AS y FROM ahead, (VALUES {", ".join(f"({h})" for h in _HORIZONS if h > 1)}) v(h) WHERE len(ys) > h),
+fit AS (SELECT *, list_sum(y) / (h + 1) AS m, list_sum(list_transform(range(0, h + 1), lambda k: (k - h / 2.0::DOUBLE) * y[k + 1])) / (h * (h + 1) * (h + 2) / 12.0::DOUBLE) AS b FROM cut),
+res AS (SELECT *, list_sum(list_transform(range(0, h + 1), lambda k: (y[k + 1] - m - b * (k - h / 2.0::DOUBLE)) ** 2)) AS rest, list_sum(list_transform(y, lambda v: (v - m) ** 2)) AS syy FROM fit),
+t AS (SELECT *, b / sqrt(rest / (h - 1) / (h * (h + 1) * (h + 2) / 12.0::DOUBLE)) AS t FROM res WHERE rest > syy * 1e-12),
+best AS (SELECT *, row_number() OVER (PARTITION BY instrument_key, day ORDER BY round(abs(t), 6) DESC, h) AS nth FROM t)"""
 
-_HORIZONS = (3, 5, 10)
 
-
-@register("label_trend_scan", b.with_(b.BARS, b.DAILY, "pos AS (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY day) AS p FROM daily)", "u AS (" + " UNION ALL ".join(f"SELECT * FROM {_trend_sql(h)}" for h in _HORIZONS) + ")",
-  "t AS (SELECT *, b / sqrt((syy - b * sxy) / (h - 1) / sxx) AS t FROM u WHERE n = h + 1 AND syy - b * sxy > syy * 1e-12)", "best AS (SELECT *, row_number() OVER (PARTITION BY instrument_key, day ORDER BY round(abs(t), 6) DESC, h) AS nth FROM t)")
-  + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(t, 3) AS t, h AS horizon FROM best WHERE nth = 1")
+@register("label_trend_scan", b.with_(b.BARS, b.DAILY, _TREND) + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(t, 3) AS t, CAST(h AS INTEGER) AS horizon FROM best WHERE nth = 1")
 def label_trend_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Horizon with the strongest slope statistic, the shorter of equal ones; all horizons in one sort."""
-    return _trend_scan(spark, sf_dir, _HORIZONS)
-
-
-@register("label_trend_scan_all")
-def label_trend_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over the reference's horizons; its 1 has no residual and never counts."""
-    return _trend_scan(spark, sf_dir, (2, 3, 5, 10, 15, 20))
-
-
-def _trend_scan(spark: SparkSession, sf_dir: str, horizons: tuple[int, ...]) -> DataFrame:
-    rows = _daily(spark, sf_dir).withColumn("p", F.row_number().over(_by_day()))
-    for h in horizons:
-        rows = rows.withColumn(f"t{h}", w_.trend_statistic(_by_day(), "close", "p", h))
-    best = F.greatest(*[F.round(F.abs(f"t{h}"), 6) for h in horizons])
-    pick, horizon = None, None
-    for h in reversed(horizons):
-        hit = F.round(F.abs(f"t{h}"), 6) == best
-        pick = F.when(hit, F.col(f"t{h}")) if pick is None else F.when(hit, F.col(f"t{h}")).otherwise(pick)
-        horizon = F.when(hit, h) if horizon is None else F.when(hit, h).otherwise(horizon)
-    return rows.where(best.isNotNull()).select("instrument_key", "day", _r(pick, "t", 3), horizon.alias("horizon"))
+    """Horizon with the strongest slope statistic, the shorter of equal ones; one frame serves all horizons."""
+    rows = w_.trend_scan(_daily(spark, sf_dir).select("instrument_key", "day", "close"), "instrument_key", ["day"], "close", _HORIZONS)
+    return rows.select("instrument_key", "day", _r(F.col("t"), "t", 3), "horizon")
 
 
 @register("win_straddle_returns", b.with_(b.BARS, b.DAILY, "s AS (SELECT instrument_key, day, close / lag(close, 20) OVER w - 1 AS a, close / lag(close, 60) OVER w - 1 AS b FROM daily WINDOW w AS (PARTITION BY instrument_key ORDER BY day))") + "SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(a, 6) AS r20, round(b, 6) AS r60 FROM s WHERE a IS NOT NULL OR b IS NOT NULL")
@@ -283,12 +281,12 @@ def win_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir).select("instrument_key", "day", _r(F.col("vwap") - F.lag("vwap").over(_by_day()), "change_1d"))
 
 
-@register("win_vol_of_vol", "WITH d AS (SELECT user_id AS instrument_key, CAST(ts AS DATE) AS day, last(value ORDER BY ts) AS c FROM events WHERE value > 0 GROUP BY 1, 2), l AS (SELECT *, ln(c / lag(c) OVER (PARTITION BY instrument_key ORDER BY day)) AS lr FROM d) SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(" + _gate("stddev_samp(lr)", 5, "lr") + ", 6) AS vol FROM l")
+@register("win_vol_of_vol", "WITH d AS (SELECT user_id AS instrument_key, CAST(ts AS DATE) AS day, last(value ORDER BY ts) AS c FROM events WHERE value > 0 GROUP BY 1, 2), l AS (SELECT *, ln(c / lag(c) OVER (PARTITION BY instrument_key ORDER BY day)) AS lr FROM d) SELECT instrument_key, CAST(day AS VARCHAR) AS day, round(" + _gate("stddev_samp(lr)", 20, "lr") + ", 6) AS vol FROM l")
 def win_vol_of_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deviation of log returns of the last value per day, gated."""
     days = b.read(spark, sf_dir, "events").where("value > 0").groupBy(F.col("user_id").alias("instrument_key"), F.col("ts").cast("date").cast("string").alias("day")).agg(F.max_by("value", "ts").alias("c"))
     days = days.withColumn("lr", F.ln(F.col("c") / F.lag("c").over(_by_day())))
-    return days.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 5, F.stddev_samp), "vol"))
+    return days.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 20, F.stddev_samp), "vol"))
 
 
 @register("win_atr_backfilled", b.with_(b.BARS, b.DAILY, _VOL, f"a AS (SELECT instrument_key, day, {_gate('avg(tr)', 14, 'tr')} AS atr FROM t)") + _HEAD + "round(coalesce(atr, first_value(atr IGNORE NULLS) OVER (PARTITION BY instrument_key ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS atr FROM a")
@@ -299,11 +297,11 @@ def win_atr_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("instrument_key", "day", _r(F.coalesce("atr", ahead), "atr"))
 
 
-@register("win_realised_vol", b.with_(b.BARS, b.DAILY, _VOL) + _HEAD + f"round({_gate('stddev_pop(lr)', 20, 'lr')}, 6) AS realised, round(close / lag(close, 30) OVER (PARTITION BY instrument_key ORDER BY day) - 1, 6) AS r30 FROM t")
+@register("win_realised_vol", b.with_(b.BARS, b.DAILY, _VOL) + _HEAD + f"round({_gate('stddev_pop(lr)', 20, 'lr')}, 6) AS realised, " + ", ".join(f"round(close / lag(close, {n}) OVER {_BYDAY} - 1, 6) AS r{n}" for n in (1, 5, 30)) + " FROM t")
 def win_realised_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population deviation of twenty log returns, and the return over thirty."""
+    """Population deviation of twenty log returns, and the returns over 1, 5 and 30 days."""
     rows = _daily(spark, sf_dir).withColumn("lr", F.ln(F.col("close") / F.lag("close").over(_by_day())))
-    return rows.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 20, F.stddev_pop), "realised"), _r(w_.change(_by_day(), "close", 30), "r30"))
+    return rows.select("instrument_key", "day", _r(w_.gated(_by_day(), "lr", 20, F.stddev_pop), "realised"), *[_r(w_.change(_by_day(), "close", n), f"r{n}") for n in (1, 5, 30)])
 
 
 @register("label_horizon_routing", "SELECT o_orderkey, CASE WHEN o_orderkey % 40 <= 2 THEN 'intraday' WHEN o_orderkey % 40 <= 21 THEN 'swing' ELSE 'leap' END AS horizon, CASE WHEN o_totalprice / 10000 < 15 THEN 'low' WHEN o_totalprice / 10000 > 25 THEN 'high' ELSE 'normal' END AS regime FROM orders")

@@ -81,21 +81,49 @@ def test_zero_spread_scores_zero(spark):
     assert got == [None, None, 0.0]
 
 
-def test_adjusted_exponential_mean(spark):
+@pytest.mark.parametrize(("alpha", "adjust"), [(0.3, True), (0.3, False), (0.9, False), (0.9, True), (0.01, False), (0.01, True), (1.0, False)])
+def test_exponential_means_agree_with_pandas_over_many_blocks(spark, alpha, adjust):
+    import numpy as np
     import pandas as pd
 
-    values = [1.0, 4.0, 2.0, 8.0]
-    df = frame(spark, [("a", i, v) for i, v in enumerate(values)], "k string, i int, v double")
-    for adjust in (True, False):
-        col = windows.exponential(windows.series("k", ["i"]), "v", 0.3, adjust)
-        got = [r["e"] for r in df.select("i", col.alias("e")).orderBy("i").collect()]
-        assert got == pytest.approx(pd.Series(values).ewm(alpha=0.3, adjust=adjust).mean().tolist())
+    rng = np.random.default_rng(1)
+    values = {"a": rng.normal(100, 30, 700), "b": rng.normal(-5, 1000, 3), "c": np.array([7.0])}
+    rows = [(k, i, float(v)) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = frame(spark, rows, "k string, i int, v double")
+    got = {(r["k"], r["i"]): r["e"] for r in windows.exponential(df, "k", ["i"], "v", alpha, "e", adjust).collect()}
+    for k, vs in values.items():
+        want = pd.Series(vs).ewm(alpha=alpha, adjust=adjust).mean().tolist()
+        assert [got[k, i] for i in range(len(vs))] == pytest.approx(want, rel=1e-11, abs=1e-9)
+
+
+def test_exponential_means_carry_over_nulls_and_wait_for_enough(spark):
+    df = frame(spark, [("a", 0, None), ("a", 1, 2.0), ("a", 2, None), ("a", 3, 4.0), (None, 0, 1.0)], "k string, i int, v double")
+    got = {(r["k"], r["i"]): r["e"] for r in windows.exponential(df, "k", ["i"], "v", 0.5, "e").collect()}
+    assert got == {("a", 0): None, ("a", 1): 2.0, ("a", 2): 2.0, ("a", 3): 3.0, (None, 0): 1.0}
+    late = {(r["k"], r["i"]): r["e"] for r in windows.exponential(df, "k", ["i"], "v", 0.5, "e", least=2).collect()}
+    assert late[("a", 1)] is None and late[("a", 3)] == 3.0
+    assert windows.exponential(df.limit(0), "k", ["i"], "v", 0.5, "e").count() == 0
+
+
+def test_strength_and_convergence_agree_with_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    prices = pd.Series(100 + np.random.default_rng(3).normal(0, 1, 120).cumsum())
+    df = frame(spark, [("a", i, float(v)) for i, v in enumerate(prices)], "k string, i int, v double")
+    rows = windows.rsi(windows.rsi_simple(windows.macd(df, "k", ["i"], "v"), "k", ["i"], "v", 14, "simple"), "k", ["i"], "v", 14, "rsi").orderBy("i").collect()
+    line = prices.ewm(span=12, adjust=False).mean() - prices.ewm(span=26, adjust=False).mean()
+    assert [r["macd"] for r in rows] == pytest.approx(line.tolist(), abs=1e-9)
+    assert [r["macd_signal"] for r in rows] == pytest.approx(line.ewm(span=9, adjust=False).mean().tolist(), abs=1e-9)
+    step = prices.diff()
+    mean = lambda x: x.ewm(alpha=1 / 14, min_periods=14, adjust=False).mean()
+    want = 100 - 100 / (1 + mean(step.clip(lower=0)) / mean(-step.clip(upper=0)))
+    assert [r["rsi"] for r in rows[:14]] == [None] * 14 and [r["rsi"] for r in rows[14:]] == pytest.approx(want.tolist()[14:])
 
 
 def test_perfect_line_has_no_trend_statistic(spark):
     df = frame(spark, [("a", i, float(i)) for i in range(6)], "k string, p int, v double")
-    got = df.select(windows.trend_statistic(windows.series("k", ["p"]), "v", "p", 3).alias("t")).collect()
-    assert all(r["t"] is None for r in got)
+    assert windows.trend_scan(df, "k", ["p"], "v").count() == 0
 
 
 def test_barriers(spark):
