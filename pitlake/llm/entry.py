@@ -16,6 +16,7 @@ from pitlake.llm.near_texts import near_texts
 from pitlake.llm.pieces import encode_documents
 from pitlake.llm.pii import scan_documents
 from pitlake.llm.sharding import shard_documents
+from pitlake.llm.sql import ORACLES
 from pitlake.llm.token_rollup import Ledger, changes, count_documents, later_copies, revisions
 from pitlake.llm.toxicity import score_documents, train
 from pitlake.llm.vectors import near_vectors
@@ -100,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return dict(ORACLES)
