@@ -212,3 +212,9 @@ def expired_versions(inventory: DataFrame, keep: int, pins: DataFrame | None = N
     rank = F.dense_rank().over(Window.partitionBy("dataset").orderBy(F.col("number").desc()))
     old = inventory.withColumn("_rank", rank).where(F.col("_rank") > keep).drop("_rank")
     return old if pins is None else old.join(pins.select("dataset", "version"), ["dataset", "version"], "left_anti")
+
+
+def safe_to_delete(expired: DataFrame, lineage: DataFrame) -> DataFrame:
+    """Expired partitions (dataset, dt) that nothing kept was made of; ``lineage`` has (source, dt) of what is kept."""
+    used = lineage.select(F.col("source").alias("dataset"), "dt").distinct()
+    return expired.join(used, ["dataset", "dt"], "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,6 +168,15 @@ def relative(df: DataFrame, key: str, order: Sequence[str], own: str, benchmark:
     return rows.select("*", *[v.alias(k) for k, v in out.items()]).drop("_x", "_y", "_bx", "_by", "_diff")
 
 
+def trimmed(df: DataFrame, time: str, start: str, end: str) -> DataFrame:
+    """Rows within ``[start, end]`` after what needed rows before them is computed; an end at midnight takes its whole day."""
+    kind = df.schema[time].dataType.typeName()
+    last = datetime.fromisoformat(end)
+    if last == last.replace(hour=0, minute=0, second=0, microsecond=0):
+        last += timedelta(days=1, microseconds=-1)
+    return df.where(F.col(time).between(F.lit(start).cast(kind), F.lit(str(last)).cast(kind)))
+
+
 def time_before(key: str, micros: str, seconds: int, closed: bool = False) -> WindowSpec:
     """Rows of the key in ``(t - seconds, t)``, or ``[t - seconds, t)`` if closed; equal times are left out."""
     return Window.partitionBy(key).orderBy(micros).rangeBetween(-seconds * 1_000_000 + (0 if closed else 1), -1)

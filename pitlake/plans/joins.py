@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitlake.functions.scalars import add_flag
 from pitlake.operators.asof import asof_join, forward_rows, validity_join
 from pitlake.operators.barrier import Costs, barrier_outcome, contract_outcome
 from pitlake.operators.universe import survivors
@@ -46,33 +47,40 @@ def join_asof_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "join_asof_fill",
-    b.with_(b.ALERTS, _LEFT, _SAFE.format(key="instrument_key,", source="views"), "one AS (SELECT * FROM safe WHERE nth = 1)")
-    + """SELECT l.event_id, round(coalesce(CASE WHEN l.k % 2 = 0 THEN l.premium END, CASE WHEN near THEN r_premium END), 4) AS gex,
-  CASE WHEN l.k % 2 <> 0 AND near THEN 'gex_backfilled' ELSE '' END AS flags FROM
-  (SELECT l.*, r.premium AS r_premium, epoch_us(l.ts_event) - epoch_us(r.safe_time) <= 3600000000 AS near FROM buys l
+    b.with_(b.ALERTS, _LEFT, _SAFE.format(key="instrument_key,", source="views"),
+            "one AS (SELECT *, CASE WHEN k % 3 <> 0 OR k % 5 <> 0 THEN coalesce(CASE WHEN k % 3 <> 0 THEN premium END, 0) + coalesce(CASE WHEN k % 5 <> 0 THEN k END, 0) END AS both_sides FROM safe WHERE nth = 1)")
+    + """SELECT l.event_id, round(coalesce(CASE WHEN l.k % 2 = 0 THEN l.premium END, CASE WHEN near THEN r_gex END), 4) AS gex, round(coalesce(CASE WHEN l.k % 7 = 0 THEN l.premium END, CASE WHEN near THEN r_vex END), 4) AS vex,
+  concat_ws(',', CASE WHEN l.k % 2 <> 0 AND near AND r_gex IS NOT NULL THEN 'gex_backfilled' END, CASE WHEN l.k % 7 <> 0 AND near AND r_vex IS NOT NULL THEN 'vex_backfilled' END) AS flags FROM
+  (SELECT l.*, r.premium AS r_gex, r.both_sides AS r_vex, epoch_us(l.ts_event) - epoch_us(r.safe_time) <= 3600000000 AS near FROM buys l
    ASOF LEFT JOIN one r ON l.instrument_key = r.instrument_key AND l.ts_event >= r.safe_time) l""",
 )
 def join_asof_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A null measure filled from the latest row at most an hour old, and flagged."""
+    """Null measures filled from the latest row at most an hour old, and flagged; a sum of sides needs one of them."""
     left, right = _sides(spark, sf_dir)
-    left = left.withColumn("gex", F.when(F.col("k") % 2 == 0, F.col("premium")))
-    out = asof_join(left, right.select("instrument_key", "ts_event", "ts_available", "event_id", F.col("premium").alias("found")), ["instrument_key"], "ts_event", "ts_event", "ts_available", 3600, ["event_id"])
-    filled = F.col("gex").isNull() & F.col("found").isNotNull()
-    return out.select("event_id", F.round(F.coalesce("gex", "found"), 4).alias("gex"), F.when(filled, "gex_backfilled").otherwise("").alias("flags"))
+    left = left.withColumn("gex", F.when(F.col("k") % 2 == 0, F.col("premium"))).withColumn("vex", F.when(F.col("k") % 7 == 0, F.col("premium")))
+    call, put = F.when(F.col("k") % 3 != 0, F.col("premium")), F.when(F.col("k") % 5 != 0, F.col("k").cast("double"))
+    sides = F.when(call.isNotNull() | put.isNotNull(), F.coalesce(call, F.lit(0.0)) + F.coalesce(put, F.lit(0.0)))
+    right = right.select("instrument_key", "ts_event", "ts_available", "event_id", F.col("premium").alias("found_gex"), sides.alias("found_vex"))
+    out = asof_join(left, right, ["instrument_key"], "ts_event", "ts_event", "ts_available", 3600, ["event_id"])
+    out = out.withColumn("flags", F.array().cast("array<string>"))
+    for c in ("gex", "vex"):
+        filled = F.col(c).isNull() & F.col(f"found_{c}").isNotNull()
+        out = out.withColumn("flags", add_flag(F.col("flags"), f"{c}_backfilled", filled)).withColumn(c, F.coalesce(c, f"found_{c}"))
+    return out.select("event_id", F.round("gex", 4).alias("gex"), F.round("vex", 4).alias("vex"), F.array_join("flags", ",").alias("flags"))
 
 
 @register(
     "join_asof_market",
     b.with_(b.ALERTS, _LEFT, _SAFE.format(key="", source="views"), "one AS (SELECT * FROM safe WHERE nth = 1)")
-    + """SELECT l.event_id, round(r.premium + r.k, 4) AS net, CASE WHEN r.premium + r.k > 50 THEN 'up' WHEN r.premium + r.k < 50 THEN 'down' END AS direction
+    + """SELECT l.event_id, round((r.premium - 40) + (20 - r.k), 4) AS net, CASE WHEN (r.premium - 40) + (20 - r.k) > 0 THEN 'bullish' WHEN (r.premium - 40) + (20 - r.k) < 0 THEN 'bearish' WHEN r.event_id IS NOT NULL THEN 'neutral' END AS direction
   FROM buys l ASOF LEFT JOIN one r ON l.ts_event >= r.safe_time""",
 )
 def join_asof_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market-wide as-of join: no key, so time buckets keep it distributed."""
+    """Market-wide as-of join: no key, so time buckets keep it distributed; the direction is the net's sign."""
     left, right = _sides(spark, sf_dir)
     out = asof_join(left, right, [], "ts_event", "ts_event", "ts_available", tiebreak=["event_id"], bucket_seconds=21600)
-    net = F.col("premium_right") + F.col("k_right")
-    return out.select("event_id", F.round(net, 4).alias("net"), F.when(net > 50, "up").when(net < 50, "down").alias("direction"))
+    net = (F.col("premium_right") - 40) + (20 - F.col("k_right"))  # the legs are signed already
+    return out.select("event_id", F.round(net, 4).alias("net"), F.when(net > 0, "bullish").when(net < 0, "bearish").when(net == 0, "neutral").alias("direction"))
 
 
 @register(
@@ -108,19 +116,20 @@ def join_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "join_feature_retrieval",
-    b.with_(b.ALERTS, _LEFT, "clicks AS (SELECT instrument_key, ts_event, event_id, premium FROM views WHERE event_type = 'click')", "errors AS (SELECT instrument_key, ts_event, event_id, k FROM views WHERE event_type = 'error')")
+    b.with_(b.ALERTS, _LEFT, "clicks AS (SELECT instrument_key, ts_event, premium FROM views WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY instrument_key, ts_event ORDER BY ts_available DESC, event_id DESC) = 1)",
+            "errors AS (SELECT instrument_key, ts_event, k FROM views WHERE event_type = 'error' QUALIFY row_number() OVER (PARTITION BY instrument_key, ts_event ORDER BY ts_available DESC, event_id DESC) = 1)")
     + """SELECT l.event_id, CASE WHEN epoch_us(l.ts_event) - epoch_us(c.ts_event) <= 86400000000 THEN round(c.premium, 4) END AS clicks_premium,
   CASE WHEN epoch_us(l.ts_event) - epoch_us(e.ts_event) <= 172800000000 THEN e.k END AS errors_k
   FROM buys l ASOF LEFT JOIN clicks c ON l.instrument_key = c.instrument_key AND l.ts_event >= c.ts_event
   ASOF LEFT JOIN errors e ON l.instrument_key = e.instrument_key AND l.ts_event >= e.ts_event""",
 )
 def join_feature_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entity rows joined to several feature views, each with its time to live."""
+    """Entity rows joined to several feature views, each with its time to live; of equal times the latest available row counts."""
     left, right = _sides(spark, sf_dir)
     out = left.select("event_id", "instrument_key", "ts_event")
     for kind, column, ttl in (("click", "premium", 86400), ("error", "k", 172800)):
-        view = right.where(F.col("event_type") == kind).select("instrument_key", F.col("ts_event").alias("seen"), F.col("event_id").alias(f"{kind}_id"), F.col(column).alias(f"{kind}s_{column}"))
-        out = asof_join(out, view, ["instrument_key"], "ts_event", "seen", tolerance_seconds=ttl, tiebreak=[f"{kind}_id"]).drop("seen")
+        view = right.where(F.col("event_type") == kind).select("instrument_key", F.col("ts_event").alias("seen"), F.col("ts_available").alias(f"{kind}_at"), F.col("event_id").alias(f"{kind}_id"), F.col(column).alias(f"{kind}s_{column}"))
+        out = asof_join(out, view, ["instrument_key"], "ts_event", "seen", tolerance_seconds=ttl, tiebreak=[f"{kind}_at", f"{kind}_id"]).drop("seen")
     return out.select("event_id", F.round("clicks_premium", 4).alias("clicks_premium"), "errors_k")
 
 

@@ -86,6 +86,29 @@ def retention_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.expired_versions(rows, 3, pins).select("dataset", "number")
 
 
+@register("retention_lineage", """WITH p AS (SELECT event_type AS dataset, CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1, 2), used AS (SELECT DISTINCT event_type AS dataset, CAST(ts AS DATE) AS dt FROM events WHERE user_id % 10 = 0)
+  SELECT dataset, CAST(dt AS VARCHAR) AS dt, n FROM p ANTI JOIN used USING (dataset, dt) WHERE dt < DATE '2024-01-30' - 7""")
+def retention_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old partitions that no kept feature was made of."""
+    events = b.read(spark, sf_dir, "events").select(F.col("event_type").alias("dataset"), F.col("ts").cast("date").alias("dt"), "user_id")
+    parts = events.groupBy("dataset", "dt").agg(F.count("*").alias("n"))
+    lineage = events.where("user_id % 10 = 0").select(F.col("dataset").alias("source"), "dt")
+    return quality.safe_to_delete(quality.expired_partitions(parts, "2024-01-30", 7), lineage).select("dataset", F.col("dt").cast("string").alias("dt"), "n")
+
+
+@register("rewrite_labels", """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'quarantined' ELSE 'kept' END AS side, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 5 = 0 THEN 'label_window_truncated' ELSE '' END AS flags, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS expiry FROM orders""")
+def rewrite_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored labels rewritten: windows that end before they begin set aside, short ones flagged, expiries made dates."""
+    from pitlake.operators.labels import rewritten
+
+    day = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyyMMdd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    hours = F.when(F.col("o_orderkey") % 7 == 0, -1).when(F.col("o_orderkey") % 5 == 0, 3).otherwise(5)
+    rows = b.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("window_start"), (F.col("o_orderdate") + F.make_dt_interval(hours=hours)).alias("window_end"), day.alias("expiry"), F.lit("swing").alias("horizon"), F.array().cast("array<string>").alias("quality_flags"))
+    kept, aside = rewritten(rows, {"swing": 4 * 3600})
+    both = kept.withColumn("side", F.lit("kept")).unionByName(aside.withColumn("side", F.lit("quarantined")))
+    return both.select("o_orderkey", "side", F.array_join("quality_flags", ",").alias("flags"), F.col("expiry").cast("string").alias("expiry"))
+
+
 @register("latest_per_entity", b.with_(b.ALERTS) + "SELECT instrument_key, event_id, round(premium, 4) AS premium FROM (SELECT *, row_number() OVER (PARTITION BY instrument_key ORDER BY ts_event DESC) AS nth FROM alerts) WHERE nth = 1")
 def latest_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot for an online store."""
@@ -254,6 +277,17 @@ def scalar_payload_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("scalar_event_ids", "SELECT count(DISTINCT event_id) AS n_ids, count(DISTINCT event_id) AS n_rows, 32 AS width FROM events")
+def scalar_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bar identities: as many as there are rows, 32 signs wide, the same when they are made again."""
+    from pitlake.functions.payloads import bar_event_id
+
+    rows = b.read(spark, sf_dir, "events").select(F.lit("p").alias("provider"), F.col("event_type").alias("feed"), F.concat(F.lit("equity:U"), "user_id").alias("key"), "ts", F.col("event_id").cast("string").alias("frame"))
+    made = lambda: bar_event_id(F.col("provider"), F.col("feed"), F.col("key"), F.col("ts"), F.col("frame"))
+    ids = rows.select(made().alias("a"), made().alias("c")).where("a = c")
+    return ids.agg(F.count_distinct("a").alias("n_ids"), F.count("*").alias("n_rows"), F.max(F.length("a")).alias("width"))
+
+
 @register("split_walk_forward", "WITH s AS (SELECT g AS fold, CAST(DATE '1995-01-01' + CAST(g * 180 AS INTEGER) AS DATE) AS a FROM generate_series(0, 30) t(g)), f AS (SELECT fold, a, a + 350 AS b, a + 365 AS c, a + 545 AS e FROM s WHERE a + 545 <= DATE '2002-01-01'), " + _FOLDS + " SELECT * FROM counted")
 def split_walk_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All walk-forward folds that fit, with an embargo and a purge; the folds are a short literal table."""

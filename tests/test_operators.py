@@ -164,3 +164,42 @@ def test_folds_keep_their_embargo():
     assert folds and all((c - b).days == 5 and (d - c).days == 30 for _, _, b, c, d in folds)
     grown = splits.expanding("2024-01-01", "2024-12-31", "90d", "30d")
     assert all(f[1] == date(2024, 1, 1) for f in grown) and grown[1][2] > grown[0][2]
+
+
+def test_boosted_trees_tell_held_out_rows_apart(spark, sf):
+    import __spark_entry__ as entry
+
+    got = {r["metric"]: r["value"] for r in entry.queries()["ml_boosted_trees"](spark, sf).collect()}
+    assert got["auc"] > 0.95 and got["accuracy"] > 0.85
+
+
+def test_metrics_of_nothing_and_of_one_class(spark):
+    from pitlake.operators import scoring
+
+    df = frame(spark, [(0.9, 1), (0.2, 1), (None, 1), (0.5, None)], "s double, y int")
+    got = {r["metric"]: r["value"] for r in scoring.metrics(df, "s", "y").collect()}
+    assert got["auc"] == 0.5 and got["accuracy"] == 0.5 and got["precision"] == 1.0 and got["recall"] == 0.5
+    assert {r["metric"]: r["value"] for r in scoring.metrics(df.limit(0), "s", "y").collect()}["auc"] == 0.5
+
+
+def test_a_bucketed_join_carries_rows_over_buckets_and_keeps_null_keys(spark):
+    from datetime import datetime, timedelta
+
+    from pitlake.operators.asof import asof_join, validity_join
+
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    left = frame(spark, [(1, "a", at(100)), (2, "a", at(0)), (3, None, at(5)), (4, "a", None), (5, "b", at(3))], "i int, k string, t timestamp_ntz")
+    right = frame(spark, [("a", at(1), "x"), ("a", at(2), "y"), ("b", at(3), "z"), (None, at(0), "n")], "k string, t timestamp_ntz, v string")
+    for bucket in (None, 3600):
+        got = {r["i"]: r["v"] for r in asof_join(left, right, ["k"], "t", "t", bucket_seconds=bucket).collect()}
+        assert got == {1: "y", 2: None, 3: None, 4: None, 5: "z"}
+    dim = right.select("k", F.col("t").alias("valid_from"), (F.col("t") + F.make_dt_interval(hours=F.lit(50))).alias("valid_to"), "v")
+    got = {r["i"]: r["v"] for r in validity_join(left, dim, "k", "t").collect()}
+    assert got == {1: None, 2: None, 3: None, 4: None, 5: "z"}
+
+
+def test_a_share_of_rows_is_split_at_ties(spark):
+    df = frame(spark, [(i // 4, i) for i in range(10)] + [(None, 99)], "d int, i int")
+    got = {r["i"]: r["part"] for r in splits.share_split(df, ["d", "i"], 0.5).collect()}
+    assert sorted(i for i, p in got.items() if p == "train") == [0, 1, 2, 3, 99] and len(got) == 11
+    assert splits.share_split(df.limit(0), ["d"], 0.5).count() == 0
