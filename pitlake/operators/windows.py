@@ -187,42 +187,35 @@ def time_upto(key: str, micros: str, seconds: int) -> WindowSpec:
     return Window.partitionBy(key).orderBy(micros).rangeBetween(-seconds * 1_000_000 + 1, 0)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def trend_scan(df: DataFrame, key: str | Sequence[str], order: Sequence[str], column: str, horizons: Sequence[int] = (1, 2, 3, 5, 10, 15, 20)) -> DataFrame:
     """``df`` with ``t`` and ``horizon``: the slope statistic of the values from a row to a horizon ahead that is strongest.
 
     Of equal ones the shorter horizon counts. A horizon without enough rows ahead, one of a
-    single step and a perfect line have no statistic; rows without any are dropped. One
-    frame of the longest horizon is gathered per row, and all horizons are fitted to it.
-    Residuals are summed as they are: a difference of sums of squares would lose a nearly
-    perfect line's to rounding.
+    single step and a perfect line have no statistic; rows without any are dropped. The
+    values ahead are columns, so all sums are generated code. Residuals are summed as they
+    are: a difference of sums of squares would lose a nearly perfect line's to rounding.
     """
-    frame = series(key, order).rowsBetween(0, max(horizons))
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
-
-    def fitted(h: int) -> Column:
-        sxx = h * (h + 1) * (h + 2) / 12.0
-
-        def rest(line: Column) -> Column:
-            far = lambda y, k: F.pow(y - line["m"] - line["b"] * (k - h / 2.0), 2)
-            ssr, syy = total(F.transform(line["y"], far)), total(F.transform(line["y"], lambda y: F.pow(y - line["m"], 2)))
-            t = F.when(ssr > syy * 1e-12, line["b"] / F.sqrt(ssr / (h - 1) / sxx))
-            return F.struct(F.abs(t).alias("size"), t.alias("t"), F.lit(h).alias("h"))
-
-        def line(y: Column) -> Column:
-            slope = total(F.transform(y, lambda v, k: (k - h / 2.0) * v)) / sxx
-            return _let(F.struct(y.alias("y"), (total(y) / (h + 1)).alias("m"), slope.alias("b")), rest)
-
-        return F.when(F.size("_ahead") > h, _let(F.slice("_ahead", 1, h + 1), line))
-
-    rows = df.withColumn("_ahead", F.collect_list(F.col(column).cast("double")).over(frame))
-    rows = rows.withColumn("_ahead", F.transform("_ahead", lambda y: y - F.col(column)))
-    found = rows.withColumn("_all", F.array(*[fitted(h) for h in sorted(horizons) if h > 1])).drop("_ahead")
-    some = F.filter("_all", lambda x: x["t"].isNotNull())
-    rank = lambda x: F.struct(F.round(x["size"], 6).alias("s"), (-x["h"]).alias("s2"), x["t"].alias("t"), x["h"].alias("h"))
-    best = found.withColumn("_best", F.array_max(F.transform(some, rank))).drop("_all")
-    return best.withColumn("t", F.col("_best.t")).withColumn("horizon", F.col("_best.h")).drop("_best").where("t IS NOT NULL")
+    known = sorted(h for h in horizons if h > 1)
+    longest, keep = max(known), [f"`{c}`" for c in df.columns]
+    keys = ", ".join(f"`{c}`" for c in ([key] if isinstance(key, str) else key))
+    own = f"cast(`{column}` AS double)"
+    # Expressions are text: as many columns as these take long to build one by one.
+    w = f"OVER (PARTITION BY {keys} ORDER BY {', '.join(f'`{c}`' for c in order)})"
+    rows = df.selectExpr("*", *[f"lead({own}, {k}) {w} AS _a{k}" for k in range(1, longest + 1)])
+    rows = rows.selectExpr(*keep, *[f"_a{h} IS NOT NULL AND {own} IS NOT NULL AS _has{h}" for h in known], *[f"coalesce(_a{k} - {own}, 0D) AS _y{k}" for k in range(1, longest + 1)])
+    spread = {h: h * (h + 1) * (h + 2) / 12.0 for h in known}
+    y = lambda k: f"_y{k}" if k else "0D"
+    mean = [f"({' + '.join(y(k) for k in range(1, h + 1))}) * {1.0 / (h + 1)!r}D AS _m{h}" for h in known]
+    slope = [f"({' + '.join(f'{y(k)} * {k - h / 2.0!r}D' for k in range(1, h + 1))}) * {1.0 / spread[h]!r}D AS _b{h}" for h in known]
+    rows = rows.selectExpr("*", *mean, *slope)
+    square = lambda x: f"({x}) * ({x})"
+    rest = [" + ".join(square(f"{y(k)} - _m{h} - _b{h} * {k - h / 2.0!r}D") for k in range(h + 1)) + f" AS _r{h}" for h in known]
+    whole = [" + ".join(square(f"{y(k)} - _m{h}") for k in range(h + 1)) + f" AS _s{h}" for h in known]
+    rows = rows.selectExpr(*keep, *[f"_has{h}" for h in known], *[f"_b{h}" for h in known], *rest, *whole)
+    rows = rows.selectExpr(*keep, *[f"CASE WHEN _has{h} AND _r{h} > _s{h} * 1e-12D THEN _b{h} / sqrt(_r{h} * {1.0 / (h - 1) / spread[h]!r}D) END AS _t{h}" for h in known])
+    size = lambda h: f"round(abs(_t{h}), 6)"
+    best = f"greatest({', '.join(size(h) for h in known)}, NULL)"
+    pick = f"coalesce({', '.join(f'CASE WHEN {size(h)} = {best} THEN struct(_t{h} AS t, {h} AS h) END' for h in known)}, NULL)"
+    # Exploding none or one drops the rows without any; a filter would be pushed down and compute everything again.
+    found = rows.selectExpr(*keep, f"explode(array_compact(array({pick}))) AS _best")
+    return found.selectExpr(*keep, "_best.t AS t", "_best.h AS horizon")
