@@ -255,7 +255,7 @@ def _fold_counts(spark: SparkSession, sf_dir: str, folds: list) -> DataFrame:
     return rows.groupBy("fold").agg(F.count_if(F.col("part") == "train").alias("n_train"), F.count_if(F.col("part") == "test").alias("n_test"))
 
 
-@register("scalar_payload_columns", b.with_(b.ALERTS) + """SELECT event_id, 'n' || k AS politician_name, CASE WHEN k % 2 = 0 THEN '2024-01-02' ELSE '2024-01-03' END AS trade_date, (k + 1) * 1000.0 AS amount_min, CASE WHEN k % 3 = 0 THEN (k + 1) * 1000.0 ELSE (k + 2) * 1000.5 END AS amount_max,
+@register("scalar_payload_columns", b.with_(b.ALERTS) + """SELECT event_id, 'n' || k AS politician_name, CASE WHEN k % 2 = 0 THEN '2024-01-02' ELSE '2024-01-03' END AS trade_date, (k + 1) * 1000.0::DOUBLE AS amount_min, CASE WHEN k % 3 = 0 THEN (k + 1) * 1000.0::DOUBLE ELSE (k + 2) * 1000.5::DOUBLE END AS amount_max,
   nullif(concat_ws('|', CASE WHEN k % 2 = 0 THEN 'director' END, CASE WHEN k % 3 = 0 THEN '10b5-1' END), '') AS insider_relationship, round((k + 1) / nullif(k % 4, 0), 6) AS call_put_ratio,
   CASE WHEN k % 2 = 0 THEN '2023-12-31' ELSE strftime(ts_event, '%Y-%m-%d') END AS short_date FROM alerts""")
 def scalar_payload_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
