@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import discard, written
+from pitlake.llm.common import discard, sparing, written
 from pitlake.llm.components import components
 from pitlake.llm.shingles import MinHash, Shingler, new_key, overlap
 
@@ -231,7 +231,7 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, fine: bool
     """
     least, secret = collisions(percent, size), secret or new_key()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(rows.mapInArrow(_signed(size, secret), "doc_id long, n long, key binary, signature binary"), "minhash")
+    signed = written(rows.mapInArrow(sparing(_signed(size, secret)), "doc_id long, n long, key binary, signature binary"), "minhash")
     known = signed.where("key IS NOT NULL AND doc_id IS NOT NULL")
     classes = written(
         known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "text-classes"
@@ -275,7 +275,7 @@ def near_texts(docs: DataFrame, percent: int = 85, size: int = SIZE, fine: bool
 
     # Full sets of the classes that are still candidates.
     wanted = posts.select(F.col("rep").alias("doc_id")).distinct()
-    sets = written(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_sets(secret), "rep long, found binary"), "sets")
+    sets = written(rows.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sparing(_sets(secret)), "rep long, found binary"), "sets")
     links = written(_linked(stars, sets, percent), "links")
     tied = components(links)
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitlake.llm.common import sparing
+
 #: Where the public model lies; a parameter of every entry point.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -345,6 +347,12 @@ class Encoder:
                 ids[begin[some] + k] = value + self.vocabulary.bytes_at
         return ids.astype(np.int32), np.bincount(owner, minlength=words)
 
+    def forget(self) -> None:
+        """Drop all that was remembered of texts; the vocabulary's tables stay."""
+        self._pairs.clear()
+        for name in ("_index", "_flat", "_sizes", "_keys", "_answers"):
+            self.__dict__.pop(name, None)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and the offsets at which each text's ids begin and end."""
         if not hasattr(self, "_index") or len(self._index) > CACHED_WORDS:
@@ -451,24 +459,27 @@ def encode_documents(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
-                ids, offsets = coder.encode(texts[a:b])
-                back = coder.decode(ids, offsets)
-                same = [x == t.encode("utf-8") for x, t in zip(back, texts[a:b], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(a, b - a),
-                        pa.array(np.diff(offsets), pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
-                        pa.array(same, pa.bool_()),
-                    ],
-                    ["doc_id", "n_tokens", "ids", "round_trip"],
-                )
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for a, b in _groups(texts):
+                    ids, offsets = coder.encode(texts[a:b])
+                    back = coder.decode(ids, offsets)
+                    same = [x == t.encode("utf-8") for x, t in zip(back, texts[a:b], strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(a, b - a),
+                            pa.array(np.diff(offsets), pa.int64()),
+                            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())),
+                            pa.array(same, pa.bool_()),
+                        ],
+                        ["doc_id", "n_tokens", "ids", "round_trip"],
+                    )
+        finally:  # the worker and its encoder stay for later stages
+            coder.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return rows.mapInArrow(sparing(run), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, path: str = MODEL) -> DataFrame:

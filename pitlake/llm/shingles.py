@@ -14,7 +14,7 @@ from itertools import starmap
 
 import numpy as np
 
-WORDS, CACHED = 5, 1_000_000
+WORDS, CACHED = 5, 200_000
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 

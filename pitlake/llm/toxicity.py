@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import discard, written
+from pitlake.llm.common import discard, sparing, written
 
 #: Letters that look like Latin ones, and what stands for a letter.
 HOMOGLYPHS = {
@@ -37,6 +37,9 @@ HOMOGLYPHS = {
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 IGNORED = "​‌‍⁠­﻿"
 
+#: Entries that a task tallies before it hands them on.
+TALLIED = 150_000
+
 _FULLWIDTH = {0xFF41 + i: chr(97 + i) for i in range(26)}
 _LETTERS = {ord(k): v for k, v in HOMOGLYPHS.items()} | _FULLWIDTH | {ord(c): None for c in IGNORED}
 _ALL = _LETTERS | {ord(k): v for k, v in SUBSTITUTES.items()}
@@ -260,7 +263,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, limits: Lim
                 docs_with.update(found.keys() if label else ())
                 (toxic if label else clean).update(found)
                 (toxic if label else clean)[""] += words
-                if len(toxic) + len(clean) > 500_000:  # partial tallies are summed further on
+                if len(toxic) + len(clean) > TALLIED:  # partial tallies are summed further on
                     yield packed(toxic, clean, docs_with)
         yield packed(toxic, clean, docs_with)
 
@@ -270,7 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 6000, limits: Lim
         return Model()
     least = max(limits.least_docs, math.ceil(limits.least_share * seen.get(1, 0)))
     tallied = (
-        texts.mapInArrow(tally, "entry string, toxic long, clean long, docs long")
+        texts.mapInArrow(sparing(tally), "entry string, toxic long, clean long, docs long")
         .groupBy("entry")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("docs").alias("docs"))
     )
@@ -334,4 +337,4 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([model.score(model.features(t, matcher)) < 0.5 for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(kept, kinds)
+    return docs.mapInArrow(sparing(kept), kinds)

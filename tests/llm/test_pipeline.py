@@ -1,12 +1,13 @@
 """The pipeline's stages on the smallest tables, and the registry."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from pitlake.llm import pii, toxicity
-from pitlake.llm.common import table
+from pitlake.llm import pieces, pii, toxicity
+from pitlake.llm.common import BATCH_BYTES, BATCH_SETTING, table
 from pitlake.llm.near_texts import near_texts
 
 
@@ -100,3 +101,33 @@ def test_a_run_goes_on_where_it_stopped(spark, sf, tmp_path, monkeypatch):
         corpus_pipeline.run(spark, sf, root)
     assert corpus_pipeline.run(spark, sf, root).count() > 0
     assert done == ["first", "second", "second"]
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_dedup", "sentencepiece"])
+def test_a_stage_gets_texts_in_batches_of_bounded_bytes(spark, sf, name):
+    spark.conf.unset(BATCH_SETTING)
+    dict(corpus_pipeline.STAGES)[name](spark, table(spark, sf, "documents").limit(10), sf).count()
+
+    def measured(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["id"])
+
+    long = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('words ', 1700) AS text")
+    found = [r["id"] for r in long.mapInArrow(measured, "id long").collect()]
+    assert len(found) > 5 and max(found) < 1.1 * BATCH_BYTES
+
+
+def test_an_encoder_remembers_no_text_after_a_task(spark, sf):
+    def left(batches):
+        list(batches)
+        coder = pieces.encoder()
+        yield pa.RecordBatch.from_arrays([pa.array([len(getattr(coder, "_index", ())) + len(getattr(coder, "_keys", ())) + len(coder._pairs)])], ["n"])
+
+    docs = table(spark, sf, "documents")
+    assert pieces.encode_documents(docs).where("round_trip").count() == docs.count()
+    assert {r["n"] for r in docs.select("doc_id").mapInArrow(left, "n long").collect()} == {0}
+    coder = pieces.Encoder(pieces.Vocabulary.load())
+    texts = ["some words", "more  words and \u4e00", ""]
+    before = [x.tolist() for x in coder.encode(texts)]
+    coder.forget()
+    assert [x.tolist() for x in coder.encode(texts)] == before
