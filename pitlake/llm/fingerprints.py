@@ -175,7 +175,7 @@ def likeness(a: str, b: str) -> float:
     if a == b:
         return 1.0
     (na, _, head_a, tail_a), (nb, _, head_b, tail_b) = a.split("-"), b.split("-")
-    longer = max(int(na, 16), int(nb, 16))
+    shorter, longer = sorted((int(na, 16), int(nb, 16)))
 
     def agreed(x: str, y: str) -> int:
         low, high = 0, min(len(x), len(y)) // 4
@@ -187,7 +187,8 @@ def likeness(a: str, b: str) -> float:
                 high = middle - 1
         return int(_GRID[low - 1]) if low else 0
 
-    return min(agreed(head_a, head_b) + agreed(tail_a, tail_b), longer - 1) / longer
+    # A prefix and a suffix that overlap in the shorter text are one stretch of it, counted once.
+    return min(agreed(head_a, head_b) + agreed(tail_a, tail_b), shorter, longer - 1) / longer
 
 
 def _spliced(own: list[np.ndarray], keep: int, other: list[np.ndarray], take: int) -> list[np.ndarray]:

@@ -73,6 +73,13 @@ def test_shared_is_the_longest_prefix_and_suffix(a, b, data):
         assert fp.likeness(fp.fingerprint(a), fp.fingerprint(b)) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("a, b, want", [("a", "aaa", 1 / 3), ("ab", "abab", 1 / 2), ("aa", "aaaaaaaa", 1 / 4), ("", "aa", 0.0), ("ab", "cb", 1 / 2)])
+def test_a_prefix_and_suffix_that_overlap_count_once(a, b, want):
+    for x, y in ((a, b), (b, a)):
+        assert fp.likeness(fp.fingerprint(x), fp.fingerprint(y)) == pytest.approx(want)
+        assert fp.shared(fp.text_prefixes(x), fp.text_prefixes(y)) == pytest.approx(want)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", max_size=40), st.text("ab", max_size=40), st.data())
 def test_spans_and_extensions(a, b, data):
